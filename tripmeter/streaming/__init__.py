@@ -1,0 +1,5 @@
+"""Nothing lives here: the workload is weekly batches only.
+
+Late or corrected rows arrive with the next batch and are merged by
+``tripmeter.plans.history.upsert_history``.
+"""
