@@ -34,16 +34,16 @@ def _checks(df: DataFrame, checks: list[tuple[str, str, Column]]) -> DataFrame:
 
 
 def dq_report(df: DataFrame, columns: Sequence[str] = CRITICAL_COLUMNS) -> DataFrame:
-    """Findings only: absent columns, missing values, targets at or below zero."""
-    spark = df.sparkSession
-    checks = [("missing_values", c, F.col(c).isNull()) for c in columns if c in df.columns]
+    """Findings only: absent columns (all rows), missing values, targets at or below zero."""
+    checks = [
+        ("missing_values", c, F.col(c).isNull())
+        if c in df.columns
+        else ("missing_column", c, F.lit(True))
+        for c in columns
+    ]
     if "ATD" in df.columns:
         checks.append(("non_positive", "ATD", F.col("ATD") <= 0))
-    found = _checks(df, checks).where("n > 0") if checks else None
-    absent = [c for c in columns if c not in df.columns]
-    schema = "`check` string, `column` string, n bigint, pct double"
-    gaps = spark.createDataFrame([("missing_column", c, None, None) for c in absent], schema)
-    return gaps if found is None else found.unionByName(gaps)
+    return _checks(df, checks).where((F.col("n") > 0) | (F.col("check") == "missing_column"))
 
 
 def warning_messages(report: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripmeter.functions.clock import weekday_label, weekday_number
@@ -48,12 +48,14 @@ def counts_by(df: DataFrame, category: str) -> DataFrame:
     )
 
 
-def median_by(df: DataFrame, category: str, target: str = "ATD") -> DataFrame:
-    """Median per category in ascending order."""
+def medians_by(df: DataFrame, categories: Sequence[str], target: str = "ATD") -> DataFrame:
+    """Median per value of each category, ascending; all categories in one pass."""
+    texts = [F.col(c).cast("string").alias(c) for c in categories]
+    long = df.select(*texts, target).unpivot([target], list(categories), "category", "value")
     return (
-        exact_quantiles(df, target, [0.5], [category])
-        .select(category, F.col("q")[0].alias("median"))
-        .orderBy("median", category)
+        exact_quantiles(long, target, [0.5], ["category", "value"])
+        .select("category", "value", F.col("q")[0].alias("median"))
+        .orderBy("category", "median", "value")
     )
 
 
@@ -138,13 +140,11 @@ def density_by(df: DataFrame, value: str, category: str, bins: int = 50) -> Data
         .groupBy(category, "bin")
         .agg(F.count("*").alias("count"))
     )
-    totals = counted.groupBy(category).agg(F.sum("count").alias("total"))
+    # At most ``bins`` rows per category from here on.
+    total = F.sum("count").over(Window.partitionBy(category))
     width = (high - low) / bins
-    return counted.join(totals, category).select(
-        category,
-        "bin",
-        "count",
-        (F.col("count") / (F.col("total") * width)).alias("density"),
+    return counted.select(
+        category, "bin", "count", (F.col("count") / (total * width)).alias("density")
     )
 
 

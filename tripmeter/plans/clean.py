@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tripmeter.functions.clock import flag, parse_wall_clock, utc_to_local
@@ -73,6 +73,30 @@ def clean_trips(
     return valid_trips(complete_trips(prepared_trips(history, utc_offset, keep), missing_word))
 
 
+def stage_trips(
+    spark: SparkSession,
+    history: DataFrame,
+    utc_offset: int,
+    path: str,
+    missing_word: str = MISSING_WORD,
+    keep: Sequence[str] = (),
+) -> tuple[DataFrame, DataFrame]:
+    """The sequence with its two intermediate tables written below ``path``.
+
+    Returns the distinct trips (``prepared``) and the imputed, flagged trips (``flagged``);
+    ``valid_trips(flagged)`` are the clean trips.  On large data this is the way to run it:
+    the rows are de-duplicated once, the medians read three columns of the written table,
+    only rows with gaps are read for imputation, and all later jobs start from a plain
+    scan that any executor can repeat.
+    """
+    prepared = prepared_trips(history, utc_offset, keep)
+    prepared.write.mode("overwrite").parquet(f"{path}/prepared")
+    prepared = spark.read.schema(prepared.schema).parquet(f"{path}/prepared")
+    flagged = complete_trips(prepared, missing_word)
+    flagged.write.mode("overwrite").parquet(f"{path}/flagged")
+    return prepared, spark.read.schema(flagged.schema).parquet(f"{path}/flagged")
+
+
 def observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     """Count rows at a stage while a later action runs, without another pass."""
     observation = Observation(name)

@@ -11,7 +11,7 @@ from tripmeter import schemas
 from tripmeter.models.artifacts import artifact_dir, publish
 from tripmeter.models.features import FEATURE_SETS, with_trip_key
 from tripmeter.models.training import Hyperparameters, Trained, train_variant
-from tripmeter.plans.clean import clean_trips
+from tripmeter.plans.clean import stage_trips, valid_trips
 from tripmeter.plans.history import history_as_of, upsert_history
 from tripmeter.plans.weekly import weekly_snapshot
 from tripmeter.session import prepare, scratch_path
@@ -48,16 +48,6 @@ def run_weekly(
     return upsert_history(spark, history, read_table(spark, weekly), ds, now)
 
 
-def stored_clean_trips(
-    spark: SparkSession, history: DataFrame, ds: str, utc_offset: int
-) -> DataFrame:
-    """Clean trips up to ``ds``, written once to the shared folder and read from there."""
-    path = scratch_path(spark, "clean")
-    clean = clean_trips(history_as_of(history, ds), utc_offset, keep=ROW_KEYS)
-    clean.write.parquet(path)
-    return spark.read.parquet(path)
-
-
 def run_training(
     spark: SparkSession,
     base: str,
@@ -68,11 +58,14 @@ def run_training(
     model_base: str,
     settings: Hyperparameters = Hyperparameters(),
 ) -> dict[str, Trained]:
-    """Train and publish both feature sets of a country from one stored clean table."""
+    """Train and publish both feature sets of a country from one stored table of trips."""
     prepare(spark)
     path = table_path(base, schema, HISTORY_TABLE.format(country=country))
     history = read_table(spark, path, schemas.TRIP_HISTORY)
-    trips = with_trip_key(stored_clean_trips(spark, history, ds, utc_offset), ROW_KEYS)
+    _, flagged = stage_trips(
+        spark, history_as_of(history, ds), utc_offset, scratch_path(spark, "trips"), keep=ROW_KEYS
+    )
+    trips = with_trip_key(valid_trips(flagged), ROW_KEYS)
     folder = artifact_dir(model_base, country, ds)
     results = {}
     for variant in FEATURE_SETS:

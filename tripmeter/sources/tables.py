@@ -12,7 +12,8 @@ from pyspark.sql.types import StructType
 from tripmeter import schemas
 from tripmeter.functions.clock import hour_of_day, weekday_label, weekday_number
 
-# File and table names.
+# Table names and the timestamp format of CSV files (microseconds kept).
+CSV_TIMESTAMP = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 WEEKLY_TABLE = "{country}_delivery_trips_info"
 HISTORY_TABLE = "{country}_delivery_trips_historic_info"
 
@@ -60,18 +61,17 @@ def read_jdbc(
 
 
 def read_csv(
-    spark: SparkSession, path: str, schema: StructType, timestamp_format: str | None = None
+    spark: SparkSession, path: str, schema: StructType, timestamp_format: str = CSV_TIMESTAMP
 ) -> DataFrame:
     """CSV with header and declared types; empty fields are missing, ``\\N`` stays text."""
     reader = spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE")
-    reader = reader.option("nullValue", "").option("escape", '"')
-    if timestamp_format:
-        reader = reader.option("timestampNTZFormat", timestamp_format)
-    return reader.csv(path)
+    reader = reader.option("timestampNTZFormat", timestamp_format)
+    return reader.option("nullValue", "").option("escape", '"').csv(path)
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     writer = df.write.mode(mode).option("header", True).option("escape", '"')
+    writer = writer.option("timestampNTZFormat", CSV_TIMESTAMP)
     writer.option("nullValue", "").option("emptyValue", '""').csv(path)
 
 
@@ -86,7 +86,9 @@ def enrich(trips: DataFrame) -> DataFrame:
     })
 
 
-def load_trips(spark: SparkSession, path: str, timestamp_format: str | None = None) -> DataFrame:
+def load_trips(
+    spark: SparkSession, path: str, timestamp_format: str = CSV_TIMESTAMP
+) -> DataFrame:
     """Clean trips from CSV with the report columns added."""
     return enrich(read_csv(spark, path, schemas.CLEAN_TRIPS, timestamp_format))
 
