@@ -22,6 +22,9 @@ from tripmeter.schemas import TARGET
 
 KEY = "trip_key"
 
+# More labels than this cannot become columns.
+MAX_LABELS = 5000
+
 # Share of test rows and the size a stratum must exceed.
 TEST_FRACTION = 0.2
 MORE_THAN = 10
@@ -111,21 +114,23 @@ def split_frame(frame: DataFrame, seed: int = SEED) -> DataFrame:
 def drop_first_dummies(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Replace category columns by one 0/1 column per value except the first in order.
 
-    Only the sorted category labels come to the driver, as they become column names.
+    Only the distinct category labels come to the driver, as they become column names; a
+    column that is not a category (more than MAX_LABELS values in all) is an error.
     """
     labels = (
         df.select(*columns)
         .unpivot([], list(columns), "column", "value")
         .where(F.col("value").isNotNull())
         .distinct()
-        .groupBy("column")
-        .agg(F.sort_array(F.collect_list("value")).alias("labels"))
+        .limit(MAX_LABELS + 1)
         .collect()
     )
-    found = {row["column"]: row["labels"] for row in labels}
+    if len(labels) > MAX_LABELS:
+        raise ValueError(f"more than {MAX_LABELS} labels in {list(columns)}")
+    found = {c: sorted(row["value"] for row in labels if row["column"] == c) for c in columns}
     dummies = [
         F.coalesce(F.col(c) == label, F.lit(False)).cast("int").alias(f"{c}_{label}")
         for c in columns
-        for label in found.get(c, [])[1:]
+        for label in found[c][1:]
     ]
     return df.select(*[c for c in df.columns if c not in columns], *dummies)

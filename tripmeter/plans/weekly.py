@@ -51,15 +51,16 @@ def weekly_snapshot(
     if countries is not None:
         names = [countries] if isinstance(countries, str) else list(countries)
         places = places.where(F.col("country_name").isin(names))
+    # City and region meet first, so the jobs are joined with one dimension only.
+    places = places.join(region.select("city_id", "territory"), "city_id", "left")
 
-    located = (
-        recent.select(
-            "job_uuid", "city_id", "pickup_distance", "pickup_distance_km", "travel_distance"
-        )
-        .withColumnRenamed("pickup_distance_km", "stored_pickup_km")
-        .join(places, "city_id")
-        .join(region.select("city_id", "territory"), "city_id", "left")
-    )
+    located = recent.select(
+        "job_uuid",
+        "city_id",
+        "pickup_distance",
+        F.col("pickup_distance_km").alias("stored_pickup_km"),
+        "travel_distance",
+    ).join(places, "city_id")
     joined = trips.join(located, F.col("delivery_trip_uuid") == F.col("job_uuid"))
 
     # The drop-off distance adds the job's stored three-decimal kilometres.

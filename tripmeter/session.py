@@ -34,6 +34,8 @@ def shared_dir(spark: SparkSession) -> str:
     context = spark.sparkContext
     named = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
     if named:
+        if not context.getCheckpointDir():
+            context.setCheckpointDir(named)
         return named
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")

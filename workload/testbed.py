@@ -121,7 +121,7 @@ def event_trips(spark: SparkSession, sf_dir: str, copies: bool = True) -> DataFr
         F.concat(F.lit("G"), (F.col("user_id") % 3).cast("string")).alias("geo_archetype"),
         F.concat(F.lit("M"), (key % 4).cast("string")).alias("merchant_surface"),
         pickup.alias("pickup_distance_km"),
-        (pickup + value / 20).alias("dropoff_distance_km"),
+        F.round(pickup + value / 20, 4).alias("dropoff_distance_km"),
         F.when(key % 53 == 0, -value).when(key % 101 == 0, 0.0).otherwise(value).alias("atd"),
     )
 
