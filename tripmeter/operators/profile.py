@@ -52,12 +52,12 @@ def profile_categorical(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         .groupBy("column", "value")
         .agg(F.count("*").alias("n"))
     )
-    # The smallest value among the most frequent: two plain maxima over (n, value) counts.
+    # One row per profiled column, so the broadcast side is as small as the column list.
     peak = counts.groupBy("column").agg(
         F.sum("n").alias("count"), F.count("*").alias("unique"), F.max("n").alias("freq")
     )
     return (
-        counts.join(peak, "column")
+        counts.join(F.broadcast(peak), "column")
         .groupBy("column", "count", "unique", "freq")
         .agg(F.min(F.when(F.col("n") == F.col("freq"), F.col("value"))).alias("top"))
         .select("column", "count", "unique", "top", "freq")

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -53,7 +52,10 @@ def warning_messages(report: DataFrame) -> DataFrame:
         F.when(F.col("check") == "missing_column", F.concat(F.lit("Missing column "), "column"))
         .when(
             F.col("check") == "missing_values",
-            F.concat("column", F.lit(": "), number, F.lit(" missing ("), F.format_number("pct", 1), F.lit("%)")),
+            F.concat(
+                "column", F.lit(": "), number,
+                F.lit(" missing ("), F.format_number("pct", 1), F.lit("%)"),
+            ),
         )
         .otherwise(F.concat("column", F.lit(": "), number, F.lit(" values not above zero")))
     )
@@ -82,7 +84,8 @@ def job_constraints(jobs: DataFrame) -> DataFrame:
     checks = [("not_null", c, F.col(c).isNull()) for c in required]
     checks += [("not_negative", c, F.col(c) < 0) for c in ["pickup_distance", "travel_distance"]]
     if "delivery_status" in jobs.columns:
-        checks.append(("allowed_value", "delivery_status", ~F.col("delivery_status").isin(JOB_STATES)))
+        unknown = ~F.col("delivery_status").isin(JOB_STATES)
+        checks.append(("allowed_value", "delivery_status", unknown))
     return _checks(jobs, checks)
 
 
@@ -112,8 +115,3 @@ def require_unique(df: DataFrame, keys: Sequence[str]) -> None:
     if repeated:
         raise ValueError(f"key {list(keys)} is not unique, for example {repeated[0].asDict()}")
 
-
-def any_violation(df: DataFrame, rules: Sequence[Column]) -> DataFrame:
-    """Rows that break at least one rule."""
-    broken = [~F.coalesce(rule, F.lit(False)) for rule in rules]
-    return df.where(reduce(lambda a, b: a | b, broken))

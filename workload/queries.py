@@ -669,6 +669,21 @@ def _(spark, d):
     return quality.trip_constraints(tb.trips(spark, d))
 
 
+@query("history_constraints")
+def _(spark, d):
+    return quality.history_constraints(batch_rows(snapshot(spark, d, None), tb.DS))
+
+
+@query("observed_rows")
+def _(spark, d):
+    """Rows counted while another query runs, next to that query's own result."""
+    rows, counter = clean_plan.observed(clean(spark, d), "clean")
+    total = rows.agg(F.sum("ATD")).first()[0]
+    return spark.createDataFrame(
+        [(counter.get["rows"], total)], "rows_seen bigint, total_atd double"
+    )
+
+
 @query("text_lengths")
 def _(spark, d):
     return quality.text_lengths(
