@@ -5,9 +5,11 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tripmeter import schemas
 from tripmeter.functions import clock, values
@@ -83,7 +85,7 @@ def history(spark: SparkSession, d: str) -> DataFrame:
     return history_as_of(tb.event_history(spark, d), tb.LAST_BATCH)
 
 
-_staged: dict[tuple[str, str], str] = {}
+_staged: dict[tuple[str, str], dict[str, StructType]] = {}
 
 
 def staged(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
@@ -91,15 +93,23 @@ def staged(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
 
     The reports, profiles and models all start from the stored result of the cleaning
     job, as they would from the weekly table; ``clean_trips`` and ``clean_table_job`` run
-    the cleaning itself.
+    the cleaning itself.  If the stored tables are gone they are written again.
     """
     key = (spark.sparkContext.applicationId, d)
-    if key in _staged and tables.table_exists(spark, f"{_staged[key]}/flagged"):
-        return tuple(spark.read.parquet(f"{_staged[key]}/{n}") for n in ("prepared", "flagged"))
-    path = scratch_path(spark, "trips")
-    result = clean_plan.stage_trips(spark, history(spark, d), tb.UTC_OFFSET, path, keep=ROW_KEYS)
-    _staged[key] = path
-    return result
+    try:
+        known = _staged.get(key, {}).items()
+        stored = [spark.read.schema(schema).parquet(path) for path, schema in known]
+    except AnalysisException:
+        stored = []
+    if not stored:
+        path = scratch_path(spark, "trips")
+        stored = clean_plan.stage_trips(
+            spark, history(spark, d), tb.UTC_OFFSET, path, keep=ROW_KEYS
+        )
+        _staged[key] = {
+            f"{path}/{name}": df.schema for name, df in zip(("prepared", "flagged"), stored)
+        }
+    return stored[0], stored[1]
 
 
 def prepared(spark: SparkSession, d: str) -> DataFrame:
