@@ -78,3 +78,16 @@ def test_training_job(spark, path):
     assert set(done) == {"pre_assign", "post_assign"}
     for variant in done:
         assert load_artifacts(spark, artifact_dir(f"{path}/models", "x", "2024-02-05"), variant)
+
+
+def final_plan(df) -> str:
+    df.collect()
+    return plan(df).split("== Initial Plan ==")[0]
+
+
+@pytest.mark.parametrize("name,scans", [("group_medians", 1), ("median_by_category", 1),
+                                        ("kpi_by_territory", 2), ("impute_group_median", 3)])
+def test_quantiles_share_their_shuffle(spark, name, scans):
+    text = final_plan(queries.QUERIES[name](spark, FOLDER))
+    assert text.count("FileScan") == scans
+    assert "ReusedExchange" in text

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tripmeter.functions.values import any_null
 from tripmeter.operators.quantiles import exact_quantiles
+from tripmeter.operators.reshape import columns_to_rows
 from tripmeter.operators.skew import join_facts, split_hot
 
 
@@ -32,7 +33,8 @@ def duplicate_members(df: DataFrame, subset: Sequence[str] | None = None) -> Dat
 def group_medians(df: DataFrame, by: str, columns: Sequence[str]) -> DataFrame:
     """One row per group with the median of each column (NULL if it has no value)."""
     values = df.select(by, *[F.col(c).cast("double").alias(c) for c in columns])
-    long = values.unpivot([by], list(columns), "_column", "_value")
+    values = values.where(F.col(by).isNotNull())
+    long = columns_to_rows(values, [by], columns, "_column", "_value")
     medians = exact_quantiles(long, "_value", [0.5], [by, "_column"])
     return medians.groupBy(by).agg(
         *[F.max(F.when(F.col("_column") == c, F.col("q")[0])).alias(c) for c in columns]

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tripmeter.functions.values import MISSING_MARKER
 from tripmeter.operators.quantiles import exact_quantiles
+from tripmeter.operators.reshape import columns_to_rows
 
 # Quantiles of a numeric profile.
 QUARTILES = [0.25, 0.5, 0.75]
@@ -24,10 +25,10 @@ def profile_numeric(
     """count, mean, std, min, quartiles and max of each column, optionally per group."""
     by, columns = list(by), list(columns)
     doubles = df.select(*by, *[F.col(c).cast("double").alias(c) for c in columns])
-    long = doubles.unpivot(by, columns, "column", "value")
-    keys = [*by, "column"]
     for key in by:
-        long = long.where(F.col(key).isNotNull())
+        doubles = doubles.where(F.col(key).isNotNull())
+    long = columns_to_rows(doubles, by, columns, "column", "value")
+    keys = [*by, "column"]
     moments = long.groupBy(*keys).agg(
         F.count("value").alias("count"),
         F.avg("value").alias("mean"),
@@ -47,7 +48,7 @@ def profile_categorical(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """count, distinct values, most frequent value (smallest on ties) and its frequency."""
     long = df.select(*[F.col(c).cast("string").alias(c) for c in columns])
     counts = (
-        long.unpivot([], list(columns), "column", "value")
+        columns_to_rows(long, [], columns, "column", "value")
         .where(F.col("value").isNotNull())
         .groupBy("column", "value")
         .agg(F.count("*").alias("n"))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tripmeter.functions.clock import weekday_label, weekday_number
 from tripmeter.functions.values import any_null
 from tripmeter.operators.quantiles import exact_quantiles, quantile_array, quantile_bin
+from tripmeter.operators.reshape import columns_to_rows
 from tripmeter.operators.skew import join_facts
 
 
@@ -28,12 +29,14 @@ def kpis(df: DataFrame, target: str = "ATD") -> DataFrame:
 def kpis_by(df: DataFrame, by: Sequence[str], target: str = "ATD") -> DataFrame:
     """The KPIs per group; groups without a key are left out."""
     by = list(by)
+    for key in by:
+        df = df.where(F.col(key).isNotNull())
     quantiles = exact_quantiles(df, target, [0.5, 0.9], by)
     quantiles = quantiles.select(
         *by, F.col("q")[0].alias("median_atd"), F.col("q")[1].alias("p90_atd")
     )
     totals = df.groupBy(*by).agg(F.avg(target).alias("avg_atd"), F.count("*").alias("n_trips"))
-    return totals.na.drop(subset=by).join(quantiles, by, "left").select(
+    return totals.join(quantiles, by, "left").select(
         *by, "avg_atd", "median_atd", "p90_atd", "n_trips"
     )
 
@@ -51,7 +54,7 @@ def counts_by(df: DataFrame, category: str) -> DataFrame:
 def medians_by(df: DataFrame, categories: Sequence[str], target: str = "ATD") -> DataFrame:
     """Median per value of each category, ascending; all categories in one pass."""
     texts = [F.col(c).cast("string").alias(c) for c in categories]
-    long = df.select(*texts, target).unpivot([target], list(categories), "category", "value")
+    long = columns_to_rows(df.select(*texts, target), [target], categories, "category", "value")
     return (
         exact_quantiles(long, target, [0.5], ["category", "value"])
         .select("category", "value", F.col("q")[0].alias("median"))
