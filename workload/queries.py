@@ -41,6 +41,10 @@ QUICK = Hyperparameters(
     forest_trees=10, forest_depth=5, boosted_rounds=5, boosted_depth=3, deep_rounds=5, deep_depth=4
 )
 
+# Means of two-decimal numbers can end in an exact half at the seventh decimal, where the
+# order of summation would decide the rounding; a nudge far above that noise settles it.
+NUDGE = 1e-10
+
 
 def tidy(df: DataFrame) -> DataFrame:
     """Doubles with six decimals (no negative zero), whole numbers as bigint, wall clocks."""
@@ -48,7 +52,7 @@ def tidy(df: DataFrame) -> DataFrame:
     def column(name: str, kind: str) -> Column:
         c = F.col(f"`{name}`")
         if kind in ("double", "float") or kind.startswith("decimal"):
-            return (F.round(c.cast("double"), 6) + F.lit(0.0)).alias(name)
+            return (F.round(c.cast("double") + NUDGE, 6) + F.lit(0.0)).alias(name)
         if kind in ("int", "smallint", "tinyint"):
             return c.cast("bigint").alias(name)
         if kind == "timestamp":
