@@ -8,13 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmeter.llm import tokens
+from tripmeter.llm import licenses, tokens
 from tripmeter.llm.texts import documents
 
 TOKEN_FILE = "byte_bpe_50k.json"
 TOKEN_LIMIT = 512
 
 
+def op9_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Licence phrases, tags and labels of every document."""
+    return licenses.summary(licenses.license_scan(documents(spark, folder)))
+
+
 def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     """Exact token counts of every document."""
     counted = tokens.token_counts(documents(spark, folder), public_tokenizers.path(TOKEN_FILE))
@@ -22,6 +27,7 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op9_license_scan": op9_license_scan,
     "op10_token_counts": op10_token_counts,
 }
 ORACLES: dict[str, str] = {}
