@@ -8,13 +8,23 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmeter.llm import licenses, tokens
+from tripmeter.llm import licenses, quality, tokens
 from tripmeter.llm.texts import documents
+from tripmeter.session import scratch_path
 
 TOKEN_FILE = "byte_bpe_50k.json"
 TOKEN_LIMIT = 512
 
 
+def op5_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """Counts of every document and the verdict of the limits of its language and source."""
+    judged = quality.quality(documents(spark, folder), scratch_path(spark, "quality"))
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+        *quality.FLOORS,
+    )
+
+
 def op9_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     """Licence phrases, tags and labels of every document."""
     return licenses.summary(licenses.license_scan(documents(spark, folder)))
@@ -27,6 +37,7 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op5_quality_rules": op5_quality_rules,
     "op9_license_scan": op9_license_scan,
     "op10_token_counts": op10_token_counts,
 }
