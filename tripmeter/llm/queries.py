@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmeter.llm import licenses, quality, tokens
+from tripmeter.llm import language, licenses, quality, tokens
 from tripmeter.llm.texts import documents
 from tripmeter.session import scratch_path
 
@@ -25,6 +25,14 @@ def op5_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op7_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    """Predicted language of every document; a third of them is held out from learning."""
+    docs = documents(spark, folder)
+    held_out = F.coalesce(language.remainder(3) == 1, F.lit(False))
+    net = language.train(docs, language.remainder(3) != 1)
+    return language.identify(docs, net).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op9_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     """Licence phrases, tags and labels of every document."""
     return licenses.summary(licenses.license_scan(documents(spark, folder)))
@@ -38,6 +46,7 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_quality_rules": op5_quality_rules,
+    "op7_language_id": op7_language_id,
     "op9_license_scan": op9_license_scan,
     "op10_token_counts": op10_token_counts,
 }
