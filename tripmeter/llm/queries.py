@@ -8,12 +8,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmeter.llm import language, licenses, quality, tokens
+from tripmeter.llm import language, licenses, quality, tokens, toxicity
 from tripmeter.llm.texts import documents
 from tripmeter.session import scratch_path
 
 TOKEN_FILE = "byte_bpe_50k.json"
 TOKEN_LIMIT = 512
+TOXIC_FROM = 0.3
 
 
 def op5_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
@@ -25,6 +26,15 @@ def op5_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity score of every document; a quarter of them is held out from learning."""
+    docs, labels = documents(spark, folder), spark.read.parquet(f"{folder}/labels.parquet")
+    model = toxicity.train(docs, labels, language.remainder(4) != 2)
+    held_out = F.coalesce(language.remainder(4) == 2, F.lit(False))
+    predicted = (F.col("score") >= TOXIC_FROM).cast("int").alias("predicted")
+    return toxicity.toxicity(docs, model).select("doc_id", held_out.alias("held_out"), "score", predicted)
+
+
 def op7_language_id(spark: SparkSession, folder: str) -> DataFrame:
     """Predicted language of every document; a third of them is held out from learning."""
     docs = documents(spark, folder)
@@ -46,6 +56,7 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_quality_rules": op5_quality_rules,
+    "op6_toxicity": op6_toxicity,
     "op7_language_id": op7_language_id,
     "op9_license_scan": op9_license_scan,
     "op10_token_counts": op10_token_counts,

@@ -54,6 +54,7 @@ class Words:
         if table is not None:
             whole = whole.translate(table)
         self.whole = whole
+        self._sums: np.ndarray | None = None
         self.data = np.frombuffer(whole, np.uint8)
         self.offsets = np.zeros(len(texts) + 1, np.int64)
         np.cumsum([len(t or b"") + 1 for t in texts], out=self.offsets[1:])
@@ -76,12 +77,15 @@ class Words:
 
     def hashes(self) -> np.ndarray:
         """A 64-bit hash of each word's bytes."""
-        if not len(self.starts):
-            return np.zeros(0, np.uint64)
-        sums = np.zeros(len(self.data) + 1, np.uint64)
-        np.cumsum(_letters()[self.data] * powers(len(self.data)), out=sums[1:])
-        h = (sums[self.ends] - sums[self.starts]) * powers(len(self.data) + 1, _INVERSE)[self.starts]
-        return mix(h + (self.ends - self.starts).astype(np.uint64))
+        return self.hash_of(self.starts, self.ends)
+
+    def hash_of(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Hashes of any byte ranges; equal bytes have equal hashes."""
+        if self._sums is None:
+            self._sums = np.zeros(len(self.data) + 1, np.uint64)
+            np.cumsum(_letters()[self.data] * powers(len(self.data)), out=self._sums[1:])
+        h = (self._sums[ends] - self._sums[starts]) * powers(len(self.data) + 1, _INVERSE)[starts]
+        return mix(h + (ends - starts).astype(np.uint64))
 
 
 def windows(hashes: np.ndarray, size: int, ratio: int = 0xA0761D6478BD642F) -> np.ndarray:
