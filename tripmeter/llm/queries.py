@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmeter.llm import language, licenses, quality, tokens, toxicity
+from tripmeter.llm import language, licenses, mixing, quality, tokens, toxicity
 from tripmeter.llm.texts import documents
 from tripmeter.session import scratch_path
 
@@ -17,6 +17,12 @@ TOKEN_LIMIT = 512
 TOXIC_FROM = 0.3
 
 
+def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    """What the mix takes from every document."""
+    mixed = mixing.mix(mixing.word_counts(documents(spark, folder)), scratch_path(spark, "mixing"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op5_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     """Counts of every document and the verdict of the limits of its language and source."""
     judged = quality.quality(documents(spark, folder), scratch_path(spark, "quality"))
@@ -55,10 +61,48 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_mixing": op4_mixing,
     "op5_quality_rules": op5_quality_rules,
     "op6_toxicity": op6_toxicity,
     "op7_language_id": op7_language_id,
     "op9_license_scan": op9_license_scan,
     "op10_token_counts": op10_token_counts,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op4_mixing": r"""
+        WITH sized AS (
+            SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size
+            FROM documents
+        ), per_source AS (
+            SELECT source, sum(size)::BIGINT AS source_size,
+                [3, 1, 2][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT] AS weight
+            FROM sized GROUP BY source
+        ), filling AS (
+            SELECT *, 2 * source_size / weight::DOUBLE AS full_at,
+                coalesce(sum(2 * source_size) OVER earlier, 0)::DOUBLE AS given,
+                sum(weight) OVER () - coalesce(sum(weight) OVER earlier, 0) AS open,
+                1.5 * (sum(source_size) OVER ())::DOUBLE AS budget
+            FROM per_source
+            WINDOW earlier AS (ORDER BY 2 * source_size / weight::DOUBLE, source NULLS LAST
+                               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+        ), level AS (
+            SELECT min((budget - given) / open::DOUBLE) AS height FROM (
+                SELECT * FROM filling WHERE given + full_at * open >= budget
+                ORDER BY full_at, open DESC LIMIT 1)
+        ), goals AS (
+            SELECT source, source_size,
+                least(2.0::DOUBLE * source_size, weight * coalesce((SELECT height FROM level), 1e300::DOUBLE)) AS target
+            FROM filling
+        ), placed AS (
+            SELECT *, (coalesce(sum(size) OVER (
+                PARTITION BY source ORDER BY md5('mix:' || coalesce(doc_id::VARCHAR, '')), doc_id, size
+                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::BIGINT AS stand_before
+            FROM sized
+        )
+        SELECT p.doc_id, p.size, g.source_size, g.target,
+            CASE WHEN g.source_size = 0 THEN 0 ELSE
+                floor(g.target)::BIGINT // g.source_size * p.size
+                + greatest(0, least(p.size, floor(g.target)::BIGINT % g.source_size - stand_before)) END::BIGINT AS taken
+        FROM placed p JOIN goals g ON p.source IS NOT DISTINCT FROM g.source
+    """,
+}
