@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmeter.llm import language, licenses, mixing, quality, tokens, toxicity
+from tripmeter.llm import language, licenses, mixing, quality, simhash, tokens, toxicity
 from tripmeter.llm.texts import documents
 from tripmeter.session import scratch_path
 
@@ -49,6 +49,12 @@ def op7_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language.identify(docs, net).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op8_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprint and component of every document."""
+    found = simhash.near_duplicates(documents(spark, folder), scratch_path(spark, "simhash"))
+    return found.select("doc_id", simhash.as_hex(F.col("fp")).alias("fingerprint"), "component_id")
+
+
 def op9_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     """Licence phrases, tags and labels of every document."""
     return licenses.summary(licenses.license_scan(documents(spark, folder)))
@@ -65,6 +71,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_quality_rules": op5_quality_rules,
     "op6_toxicity": op6_toxicity,
     "op7_language_id": op7_language_id,
+    "op8_simhash": op8_simhash,
     "op9_license_scan": op9_license_scan,
     "op10_token_counts": op10_token_counts,
 }
