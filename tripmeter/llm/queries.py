@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmeter.llm import language, licenses, mixing, quality, simhash, tokens, toxicity
+from tripmeter.llm import contamination, language, licenses, mixing, quality, simhash, tokens, toxicity
 from tripmeter.llm.texts import documents
 from tripmeter.session import scratch_path
 
@@ -17,6 +17,17 @@ TOKEN_LIMIT = 512
 TOXIC_FROM = 0.3
 
 
+def op3_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Words of every document that stand in windows of benchmark items."""
+    found = contamination.contamination(
+        documents(spark, folder), spark.read.parquet(f"{folder}/benchmark.parquet"), scratch_path(spark, "contamination")
+    )
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), contamination.contaminated().alias("contaminated"),
+    )
+
+
 def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
     """What the mix takes from every document."""
     mixed = mixing.mix(mixing.word_counts(documents(spark, folder)), scratch_path(spark, "mixing"))
@@ -67,6 +78,7 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_decontamination": op3_decontamination,
     "op4_mixing": op4_mixing,
     "op5_quality_rules": op5_quality_rules,
     "op6_toxicity": op6_toxicity,
@@ -76,6 +88,41 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_token_counts": op10_token_counts,
 }
 ORACLES: dict[str, str] = {
+    "op3_decontamination": r"""
+        WITH doc_words AS (
+            SELECT row_number() OVER () AS row, doc_id,
+                coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS words
+            FROM documents
+        ), item_words AS (
+            SELECT coalesce(item_id::VARCHAR, '') AS item_id,
+                regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+            FROM benchmark
+        ), sizes AS (
+            SELECT item_id, words, least(len(words), 13) AS size FROM item_words WHERE len(words) > 0
+        ), item_windows AS (
+            SELECT DISTINCT item_id, size, array_to_string(words[s:s + size - 1], ' ') AS phrase
+            FROM (SELECT item_id, size, words, unnest(range(1, len(words) - size + 2)) AS s FROM sizes)
+        ), doc_windows AS (
+            SELECT row, s, size, array_to_string(words[s:s + size - 1], ' ') AS phrase
+            FROM (SELECT row, words, size, unnest(range(1, len(words) - size + 2)) AS s
+                  FROM doc_words, (SELECT DISTINCT size FROM sizes))
+        ), hits AS (
+            SELECT row, s, size, item_id FROM doc_windows JOIN item_windows USING (size, phrase)
+        ), hit_words AS (
+            SELECT row, count(DISTINCT spot) AS n_hit
+            FROM (SELECT DISTINCT row, unnest(range(s, s + size)) AS spot FROM (SELECT DISTINCT row, s, size FROM hits))
+            GROUP BY row
+        ), hit_items AS (
+            SELECT row, list_sort(list(DISTINCT item_id)) AS items FROM hits GROUP BY row
+        )
+        SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+            len(coalesce(items, []))::BIGINT AS n_items,
+            sha256(array_to_string(coalesce(items, []), ',')) AS items_sha256,
+            coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(words) AS contaminated
+        FROM doc_words LEFT JOIN hit_words USING (row) LEFT JOIN hit_items USING (row)
+    """,
     "op4_mixing": r"""
         WITH sized AS (
             SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size
