@@ -124,8 +124,19 @@ class Classifier:
         return 1 / (1 + np.exp(-np.clip(odds, -40, 40)))
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, learn: Column, toxic_rows: int, clean_rows: int) -> tuple[list, float]:
-    """Terms and labels of a bounded sample of labelled texts, and the share of toxic labels."""
+@dataclass
+class Sample:
+    """Labelled texts as terms: ``rows`` and ``terms`` are the (text, term) pairs."""
+
+    marks: np.ndarray
+    flags: np.ndarray
+    rows: np.ndarray
+    terms: np.ndarray
+    share: float
+
+
+def training_rows(docs: DataFrame, labels: DataFrame, learn: Column, toxic_rows: int, clean_rows: int) -> Sample | None:
+    """Terms and labels of a bounded sample of labelled texts, and the share of toxic labels in all."""
     marked = (
         labels.select(F.col("doc_id").cast("long"), F.col("toxic").cast("int").alias("toxic"))
         .where(learn & F.col("toxic").isNotNull())
@@ -135,7 +146,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, learn: Column, toxic_rows:
     counts = {r["toxic"]: r["n"] for r in marked.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     n_toxic, n_clean = counts.get(1, 0), counts.get(0, 0)
     if not n_toxic or not n_clean:
-        return [], 0.0
+        return None
     key = F.pmod(F.xxhash64("doc_id", F.lit(72)), F.lit(1_000_000)) / 1e6
     rate = F.when(F.col("toxic") == 1, min(1.0, toxic_rows / n_toxic)).otherwise(min(1.0, clean_rows / n_clean))
     chosen = marked.where(key < rate)
@@ -144,22 +155,26 @@ def training_rows(docs: DataFrame, labels: DataFrame, learn: Column, toxic_rows:
     def compute(texts: list[bytes | None]) -> list:
         owners, found, flags = terms(texts)
         cuts = np.searchsorted(owners, np.arange(len(texts) + 1))
-        return [[found[a:b].view(np.int64).tolist() for a, b in zip(cuts[:-1], cuts[1:], strict=True)], flags.tolist()]
-
-    got = map_texts(rows, compute, "terms array<bigint>, patterns array<float>", keep=("doc_id", "toxic")).toPandas()
-    sample = sorted(
-        ((int(t), np.asarray(a, np.int64).view(np.uint64), np.asarray(p, np.float32)) for t, a, p in zip(got["toxic"], got["terms"], got["patterns"], strict=True)),
-        key=lambda r: (r[0], r[1].tobytes()),
+        return [[found[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)], [f.tobytes() for f in flags]]
+
+    got = map_texts(rows, compute, "terms binary, flags binary", keep=("doc_id", "toxic")).toArrow()
+    got = got.sort_by([("doc_id", "ascending"), ("terms", "ascending")]).combine_chunks()
+    sizes = np.array([len(t.as_py()) // 8 for t in got.column("terms")], np.int64)
+    return Sample(
+        got.column("toxic").to_numpy().astype(np.int64),
+        np.frombuffer(b"".join(got.column("flags").to_pylist()), np.float32).reshape(-1, len(PATTERNS)).astype(np.float64),
+        np.repeat(np.arange(len(sizes), dtype=np.int32), sizes),
+        np.frombuffer(b"".join(got.column("terms").to_pylist()), np.uint64),
+        n_toxic / (n_toxic + n_clean),
     )
-    return sample, n_toxic / (n_toxic + n_clean)
 
 
 def train(
     docs: DataFrame,
     labels: DataFrame,
     learn: Column,
-    toxic_rows: int = 2000,
-    clean_rows: int = 3000,
+    toxic_rows: int = 1500,
+    clean_rows: int = 2000,
     lexicon: int = 96,
     features: int = 4096,
 ) -> Classifier:
@@ -167,13 +182,12 @@ def train(
 
     Without labels of both kinds every text scores 0.
     """
-    sample, share = training_rows(docs, labels, learn, toxic_rows, clean_rows)
-    if not sample:
+    sample = training_rows(docs, labels, learn, toxic_rows, clean_rows)
+    if sample is None or not 0 < sample.marks.sum() < len(sample.marks):
         return Classifier(np.zeros(0, np.uint64), np.zeros(0), np.zeros(len(PATTERNS)), -40.0)
-    marks = np.array([t for t, _, _ in sample])
-    flags = np.array([p for _, _, p in sample]).astype(np.float64)
-    rows = np.repeat(np.arange(len(sample)), [len(a) for _, a, _ in sample])
-    vocabulary, term = np.unique(np.concatenate([a for _, a, _ in sample]), return_inverse=True)
+    marks, flags, rows, share, n = sample.marks, sample.flags, sample.rows, sample.share, len(sample.marks)
+    vocabulary, term = np.unique(sample.terms, return_inverse=True)
+    term = term.astype(np.int32)
     in_toxic = np.bincount(term, marks[rows], len(vocabulary))
     in_clean = np.bincount(term, 1 - marks[rows], len(vocabulary))
     n_toxic, n_clean = marks.sum(), (1 - marks).sum()
@@ -185,11 +199,11 @@ def train(
     chosen = chosen[clear[chosen] > 0]
     place = np.full(len(vocabulary), -1)
     place[chosen] = np.arange(len(chosen))
-    votes = np.zeros((len(sample), len(chosen)))
+    votes = np.zeros((n, len(chosen)))
     voting = place[term] >= 0
     votes[rows[voting], place[term[voting]]] = 1
     nothing = votes.sum(axis=1, keepdims=True) == 0  # a voter for clean
-    importance = np.where(marks == 1, share / n_toxic, (1 - share) / n_clean) * len(sample)
+    importance = np.where(marks == 1, share / n_toxic, (1 - share) / n_clean) * n
     model = LabelModel.fit(np.concatenate([votes, flags, nothing], axis=1), len(chosen), share, importance)
     wanted = model.posterior(np.concatenate([votes, flags, nothing], axis=1))
 
@@ -212,7 +226,7 @@ def train(
     penalty[-1] = 0
     first, second = np.zeros_like(theta), np.zeros_like(theta)
     for t in range(1, 401):
-        z = np.bincount(at_row, theta[at_term], len(sample)) + flags @ theta[k:-1] + theta[-1]
+        z = np.bincount(at_row, theta[at_term], n) + flags @ theta[k:-1] + theta[-1]
         error = (1 / (1 + np.exp(-np.clip(z, -40, 40))) - wanted) * balance
         grad = np.concatenate([np.bincount(at_term, error[at_row], k), flags.T @ error, [error.sum()]]) + penalty * theta
         first += 0.1 * (grad - first)
