@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmeter.llm import contamination, language, licenses, mixing, quality, simhash, tokens, toxicity
+from tripmeter.llm import contamination, language, licenses, mixing, quality, simhash, substrings, suffix_dedup, tokens, toxicity
 from tripmeter.llm.texts import documents
 from tripmeter.session import scratch_path
 
@@ -17,6 +17,26 @@ TOKEN_LIMIT = 512
 TOXIC_FROM = 0.3
 
 
+def _removed(spans: str) -> Column:
+    """Symbols inside disjoint spans."""
+    return F.aggregate(spans, F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["begin"])
+
+
+def op1_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Words of every document inside windows that also stand elsewhere."""
+    found = substrings.deduplicated(documents(spark, folder))
+    return found.select("doc_id", "n_words", _removed("spans").alias("n_removed"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op2_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Bytes of every document inside strings that start earlier."""
+    found = suffix_dedup.deduplicated(documents(spark, folder))
+    return found.select(
+        "doc_id", "n_bytes", _removed("spans").alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op3_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     """Words of every document that stand in windows of benchmark items."""
     found = contamination.contamination(
@@ -78,6 +98,8 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_substring_dedup": op1_substring_dedup,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op3_decontamination": op3_decontamination,
     "op4_mixing": op4_mixing,
     "op5_quality_rules": op5_quality_rules,
