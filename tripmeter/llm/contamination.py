@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripmeter.llm.texts import PLAIN, as_bytes, id_and_text, map_texts, pieces, reach_workers
+from tripmeter.llm.texts import PLAIN, as_bytes, id_and_text, map_texts, pieces, reach_workers, text_hash
 from tripmeter.llm.words import Words
 
 WINDOW = 13
@@ -30,7 +30,7 @@ BLOCK_WORDS = 1 << 20
 #: Bits of the filter that keeps postings of terms which no test item has out of the index. Its
 #: size is fixed: a large test set makes it let more terms through, not grow.
 FILTER_BITS = 1 << 22
-_SCHEMA = "segment bigint, doc_ids array<bigint>, n_words array<int>, terms array<bigint>, counts array<int>, places array<int>"
+_SCHEMA = "segment bigint, doc_ids array<bigint>, text_hashes array<bigint>, n_words array<int>, terms array<bigint>, counts array<int>, places array<int>"
 
 
 def term_filter(items: DataFrame) -> np.ndarray:
@@ -83,14 +83,15 @@ def build_index(docs: DataFrame, path: str, only: np.ndarray | None = None) -> D
                     [
                         pa.array([number], pa.int64()),
                         _one_row(part.column(0)),
+                        _one_row(part.column(2)),
                         _one_row(pa.array(np.concatenate(sizes).astype(np.int32))),
                         *[_one_row(pa.array(x)) for x in made],
                     ],
-                    names=["segment", "doc_ids", "n_words", "terms", "counts", "places"],
+                    names=["segment", "doc_ids", "text_hashes", "n_words", "terms", "counts", "places"],
                 )
                 number += 1
 
-    id_and_text(docs).mapInArrow(run, _SCHEMA).write.parquet(path)
+    id_and_text(docs, text_hash().alias("text_hash")).mapInArrow(run, _SCHEMA).write.parquet(path)
     return spark.read.parquet(path)
 
 
@@ -305,9 +306,12 @@ def proximity_matches(index: DataFrame, items: DataFrame, within: int) -> DataFr
 
 
 def indexed_documents(index: DataFrame) -> DataFrame:
-    """``segment, ordinal, doc_id, n_words`` of every document in the index."""
-    docs = index.select("segment", F.posexplode(F.arrays_zip("doc_ids", "n_words")).alias("ordinal", "d"))
-    return docs.select("segment", "ordinal", F.col("d.doc_ids").alias("doc_id"), F.col("d.n_words").cast("long").alias("n_words"))
+    """``segment, ordinal, doc_id, text_hash, n_words`` of every document in the index."""
+    docs = index.select("segment", F.posexplode(F.arrays_zip("doc_ids", "text_hashes", "n_words")).alias("ordinal", "d"))
+    return docs.select(
+        "segment", "ordinal", F.col("d.doc_ids").alias("doc_id"), F.col("d.text_hashes").alias("text_hash"),
+        F.col("d.n_words").cast("long").alias("n_words"),
+    )
 
 
 def words_in(spans: Column) -> Column:
@@ -321,7 +325,7 @@ def words_in(spans: Column) -> Column:
 
 
 def contamination(docs: DataFrame, items: DataFrame, scratch: str, window: int = WINDOW) -> DataFrame:
-    """``doc_id, n_words, n_hit, items`` of every document.
+    """``doc_id, text_hash, n_words, n_hit, items`` of every document.
 
     ``n_hit`` counts the document's words inside occurrences of test windows, ``items`` lists the
     ids of items with occurring windows, sorted as strings.  Items that share an id are one item; a
@@ -335,7 +339,7 @@ def contamination(docs: DataFrame, items: DataFrame, scratch: str, window: int =
         F.array_sort(F.collect_set(F.struct("start", "size"))).alias("spans"), F.array_sort(F.collect_set("item_id")).alias("items")
     )
     return indexed_documents(index).join(per_doc, ["segment", "ordinal"], "left").select(
-        "doc_id", "n_words",
+        "doc_id", "text_hash", "n_words",
         F.coalesce(words_in(F.col("spans")), F.lit(0)).cast("long").alias("n_hit"),
         F.coalesce("items", F.array().cast("array<string>")).alias("items"),
     )
@@ -344,3 +348,10 @@ def contamination(docs: DataFrame, items: DataFrame, scratch: str, window: int =
 def contaminated() -> Column:
     """At least a twentieth of the words is hit."""
     return (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))
+
+
+def without_contaminated(docs: DataFrame, items: DataFrame, scratch: str, window: int = WINDOW) -> DataFrame:
+    """``docs`` without the documents that :func:`contaminated` is true for."""
+    found = contamination(docs, items, scratch, window).where(contaminated()).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (text_hash() == F.col("_hash"))
+    return docs.join(found, same, "left_anti")

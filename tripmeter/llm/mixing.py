@@ -78,8 +78,10 @@ def word_counts(docs: DataFrame, *keep: str) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), F.col("source").cast("string"), size.alias("size"), *keep)
 
 
-def mix(sized: DataFrame, scratch: str, weights: Sequence[int] = (3, 1, 2), share: float = 1.5, most: int = 2) -> DataFrame:
-    """``doc_id, source, size, source_size, target, taken`` of every row of ``doc_id, source, size``.
+def mix(
+    sized: DataFrame, scratch: str, weights: Sequence[int] = (3, 1, 2), share: float = 1.5, most: int = 2, keep: Sequence[str] = ()
+) -> DataFrame:
+    """``doc_id, source, size, source_size, target, *keep, taken`` of every row of ``doc_id, source, size, *keep``.
 
     ``taken`` counts the words the mix takes from a document, repeats included: whole passes over a
     source, then its documents in random order up to the exact budget, the last one in part.  The
@@ -89,7 +91,7 @@ def mix(sized: DataFrame, scratch: str, weights: Sequence[int] = (3, 1, 2), shar
     """
     spark = sized.sparkSession
     key = F.md5(F.concat(F.lit("mix:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
-    sized.select("doc_id", "source", "size", key.alias("key")).write.parquet(f"{scratch}/sized")
+    sized.select("doc_id", "source", "size", key.alias("key"), *keep).write.parquet(f"{scratch}/sized")
     stored = spark.read.parquet(f"{scratch}/sized")
     goals = targets(stored.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, most, f"{scratch}/targets")
     placed = running_sums(stored, ["source"], [F.col("key"), F.col("doc_id"), F.col("size")], ["size"], f"{scratch}/placed")
@@ -97,6 +99,6 @@ def mix(sized: DataFrame, scratch: str, weights: Sequence[int] = (3, 1, 2), shar
     passes = F.coalesce(F.try_divide(goal, F.col("g.source_size")).cast("long"), F.lit(0))
     rest = goal - passes * F.col("g.source_size") - F.col("p.before_size")
     return placed.alias("p").join(goals.alias("g"), F.col("p.source").eqNullSafe(F.col("g.source"))).select(
-        "p.doc_id", "p.source", "p.size", "g.source_size", "g.target",
+        "p.doc_id", "p.source", "p.size", "g.source_size", "g.target", *[f"p.{c}" for c in keep],
         (passes * F.col("p.size") + F.greatest(F.lit(0), F.least(F.col("p.size"), rest))).cast("long").alias("taken"),
     )

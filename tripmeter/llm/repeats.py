@@ -149,11 +149,11 @@ def find_runs(symbols: Words, scheme: Scheme) -> Runs:
     )
 
 
-def in_order(table: pa.Table) -> tuple[list[int | None], list[bytes | None]]:
-    """Documents of a block by id (null first), equal ids by text: the same in every pass."""
+def in_order(table: pa.Table) -> tuple[list[int | None], list[bytes | None], list[int]]:
+    """Documents of a block by id (null first), equal ids by text, and their rows: the same in every pass."""
     ids, texts = table.column("doc_id").to_pylist(), as_bytes(table.column("text").combine_chunks())
     order = sorted(range(len(ids)), key=lambda i: (ids[i] is not None, ids[i] or 0, texts[i] is not None, texts[i] or b""))
-    return [ids[i] for i in order], [texts[i] for i in order]
+    return [ids[i] for i in order], [texts[i] for i in order], order
 
 
 def block_runs(texts: list[bytes | None], scheme: Scheme) -> Iterator[tuple[int, Words, Runs]]:
@@ -167,7 +167,7 @@ def anchors(scheme: Scheme) -> Callable:
     """Distinct anchors of a block, with the number of their different runs and whether any run stands twice."""
 
     def run(table: pa.Table) -> pa.Table:
-        _, texts = in_order(table)
+        _, texts, _ = in_order(table)
         found = [(r.anchor, r.hash) for _, _, r in block_runs(texts, scheme)]
         anchor, hashes = (np.concatenate([f[i] for f in found] or [np.zeros(0, np.uint64)]) for i in range(2))
         order = np.lexsort((hashes, anchor))
@@ -210,7 +210,7 @@ def send(scheme: Scheme, shards: int) -> Callable:
 
     def run(docs: pa.Table, wanted: pa.Table) -> pa.Table:
         out = []
-        ids, texts = in_order(docs)
+        ids, texts, _ = in_order(docs)
         block = docs.column("block")[0].as_py() if len(docs) else 0
         known = wanted.column("anchor").to_numpy().view(np.uint64)
         order = np.argsort(known, kind="stable")
@@ -345,14 +345,16 @@ def compare(scheme: Scheme, repeated: Callable[[Shard], list[np.ndarray]]) -> Ca
     return run
 
 
-def repeated_spans(docs: DataFrame, scheme: Scheme, repeated: Callable[[Shard], list[np.ndarray]]) -> tuple[DataFrame, DataFrame]:
-    """Documents in blocks (``block, doc_id, text``) and spans of repeated windows (``block, ordinal, begin, end``).
+def repeated_spans(
+    docs: DataFrame, scheme: Scheme, repeated: Callable[[Shard], list[np.ndarray]], *keep: str
+) -> tuple[DataFrame, DataFrame]:
+    """Documents in blocks (``block, doc_id, text, *keep``) and spans of repeated windows (``block, ordinal, begin, end``).
 
     ``ordinal`` numbers a block's documents in the order of :func:`in_order`; spans are counted in
     symbols and may overlap.
     """
     reach_workers(docs.sparkSession)
-    rows = id_and_text(docs)
+    rows = id_and_text(docs, *keep)
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks, shards = max(1, -(-total // BLOCK_BYTES)), max(1, -(-total // SHARD_BYTES))
     dealt = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int"))
@@ -371,20 +373,24 @@ def repeated_spans(docs: DataFrame, scheme: Scheme, repeated: Callable[[Shard],
 
 
 def per_document(dealt: DataFrame, spans: DataFrame, make: Callable, schema: str) -> DataFrame:
-    """``make(ids, texts, spans)`` for the documents of each block, as one list per column of ``schema``.
+    """``doc_id``, the columns kept with ``dealt``, and what ``make(texts, spans)`` gives for each block.
 
-    ``spans`` are the documents' joined spans: (begins, ends) for each.
+    ``spans`` are the documents' joined spans, (begins, ends) for each; ``make`` returns one list per
+    column of ``schema``.
     """
-    out = StructType.fromDDL(schema)
+    keep = [f for f in dealt.schema if f.name not in ("text", "block")]
+    out = StructType([*keep, *StructType.fromDDL(schema)])
 
     def run(docs: pa.Table, found: pa.Table) -> pa.Table:
         from pyspark.sql.pandas.types import to_arrow_schema
 
-        ids, texts = in_order(docs)
+        ids, texts, rows = in_order(docs)
         ordinal, begin, end = join_spans(*(found.column(n).to_numpy().astype(np.int64) for n in ("ordinal", "begin", "end")))
         cuts = np.searchsorted(ordinal, np.arange(len(ids) + 1))
-        made = make(ids, texts, [(begin[a:b], end[a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)])
+        made = make(texts, [(begin[a:b], end[a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)])
         arrow = to_arrow_schema(out)
-        return pa.table([pa.array(c, f.type) for c, f in zip(made, arrow, strict=True)], schema=arrow)
+        kept = docs.select([f.name for f in keep]).take(pa.array(rows, pa.int64())).cast(pa.schema(list(arrow)[: len(keep)]))
+        columns = [*kept.columns, *[pa.array(c, arrow.field(len(keep) + i).type) for i, c in enumerate(made)]]
+        return pa.table(columns, schema=arrow)
 
     return dealt.groupBy("block").cogroup(spans.groupBy("block")).applyInArrow(run, out)

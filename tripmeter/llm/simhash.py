@@ -16,11 +16,11 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripmeter.llm.graphs import components
-from tripmeter.llm.texts import LOWER, id_and_text, map_texts, reach_workers
+from tripmeter.llm.texts import LOWER, id_and_text, map_texts, reach_workers, text_hash
 
 SEED = 42
 #: Rows of a cell that are compared in one unit of work; larger cells are cut into blocks, and every two blocks are a unit.
@@ -190,7 +190,9 @@ def near_links(fps: DataFrame, max_bits: int, scratch: str, block: int = BLOCK)
 
 
 def near_duplicates(docs: DataFrame, scratch: str, size: int = 3, max_bits: int = 3, *keep: str) -> DataFrame:
-    """``doc_id, fp, component_id`` of every row: the smallest id reachable over links of ``max_bits`` bits or fewer.
+    """``doc_id, fp, root, component_id`` of every row: the smallest id reachable over links of ``max_bits`` bits or fewer.
+
+    ``root`` is a fingerprint that names the component.
 
     Rows without an id take part and may connect others; a component without any id has a null
     ``component_id``.  Rows that repeat give a row each; an empty table gives no rows; of other
@@ -205,10 +207,26 @@ def near_duplicates(docs: DataFrame, scratch: str, size: int = 3, max_bits: int
     roots = components(links, f"{scratch}/components").withColumnRenamed("node", "fp")
     rooted = nodes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = rooted.join(least, "root").select("fp", "component_id")
+    named = rooted.join(least, "root").select("fp", "root", "component_id")
     return marked.join(named, "fp")
 
 
+def one_of_each(docs: DataFrame, scratch: str, size: int = 3, max_bits: int = 3) -> DataFrame:
+    """``docs`` with one document of each component: the smallest id, of rows that share it one with the least text hash.
+
+    Rows without an id stay only where their component has no id.
+    """
+    columns = docs.columns
+    named = docs.withColumns({"_key": F.coalesce(F.col("doc_id").cast("long"), F.lit(0)), "_hash": text_hash()})
+    found = near_duplicates(named, scratch, size, max_bits, "_hash")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "_hash")).alias("first")
+    chosen = found.groupBy("root").agg(first).select(F.coalesce("first.doc_id", F.lit(0)).alias("_key"), F.col("first._hash").alias("_hash"), F.col("first.no_id").alias("_no_id"))
+    met = named.join(chosen, ["_key", "_hash"]).where(F.col("doc_id").isNull() == F.col("_no_id"))
+    # Equal rows: any of them.
+    again = Window.partitionBy("_key", "_hash").orderBy(*[F.col(f"`{c}`") for c in columns if c != "text"])
+    return met.withColumn("_n", F.row_number().over(again)).where("_n = 1").select(*[f"`{c}`" for c in columns])
+
+
 def as_hex(fp: Column) -> Column:
     """16 lowercase hex digits."""
     return F.lpad(F.lower(F.hex(fp)), 16, "0")

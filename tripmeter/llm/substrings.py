@@ -87,32 +87,31 @@ def repeated_windows(size: int):
     return repeated
 
 
-def removed_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> tuple[DataFrame, DataFrame]:
+def removed_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, *keep: str) -> tuple[DataFrame, DataFrame]:
     """Documents in blocks, and spans of words inside a window of words that also stands elsewhere."""
-    return repeated_spans(docs, Scheme(SingleSpaced, window, gram, first_too=True), repeated_windows(window))
+    return repeated_spans(docs, Scheme(SingleSpaced, window, gram, first_too=True), repeated_windows(window), *keep)
 
 
-def deduplicated(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
+def deduplicated(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, *keep: str) -> DataFrame:
     """``doc_id, n_words, spans, kept``: each document's removed word ranges and the words that remain.
 
     A word goes if it lies in ``window`` consecutive words that also start anywhere else, in the same
     document or another; the remaining words are joined by single spaces.  A null text has no words;
-    rows that repeat count as different documents, and give a row each.  Other columns of ``docs``
-    are not read.
+    rows that repeat count as different documents, and give a row each.  Of other columns
+    only ``keep`` are read and returned.
     """
-    dealt, spans = removed_spans(docs, window, gram)
+    dealt, spans = removed_spans(docs, window, gram, *keep)
 
-    def make(ids, texts, found):
+    def make(texts, found):
         words = [(t or b"").split() for t in texts]
         kept = [
             b" ".join(x for a, b in zip([0, *s[1].tolist()], [*s[0].tolist(), len(w)], strict=True) for x in w[a:b])
             for w, s in zip(words, found, strict=True)
         ]
         return [
-            ids,
             [len(w) for w in words],
             [[{"begin": a, "end": b} for a, b in zip(s[0].tolist(), s[1].tolist(), strict=True)] for s in found],
             [k.decode("utf-8", "replace") for k in kept],
         ]
 
-    return per_document(dealt, spans, make, "doc_id bigint, n_words bigint, spans array<struct<begin:int,end:int>>, kept string")
+    return per_document(dealt, spans, make, "n_words bigint, spans array<struct<begin:int,end:int>>, kept string")

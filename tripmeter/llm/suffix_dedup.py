@@ -9,7 +9,8 @@ windows are merged by binary search.
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from tripmeter.llm.repeats import Bytes, Scheme, Shard, per_document, repeated_spans
 from tripmeter.llm.suffixes import common_prefixes, merge, suffix_array
@@ -71,9 +72,9 @@ def later_windows(size: int):
     return repeated
 
 
-def removed_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> tuple[DataFrame, DataFrame]:
+def removed_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, *keep: str) -> tuple[DataFrame, DataFrame]:
     """Documents in blocks, and spans of bytes inside a string of ``window`` bytes that starts earlier."""
-    return repeated_spans(docs, Scheme(Bytes, window, gram, first_too=False), later_windows(window))
+    return repeated_spans(docs, Scheme(Bytes, window, gram, first_too=False), later_windows(window), *keep)
 
 
 def kept_bytes(text: bytes, spans: tuple[np.ndarray, np.ndarray]) -> bytes:
@@ -82,24 +83,30 @@ def kept_bytes(text: bytes, spans: tuple[np.ndarray, np.ndarray]) -> bytes:
     return b"".join(text[a:b] for a, b in zip([0, *ends.tolist()], [*begins.tolist(), len(text)], strict=True))
 
 
-def deduplicated(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
+def readable(kept: str) -> Column:
+    """Column: bytes as text, without the rest of characters that were cut."""
+    replaced = F.when(F.expr(f"is_valid_utf8(CAST({kept} AS STRING))"), F.col(kept).cast("string"))
+    return F.coalesce(replaced, F.replace(F.expr(f"make_valid_utf8(CAST({kept} AS STRING))"), F.lit("\ufffd"), F.lit("")))
+
+
+def deduplicated(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, *keep: str) -> DataFrame:
     """``doc_id, n_bytes, spans, kept``: each document's removed byte ranges and the bytes that remain.
 
     A byte goes if it lies in a string of ``window`` bytes that also starts earlier: in a document
     with a smaller id (null ids come first; documents that share an id are ordered by a hash of the
     text, and equal ones one after the other), or earlier in the same document.  A null text counts
     as empty; texts shorter than ``window`` are never cut, yet rows that repeat give a row each.
-    Other columns of ``docs`` are not read.
+    Of other columns only ``keep`` are
+    read and returned.
     """
-    dealt, spans = removed_spans(docs, window, gram)
+    dealt, spans = removed_spans(docs, window, gram, *keep)
 
-    def make(ids, texts, found):
+    def make(texts, found):
         texts = [t or b"" for t in texts]
         return [
-            ids,
             [len(t) for t in texts],
             [[{"begin": a, "end": b} for a, b in zip(s[0].tolist(), s[1].tolist(), strict=True)] for s in found],
             [kept_bytes(t, s) for t, s in zip(texts, found, strict=True)],
         ]
 
-    return per_document(dealt, spans, make, "doc_id bigint, n_bytes bigint, spans array<struct<begin:int,end:int>>, kept binary")
+    return per_document(dealt, spans, make, "n_bytes bigint, spans array<struct<begin:int,end:int>>, kept binary")

@@ -9,7 +9,7 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -47,7 +47,12 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
 
 def id_and_text(docs: DataFrame, *more: str) -> DataFrame:
     """The columns that an operator reads, whatever else the table has."""
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), *more)
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), *[m for m in more if not (isinstance(m, str) and m == "text")])
+
+
+def text_hash() -> Column:
+    """Tells apart rows that share an id."""
+    return F.xxhash64(F.col("text").cast("string"))
 
 
 def pieces(texts: pa.Array, limit: int = PIECE_BYTES) -> Iterator[tuple[int, int]]:
@@ -78,7 +83,9 @@ def map_texts(
     ``compute`` gets the texts of one piece as UTF-8 (None where null) and returns one list or
     array per further column of ``schema``.  The result has a row for each row of ``docs``.
     """
-    frame = docs.select(*keep, "text")
+    read = keep if "text" in keep else (*keep, "text")
+    frame = docs.select(*read)
+    at = read.index("text")
     reach_workers(docs.sparkSession)
     out = StructType([*(frame.schema[c] for c in keep), *StructType.fromDDL(schema)])
     n = len(keep)
@@ -88,10 +95,10 @@ def map_texts(
 
         arrow = to_arrow_schema(out)
         for batch in batches:
-            texts = batch.column(n)
+            texts = batch.column(at)
             for begin, end in pieces(texts):
                 part = batch.slice(begin, end - begin)
-                made = compute(as_bytes(part.column(n)))
+                made = compute(as_bytes(part.column(at)))
                 columns = [part.column(i).cast(arrow.field(i).type) for i in range(n)]
                 columns += [pa.array(c, type=arrow.field(n + i).type, from_pandas=False) for i, c in enumerate(made)]
                 yield pa.RecordBatch.from_arrays(columns, schema=arrow)
