@@ -255,6 +255,8 @@ def phrase_matches(index: DataFrame, items: DataFrame, window: int = WINDOW) ->
             for batch in batches:
                 for number, segment in _segments(batch):
                     which, place = segment.occurrences(query)
+                    if not len(which):
+                        continue
                     item, start, size = query.item[which], query.start[which], query.size[which]
                     # Windows of one item that follow each other are one run.
                     diagonal = place - start
