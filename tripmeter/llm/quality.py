@@ -22,12 +22,12 @@ SYMBOLS = b"#*$%&|<>"
 WINDOW = 8
 MIN_WORDS = 20
 MAX_REPEATED_PERCENT = 30
-#: Buckets grow by this factor: quantiles are within 2 % of the exact ones.
-GROWTH = 1.04
+#: Buckets grow by this factor, so quantiles are at most 2 % above the exact ones.
+GROWTH = 1.02
 #: Metrics and the least limit of each, so that groups in which a metric is nearly always 0 keep their clean documents.
 FLOORS = {"symbol_share": 0.1, "dup_line_share": 0.5, "word_length": 7.0, "repeat_share": 0.3}
-#: A limit lies so many times the upper spread (third quartile less median) above the third quartile;
-#: a quarter of a group may be junk before its limits give way.
+#: A limit lies so many times the upper spread (third quartile less median, at least a bucket) above
+#: the third quartile; a quarter of a group may be junk before its limits give way.
 SPREADS = 6.0
 
 _SYMBOL = np.zeros(256, bool)
@@ -113,7 +113,7 @@ def limits(values: DataFrame, group: list[str], floors: dict[str, float] = FLOOR
     """One row a group with ``limit_<metric>`` for each metric."""
     metrics = list(floors)
     found = quantiles(sketch(values, group, metrics), group, [0.5, 0.75])
-    fence = F.col("q1") + SPREADS * (F.col("q1") - F.col("q0"))
+    fence = F.col("q1") + SPREADS * F.greatest(F.col("q1") - F.col("q0"), F.col("q1") * (GROWTH - 1))
     return found.groupBy(*group).agg(
         *[F.greatest(F.max(F.when(F.col("metric") == i, fence)), F.lit(floors[m])).alias(f"limit_{m}") for i, m in enumerate(metrics)]
     )
