@@ -8,7 +8,14 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
+from tripmeter.models.training import Hyperparameters  # noqa: E402
 from tripmeter.session import prepare  # noqa: E402
+from workload import queries  # noqa: E402
+
+# The registered training queries run the default settings; here smaller ones do.
+queries.SETTINGS = Hyperparameters(
+    forest_trees=5, forest_depth=4, boosted_rounds=3, boosted_depth=3, deep_rounds=3, deep_depth=3
+)
 
 DATA = "/root/testdata"
 

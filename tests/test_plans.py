@@ -90,4 +90,22 @@ def final_plan(df) -> str:
 def test_quantiles_share_their_shuffle(spark, name, scans):
     text = final_plan(queries.QUERIES[name](spark, FOLDER))
     assert text.count("FileScan") == scans
-    assert "ReusedExchange" in text
+
+
+def scans(df) -> int:
+    return plan(df).count("FileScan")
+
+
+def test_bins_do_not_multiply_the_input(spark):
+    from tripmeter.operators.quantiles import quantile_bin
+
+    events = spark.read.parquet(f"{FOLDER}/events.parquet").select("event_id", "value")
+    assert len({scans(quantile_bin(events, "value", bins)) for bins in (5, 10, 40)}) == 1
+
+
+@pytest.mark.parametrize("name,most", [("error_by_quintile", 15), ("error_metrics", 6),
+                                       ("rate_and_count", 1), ("duplicate_rows", 2)])
+def test_few_scans_are_planned(spark, name, most):
+    assert scans(queries.QUERIES[name](spark, FOLDER)) <= most
+
+

@@ -1,19 +1,32 @@
 """Timestamps: parsing, local time, elapsed minutes and calendar parts.
 
 ``*_utc`` columns are instants (TIMESTAMP), ``*_local`` columns are wall clocks
-(TIMESTAMP_NTZ).  The session zone is UTC, so both turn into each other unchanged.
+(TIMESTAMP_NTZ).  In a session whose zone is UTC both turn into each other unchanged; in any
+other zone the arithmetic would be wrong, so it fails at once.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 # Weekday names, Monday = 0.
 WEEKDAY_LABELS = {0: "Mon", 1: "Tue", 2: "Wed", 3: "Thu", 4: "Fri", 5: "Sat", 6: "Sun"}
 
 
+UTC_ZONES = {"UTC", "Etc/UTC", "GMT", "Etc/GMT", "Z", "+00:00", "UTC+00:00"}
+
+
+def require_utc() -> None:
+    """Fail unless the session zone is UTC."""
+    session = SparkSession.getActiveSession()
+    zone = session.conf.get("spark.sql.session.timeZone") if session else "UTC"
+    if zone not in UTC_ZONES:
+        raise RuntimeError(f"the session zone is {zone}; wall-clock arithmetic needs UTC (tripmeter.session.prepare)")
+
+
 def _micros(ts: Column) -> Column:
+    require_utc()
     return F.unix_micros(ts.cast("timestamp"))
 
 
@@ -24,6 +37,7 @@ def parse_wall_clock(value: Column) -> Column:
 
 def utc_to_local(ts_utc: Column, offset_hours: int) -> Column:
     """Wall clock of a zone that lies a fixed number of hours behind UTC (no DST)."""
+    require_utc()
     interval = F.make_dt_interval(F.lit(0), F.lit(offset_hours))
     return parse_wall_clock(ts_utc) - interval
 

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripmeter.functions.clock import (
@@ -22,9 +22,6 @@ from tripmeter.schemas import TARGET
 
 KEY = "trip_key"
 
-# More labels than this cannot become columns.
-MAX_LABELS = 5000
-
 # Share of test rows and the size a stratum must exceed.
 TEST_FRACTION = 0.2
 MORE_THAN = 10
@@ -111,26 +108,70 @@ def split_frame(frame: DataFrame, seed: int = SEED) -> DataFrame:
     )
 
 
-def drop_first_dummies(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Replace category columns by one 0/1 column per value except the first in order.
+def _labels(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Distinct ``(column, value)``, missing values left out."""
+    long = df.select(*[F.col(c).cast("string").alias(c) for c in columns])
+    return long.unpivot([], list(columns), "column", "value").where("value IS NOT NULL").distinct()
+
+
+def label_index(df: DataFrame, columns: Sequence[str], path: str) -> DataFrame:
+    """``column, value, index``: one position per label, the first label of each column without one.
 
-    Only the distinct category labels come to the driver, as they become column names; a
-    column that is not a category (more than MAX_LABELS values in all) is an error.
+    Any number of labels: they are sorted into ranges, stored at ``path``, and numbered from the
+    sizes of the ranges before them.
+    """
+    spark = df.sparkSession
+    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    labels = _labels(df, columns).repartitionByRange(ranges, "column", "value")
+    labels.withColumn("part", F.spark_partition_id()).write.mode("overwrite").parquet(path)
+    stored = spark.read.parquet(path)
+    earlier = Window.partitionBy("column").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = stored.groupBy("column", "part").agg(F.count("*").alias("n"))
+    starts = sizes.withColumn("start", F.coalesce(F.sum("n").over(earlier), F.lit(0))).drop("n")
+    inside = Window.partitionBy("column", "part").orderBy("value")
+    placed = stored.withColumn("place", F.row_number().over(inside) - 1).join(starts, ["column", "part"])
+    # One row per column from here on: where its positions begin.
+    order = F.array_position(F.array(*[F.lit(c) for c in columns]), F.col("column"))
+    used = sizes.groupBy("column").agg((F.sum("n") - 1).alias("used"))
+    before = Window.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = used.withColumn("offset", F.coalesce(F.sum("used").over(before), F.lit(0))).drop("used")
+    position = F.col("start") + F.col("place")
+    index = F.when(position > 0, F.col("offset") + position - 1)
+    return placed.join(F.broadcast(offsets), "column").select("column", "value", index.alias("index"))
+
+
+def sparse_dummies(df: DataFrame, columns: Sequence[str], path: str) -> DataFrame:
+    """Replace category columns by ``indices``: the sorted positions of their labels (all values are 1).
+
+    The sparse form of one 0/1 column per label except each column's first; see :func:`label_index`.
+    """
+    index = label_index(df, columns, path)
+    out = df
+    for c in columns:
+        own = index.where(F.col("column") == c).select(F.col("value").alias(f"_{c}"), F.col("index").alias(f"_i_{c}"))
+        out = out.join(own, F.col(c).cast("string") == F.col(f"_{c}"), "left").drop(f"_{c}")
+    found = F.array_sort(F.array_compact(F.array(*[F.col(f"_i_{c}") for c in columns])))
+    return out.select(*[c for c in df.columns if c not in columns], found.alias("indices"))
+
+
+def label_lists(df: DataFrame, columns: Sequence[str]) -> dict[str, list[str]]:
+    """All labels of each column, on the driver: only for columns known to have few."""
+    found: dict[str, list[str]] = {c: [] for c in columns}
+    for row in _labels(df, columns).collect():
+        found[row["column"]].append(row["value"])
+    return {c: sorted(v) for c, v in found.items()}
+
+
+def drop_first_dummies(
+    df: DataFrame, columns: Sequence[str], labels: Mapping[str, Sequence[str]]
+) -> DataFrame:
+    """Replace category columns by one 0/1 column per label except the first of each column.
+
+    Labels become column names, so the caller names them; :func:`sparse_dummies` needs no list.
     """
-    labels = (
-        df.select(*columns)
-        .unpivot([], list(columns), "column", "value")
-        .where(F.col("value").isNotNull())
-        .distinct()
-        .limit(MAX_LABELS + 1)
-        .collect()
-    )
-    if len(labels) > MAX_LABELS:
-        raise ValueError(f"more than {MAX_LABELS} labels in {list(columns)}")
-    found = {c: sorted(row["value"] for row in labels if row["column"] == c) for c in columns}
     dummies = [
         F.coalesce(F.col(c) == label, F.lit(False)).cast("int").alias(f"{c}_{label}")
         for c in columns
-        for label in found[c][1:]
+        for label in sorted(labels[c])[1:]
     ]
     return df.select(*[c for c in df.columns if c not in columns], *dummies)

@@ -7,10 +7,11 @@ from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, Vec
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripmeter.functions.values import MISSING_KEY_TEXT, log1p_or_null
+from tripmeter.functions.values import MISSING_KEY_TEXT, any_null, log1p_or_null
 from tripmeter.models.features import FeatureSet
 
 FEATURES = "features"
+COMPLETE = "_complete"
 
 
 def scaling(train: DataFrame, features: FeatureSet) -> dict[str, tuple[float, float]]:
@@ -91,5 +92,14 @@ def encoded_names(model: PipelineModel, features: FeatureSet) -> list[str]:
 
 
 def encode(model: PipelineModel, frame: DataFrame) -> DataFrame:
-    """Rows with the feature vector; rows that lack a feature are dropped."""
+    """Rows with the feature vector, for training and evaluation: rows that lack a feature are dropped."""
     return model.transform(frame)
+
+
+def encode_all(model: PipelineModel, frame: DataFrame) -> DataFrame:
+    """All rows with the feature vector and whether it is complete; a missing feature is NaN in it."""
+    *first, assembler = model.stages
+    rows = PipelineModel(first).transform(frame)
+    inputs = [F.col(c) for c in assembler.getInputCols()]
+    keeping = assembler.copy().setHandleInvalid("keep")
+    return keeping.transform(rows.withColumn(COMPLETE, ~any_null(*inputs)))

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmeter.models.features import FEATURE_SETS, FeatureSet, feature_frame, split_frame
-from tripmeter.models.preprocess import FEATURES, encode, fit_preprocessing
+from tripmeter.models.preprocess import COMPLETE, FEATURES, encode, encode_all, fit_preprocessing
 from tripmeter.operators.errors import regression_metrics
 from tripmeter.schemas import TARGET
 
@@ -129,5 +129,11 @@ def train_variant(
 
 
 def score(preprocessing: PipelineModel, model: PipelineModel, frame: DataFrame) -> DataFrame:
-    """Batch prediction for feature rows (a single trip is a one-row frame)."""
-    return model.transform(encode(preprocessing, frame))
+    """Batch prediction for feature rows (a single trip is a one-row frame).
+
+    Every row stays; the prediction is NULL where a feature is missing.
+    """
+    encoded = encode_all(preprocessing, frame)
+    predicted = model.transform(encoded)
+    whole = F.when(F.col(COMPLETE), F.col("prediction"))
+    return predicted.withColumn("prediction", whole).drop(COMPLETE)

@@ -13,6 +13,10 @@ from tripmeter.operators.reshape import columns_to_rows
 from tripmeter.operators.skew import join_facts, split_hot
 
 
+# Copies of one row that a task writes at once.
+REPEAT_BLOCK = 10_000
+
+
 def drop_exact_duplicates(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:
     """One row of each set of equal rows; missing values equal each other."""
     return df.dropDuplicates(list(subset) if subset else None)
@@ -25,8 +29,20 @@ def duplicate_sets(df: DataFrame, subset: Sequence[str] | None = None) -> DataFr
 
 
 def duplicate_members(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:
-    """Every row that belongs to a duplicate set, first occurrences included."""
-    keys = list(subset or df.columns)
+    """Every row that belongs to a duplicate set, first occurrences included, with ``copies``.
+
+    Equal rows need no join: each set is counted and given back as often as it occurs, in blocks, so
+    that a huge set is not written by one task.
+    """
+    if subset is None:
+        blocks = F.sequence(F.lit(0).cast("long"), F.floor((F.col("copies") - 1) / REPEAT_BLOCK))
+        dealt = duplicate_sets(df).withColumn("_block", F.explode(blocks))
+        size = F.least(F.lit(REPEAT_BLOCK), F.col("copies") - F.col("_block") * REPEAT_BLOCK)
+        spread = dealt.repartition("_block", *df.columns)
+        return spread.withColumn("_again", F.explode(F.array_repeat(F.lit(0), size.cast("int")))).drop(
+            "_block", "_again"
+        )
+    keys = list(subset)
     return join_facts(df, duplicate_sets(df, keys), keys, "copies", null_safe=True)
 
 

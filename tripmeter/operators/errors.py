@@ -37,8 +37,8 @@ def error_metrics(df: DataFrame, actual: str = "ATD", predicted: str = "predicti
         F.avg("abs_error").alias("mae"),
         F.sqrt(F.avg(F.col("error") * F.col("error"))).alias("rmse"),
     )
-    return totals.select(
-        "mae", "rmse", q[0].alias("p50_abs_error"), q[1].alias("p90_abs_error")
+    return totals.withColumn("_q", q).select(
+        "mae", "rmse", F.col("_q")[0].alias("p50_abs_error"), F.col("_q")[1].alias("p90_abs_error")
     )
 
 

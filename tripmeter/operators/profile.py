@@ -15,7 +15,10 @@ from tripmeter.operators.reshape import columns_to_rows
 QUARTILES = [0.25, 0.5, 0.75]
 
 
-def numeric_columns(df: DataFrame, types: Sequence[str] = ("double", "bigint")) -> list[str]:
+def numeric_columns(
+    df: DataFrame, types: Sequence[str] = ("double", "float", "bigint", "int", "smallint", "tinyint")
+) -> list[str]:
+    """Columns that hold numbers, 0/1 flags included."""
     return [name for name, kind in df.dtypes if kind in types]
 
 
@@ -158,19 +161,37 @@ def rates_by_dimension(
     )
 
 
-def rate_and_count(df: DataFrame, category: str, flag: str) -> DataFrame:
-    """Per category and flag value: rows, category total, rate, and the category's place.
+def rates_and_counts(
+    df: DataFrame, categories: Sequence[str], flags: Sequence[str]
+) -> DataFrame:
+    """Per category column and value, flag and flag value: rows, the value's total, rate and place.
 
-    Categories are placed by the mean of their rates, then by name.
+    Values are placed within their category and flag by the mean of their rates, then by name; a
+    missing value or flag counts nowhere.  Rows are first counted per combination, and all pairs of
+    category and flag are added up from those in one pass.
     """
-    counts = df.where(F.col(category).isNotNull() & F.col(flag).isNotNull())
-    counts = counts.groupBy(category, flag).agg(F.count("*").alias("count"))
-    whole = Window.partitionBy(category)
+    cube = df.groupBy(*categories, *flags).agg(F.count("*").alias("_n"))
+    entries = F.array(*[
+        F.struct(
+            F.lit(c).alias("category"), F.col(c).cast("string").alias("value"),
+            F.lit(f).alias("flag"), F.col(f).cast("int").alias("flag_value"),
+        )
+        for c in categories for f in flags
+    ])
+    keys = ["category", "value", "flag", "flag_value"]
+    counts = (
+        cube.select(F.explode(entries).alias("e"), "_n")
+        .select("e.*", "_n")
+        .where("value IS NOT NULL AND flag_value IS NOT NULL")
+        .groupBy(*keys)
+        .agg(F.sum("_n").alias("count"))
+    )
+    whole = Window.partitionBy("category", "flag", "value")
     rated = counts.withColumn("total", F.sum("count").over(whole)).withColumn(
         "rate", F.col("count") / F.col("total")
     )
-    # One row per category and flag value from here on.
-    place = F.dense_rank().over(Window.orderBy("_mean", category))
+    # One row per category value and flag value from here on.
+    place = F.dense_rank().over(Window.partitionBy("category", "flag").orderBy("_mean", "value"))
     return rated.withColumn("_mean", F.round(F.avg("rate").over(whole), 9)).select(
-        category, flag, "count", "total", "rate", place.alias("place")
+        *keys, "count", "total", "rate", place.alias("place")
     )

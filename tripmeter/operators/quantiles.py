@@ -1,9 +1,11 @@
 """Exact quantiles without holding a group in one task.
 
 ``percentile`` keeps a map of all values of a group in one buffer.  Here values are
-counted first (combined before the shuffle), the line of values is cut into slices of
-about 0.02 % relative width, and only the few slices that contain a wanted rank are
-sorted.  A slice index is monotone in the value, so ranks are exact.
+counted first (combined before the shuffle), the line of values is cut into slices, and only
+the few slices that contain a wanted rank are sorted.  A slice is at most about 0.02 % wide
+relative to its values, and at most 1/4096 of the whole range: the first cuts long tails, the
+second values far from zero such as timestamps.  A slice index is monotone in the value, so
+ranks are exact.
 """
 
 from __future__ import annotations
@@ -15,12 +17,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SLICES_PER_UNIT = 4096  # slices per unit of ln(1+|x|): at most 2 * 710 * 4096 per group
+SLICES_OF_RANGE = 4096
 
 
-def _slice(value: Column) -> Column:
+def _slice(value: Column, low: Column, high: Column) -> Column:
     size = F.least(F.log1p(F.abs(value)), F.lit(710.0))
-    index = F.floor(F.signum(value) * size * SLICES_PER_UNIT).cast("int")
-    return F.coalesce(index, F.lit(0))  # never NULL here; keeps both uses one plan
+    relative = F.floor(F.signum(value) * size * SLICES_PER_UNIT).cast("int")
+    share = F.nanvl(F.try_divide(value - low, high - low), F.lit(0.0))
+    linear = F.floor(F.least(F.greatest(share, F.lit(0.0)), F.lit(1.0)) * SLICES_OF_RANGE).cast("int")
+    # Both grow with the value, so their sum is the same for two values only if both are.
+    return F.coalesce(relative, F.lit(0)) + F.coalesce(linear, F.lit(0))
 
 
 def exact_quantiles(
@@ -40,10 +46,12 @@ def exact_quantiles(
     counted = (
         df.select(*by, F.col(value).cast("double").alias("_x"))
         .where(usable)
-        .withColumn("_slice", _slice(F.col("_x")))
-        .groupBy(*by, "_slice", "_x")
+        .groupBy(*by, "_x")
         .agg(F.count("*").alias("_c"))
     )
+    bounds = counted.agg(F.struct(F.min("_x").alias("low"), F.max("_x").alias("high")).alias("b")).scalar()
+    counted = counted.withColumn("_b", bounds)  # referenced once, planned once
+    counted = counted.withColumn("_slice", _slice(F.col("_x"), F.col("_b.low"), F.col("_b.high"))).drop("_b")
 
     group = Window.partitionBy(*by)
     earlier = group.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
@@ -131,14 +139,11 @@ def quantile_bin(df: DataFrame, value: str, bins: int, into: str = "bin") -> Dat
 
     Equal edges are an error, as there would be fewer bins than asked for.
     """
-    edges = quantile_array(df, value, [i / bins for i in range(bins + 1)])
-    above = reduce(
-        lambda a, b: a + b, [(F.col(value) > edges[i]).cast("int") for i in range(1, bins)]
-    )
-    repeated = F.size(F.array_distinct(edges)) <= bins
-    return df.withColumn(
-        into,
-        F.when(F.col(value).isNull(), F.lit(None))
-        .when(repeated, F.raise_error(F.lit(f"bin edges of {value} must be unique")).cast("int"))
-        .otherwise(above),
-    )
+    found = exact_quantiles(df, value, [i / bins for i in range(bins + 1)])
+    repeated = F.size(F.array_distinct("q")) <= bins
+    error = F.raise_error(F.lit(f"bin edges of {value} must be unique")).cast("array<double>")
+    # One reference, whatever the number of bins: each further one would be planned again.
+    inner = found.select(F.when(repeated, error).otherwise(F.slice("q", 2, bins - 1)).alias("q")).scalar()
+    x = F.col(value).cast("double")
+    above = F.size(F.filter("_edges", lambda edge: edge < x))
+    return df.withColumn("_edges", inner).withColumn(into, F.when(x.isNotNull(), above)).drop("_edges")

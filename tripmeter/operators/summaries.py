@@ -145,7 +145,8 @@ def density_by(df: DataFrame, value: str, category: str, bins: int = 50) -> Data
     )
     # At most ``bins`` rows per category from here on.
     total = F.sum("count").over(Window.partitionBy(category))
-    width = (high - low) / bins
+    # A constant column is one bin of width one.
+    width = F.when(high == low, F.lit(1.0)).otherwise((high - low) / bins)
     return counted.select(
         category, "bin", "count", (F.col("count") / (total * width)).alias("density")
     )

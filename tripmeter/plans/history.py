@@ -76,6 +76,21 @@ def write_partitions(df: DataFrame, path: str, column: str = "batch_date") -> No
     writer.partitionBy(column).parquet(path)
 
 
+def _file_system(spark: SparkSession, path: str):
+    """Hadoop file system of a path, and the path in its terms."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
+
+
+def finish_upsert(spark: SparkSession, path: str) -> None:
+    """Put a partition in place that an earlier upsert had written in full but not yet swapped in."""
+    staging = f"{path.rstrip('/')}_staging"
+    files, whole = _file_system(spark, f"{staging}/_SUCCESS")
+    if files.exists(whole):
+        write_partitions(spark.read.schema(schemas.TRIP_HISTORY).parquet(staging), path)
+    files.delete(whole.getParent(), True)
+
+
 def upsert_history(
     spark: SparkSession,
     path: str,
@@ -89,6 +104,7 @@ def upsert_history(
     the snapshot is an error.  Running the same batch again changes nothing but the
     update time.
     """
+    finish_upsert(spark, path)
     stamp = None if now is None else F.lit(now).cast("timestamp")
     incoming = batch_rows(snapshot, ds, stamp)
     require_unique(incoming, [KEY])
@@ -96,7 +112,10 @@ def upsert_history(
         batch = F.lit(ds).cast("date")
         stored = read_table(spark, path, schemas.TRIP_HISTORY).where(F.col("batch_date") == batch)
         incoming = merge_batch(stored, incoming)
-    write_partitions(incoming, path)
+    # The merged partition is complete in a folder of its own before the stored one is touched: a
+    # crash before that leaves the table as it was, a crash after it is made good by the next run.
+    incoming.write.mode("overwrite").parquet(f"{path.rstrip('/')}_staging")
+    finish_upsert(spark, path)
     return read_table(spark, path, schemas.TRIP_HISTORY)
 
 

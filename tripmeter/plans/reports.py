@@ -61,8 +61,8 @@ def exploration(selected: DataFrame, key: Column) -> dict[str, DataFrame]:
         "percentiles": named_quantiles(selected, "ATD", [0.5, 0.9]),
         "box_by_territory": summaries.box_stats(selected, "ATD", "territory"),
         "points": points.select("dropoff_distance", "pickup_distance", "ATD"),
-        "trend_dropoff": summaries.ols_trend(points, "dropoff_distance"),
-        "trend_pickup": summaries.ols_trend(points, "pickup_distance"),
+        "trend_dropoff": summaries.ols_trend(selected, "dropoff_distance"),
+        "trend_pickup": summaries.ols_trend(selected, "pickup_distance"),
         "by_hour": summaries.mean_by(selected, ["hour"]),
         "by_weekday": summaries.mean_by_weekday(selected, "eater_request_timestamp_local"),
     }
@@ -79,7 +79,7 @@ def performance(predictions: DataFrame, key: Column) -> dict[str, DataFrame]:
         "abs_error_distribution": summaries.histogram(scored, "abs_error", ABS_ERROR_BINS),
         "abs_error_percentiles": named_quantiles(scored, "abs_error", [0.5, 0.9]),
         "actual_vs_predicted": points.select("ATD", "prediction"),
-        "axis": errors.axis_limits(points),
+        "axis": errors.axis_limits(scored),
         "residuals": residuals.select("prediction", "error"),
         "error_by_range": errors.error_by_range(predictions),
     }

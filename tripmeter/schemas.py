@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+# Columns, types and nullability of the declared tables, in declared order.
 TRIPS = T.StructType([
     T.StructField("delivery_trip_uuid", T.StringType(), False),
     T.StructField("workflow_uuid", T.StringType(), False),
@@ -21,10 +22,10 @@ DISPATCH_JOBS = T.StructType([
     T.StructField("job_uuid", T.StringType(), False),
     T.StructField("city_id", T.IntegerType(), False),
     T.StructField("date_str", T.TimestampNTZType(), False),
-    T.StructField("pickup_distance", T.DecimalType(10, 1), False),
     T.StructField("pickup_distance_km", T.DecimalType(10, 3), False),
-    T.StructField("travel_distance", T.DecimalType(10, 1), False),
+    T.StructField("pickup_distance", T.DecimalType(10, 1), False),
     T.StructField("travel_distance_km", T.DecimalType(10, 3), False),
+    T.StructField("travel_distance", T.DecimalType(10, 1), False),
     T.StructField("is_final_plan", T.BooleanType(), False),
     T.StructField("estimated_delivery_time", T.DayTimeIntervalType()),
     T.StructField("delivery_status", T.StringType(), False),
@@ -48,6 +49,7 @@ CITY_REGION = T.StructType([
     T.StructField("market_demand", T.DecimalType(15, 2)),
 ])
 
+# Columns of the history and of the clean table.
 TRIP_HISTORY = T.StructType([
     T.StructField("batch_date", T.DateType(), False),
     T.StructField("week_start", T.DateType(), False),

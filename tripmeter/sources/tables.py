@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType, TimestampNTZType, TimestampType
 
 from tripmeter import schemas
 from tripmeter.functions.clock import hour_of_day, weekday_label, weekday_number
@@ -60,15 +60,40 @@ def read_jdbc(
     )
 
 
-def read_csv(
-    spark: SparkSession, path: str, schema: StructType, timestamp_format: str = CSV_TIMESTAMP
-) -> DataFrame:
-    """CSV with header and declared types; empty fields are missing, ``\\N`` stays text."""
-    reader = spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE")
-    reader = reader.option("timestampNTZFormat", timestamp_format)
+def _csv_text(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """CSV with header and declared types, but timestamps as text."""
+    loose = StructType([
+        StructField(f.name, StringType()) if isinstance(f.dataType, (TimestampNTZType, TimestampType)) else f
+        for f in schema
+    ])
+    reader = spark.read.schema(loose).option("header", True).option("mode", "PERMISSIVE")
     return reader.option("nullValue", "").option("escape", '"').csv(path)
 
 
+def _timestamps(schema: StructType) -> list[StructField]:
+    return [f for f in schema if isinstance(f.dataType, (TimestampNTZType, TimestampType))]
+
+
+def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """CSV with header and declared types; empty fields are missing, ``\\N`` stays text.
+
+    Timestamps may be written with ``T`` or a space between date and time, with or without
+    fractions.  Unreadable ones are missing; :func:`unreadable` counts them.
+    """
+    parsed = {f.name: F.col(f.name).try_cast(f.dataType) for f in _timestamps(schema)}
+    return _csv_text(spark, path, schema).withColumns(parsed).select(*schema.fieldNames())
+
+
+def unreadable(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """``column, n``: fields of a CSV that are not empty and yet no timestamp."""
+    fields = _timestamps(schema)
+    bad = [
+        F.struct(F.lit(f.name).alias("column"), F.count_if(F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull()).alias("n"))
+        for f in fields
+    ]
+    return _csv_text(spark, path, schema).agg(F.array(*bad).alias("r")).select(F.inline("r"))
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     writer = df.write.mode(mode).option("header", True).option("escape", '"')
     writer = writer.option("timestampNTZFormat", CSV_TIMESTAMP)
@@ -86,11 +111,9 @@ def enrich(trips: DataFrame) -> DataFrame:
     })
 
 
-def load_trips(
-    spark: SparkSession, path: str, timestamp_format: str = CSV_TIMESTAMP
-) -> DataFrame:
+def load_trips(spark: SparkSession, path: str) -> DataFrame:
     """Clean trips from CSV with the report columns added."""
-    return enrich(read_csv(spark, path, schemas.CLEAN_TRIPS, timestamp_format))
+    return enrich(read_csv(spark, path, schemas.CLEAN_TRIPS))
 
 
 def ensure_schema(spark: SparkSession, name: str, location: str) -> None:

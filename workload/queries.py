@@ -6,7 +6,10 @@ import datetime as dt
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -15,8 +18,8 @@ from tripmeter import schemas
 from tripmeter.functions import clock, values
 from tripmeter.models import features as feats
 from tripmeter.models import preprocess
-from tripmeter.models.artifacts import load_artifacts, load_preprocessing, publish
-from tripmeter.models.training import Hyperparameters, encoded_split, score, train_variant
+from tripmeter.models.artifacts import artifact_dir, load_artifacts, load_preprocessing, publish
+from tripmeter.models.training import Hyperparameters, Trained, encoded_split, score, train_variant
 from tripmeter.operators import anomalies, cleaning, errors, profile, quality, sampling, summaries
 from tripmeter.operators.quantiles import named_quantiles, quantile_bin, quantile_trim
 from tripmeter.operators.skew import join_facts, keep_frequent
@@ -36,10 +39,8 @@ FLAGS = ["offered_equals_request", "offered_after_final"]
 MISSING = ["missing_pickup", "missing_dropoff", "missing_rest_ts", "missing_courier_flow"]
 DIMENSIONS = ["territory", "courier_flow", "geo_archetype", "merchant_surface", "hour"]
 
-# Smaller than the defaults so that the check ends soon; rows are never reduced.
-QUICK = Hyperparameters(
-    forest_trees=10, forest_depth=5, boosted_rounds=5, boosted_depth=3, deep_rounds=5, deep_depth=4
-)
+# The default settings of the models; tests put smaller ones in their place.
+SETTINGS = Hyperparameters()
 
 # Means of two-decimal numbers can end in an exact half at the seventh decimal, where the
 # order of summation would decide the rounding; a nudge far above that noise settles it.
@@ -86,20 +87,29 @@ def snapshot(spark: SparkSession, d: str, countries: str | None = tb.COUNTRY) ->
 
 
 def history(spark: SparkSession, d: str) -> DataFrame:
-    return history_as_of(tb.event_history(spark, d), tb.LAST_BATCH)
+    return tb.event_history(spark, d)
 
 
-_staged: dict[tuple[str, str], dict[str, StructType]] = {}
+_staged: dict[tuple, dict[str, StructType]] = {}
+_trained: dict[tuple, tuple[Trained, str]] = {}
+
+
+def input_state(spark: SparkSession, path: str) -> tuple:
+    """Names, lengths and change times of a table's files; it differs once the table is replaced."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    folder = hadoop.Path(path)
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(folder)
+    return tuple(sorted((f.getPath().toString(), f.getLen(), f.getModificationTime()) for f in files))
 
 
 def staged(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    """Distinct and flagged trips, stored once per application and data folder.
+    """Distinct and flagged trips, stored once per application and state of the events table.
 
     The reports, profiles and models all start from the stored result of the cleaning
     job, as they would from the weekly table; ``clean_trips`` and ``clean_table_job`` run
     the cleaning itself.  If the stored tables are gone they are written again.
     """
-    key = (spark.sparkContext.applicationId, d)
+    key = (spark.sparkContext.applicationId, input_state(spark, f"{d}/events.parquet"))
     try:
         known = _staged.get(key, {}).items()
         stored = [spark.read.schema(schema).parquet(path) for path, schema in known]
@@ -150,13 +160,42 @@ def split(spark: SparkSession, d: str, variant: str) -> DataFrame:
     return feats.split_frame(frame(spark, d, variant))
 
 
+def published(spark: SparkSession, d: str, variant: str) -> tuple[Trained, str]:
+    """A trained variant and the folder its artifacts are published in, once per state of the events."""
+    key = (
+        spark.sparkContext.applicationId, variant, SETTINGS,
+        input_state(spark, f"{d}/events.parquet"),
+    )
+    if key not in _trained or load_artifacts(spark, _trained[key][1], variant) is None:
+        trained = train_variant(spark, keyed(spark, d), variant, scratch_path(spark, "train"), SETTINGS)
+        folder = artifact_dir(scratch_path(spark, "models"), "eu", "2024-02-05")
+        publish(trained, folder)
+        _trained[key] = trained, folder
+    return _trained[key]
+
+
+_scored: dict[tuple, tuple[str, StructType]] = {}
+
+
 def predicted(spark: SparkSession, d: str) -> DataFrame:
-    """Clean trips with the mean of their courier flow as prediction."""
-    trips = keyed(spark, d).where("courier_flow IS NOT NULL")
+    """Clean trips with the mean of their courier flow as prediction, stored like :func:`staged`."""
+    key = (spark.sparkContext.applicationId, input_state(spark, f"{d}/events.parquet"))
+    if key in _scored:
+        path, schema = _scored[key]
+        if tables.table_exists(spark, path):
+            return spark.read.schema(schema).parquet(path)
+    rows, path = flow_means(spark, d), scratch_path(spark, "predicted")
+    rows.write.parquet(path)
+    _scored[key] = path, rows.schema
+    return spark.read.schema(rows.schema).parquet(path)
+
+
+def flow_means(spark: SparkSession, d: str) -> DataFrame:
+    trips = keyed(spark, d)
     means = trips.groupBy("courier_flow").agg(
         F.avg("ATD").alias("prediction"), F.count("*").alias("_rows")
     )
-    return join_facts(trips, means, ["courier_flow"], "_rows").drop("_rows")
+    return join_facts(trips, means, ["courier_flow"], "_rows", null_safe=True).drop("_rows")
 
 
 # ------------------------------------------------------- scans, sources and sinks
@@ -302,11 +341,7 @@ def _(spark, d):
 @query("artifacts_round_trip")
 def _(spark, d):
     """Published artifacts give the same held-out predictions as the trained model."""
-    folder = scratch_path(spark, "artifacts")
-    trained = train_variant(
-        spark, keyed(spark, d), "pre_assign", scratch_path(spark, "train"), QUICK
-    )
-    publish(trained, folder)
+    trained, folder = published(spark, d, "pre_assign")
     model, rows = load_artifacts(spark, folder, "pre_assign")
     again = model.transform(rows).select("trip_key", F.col("prediction").alias("loaded"))
     absent = load_preprocessing(spark, folder, "post_assign") is None
@@ -490,15 +525,7 @@ def _(spark, d):
 @query("rate_and_count")
 def _(spark, d):
     trips = anomalies.time_flags(prepared(spark, d))
-    parts = [
-        profile.rate_and_count(trips, category, flag).select(
-            F.lit(category).alias("category"), F.col(category).alias("value"),
-            F.lit(flag).alias("flag"), F.col(flag).alias("flag_value"),
-            "count", "total", "rate", "place",
-        )
-        for category in schemas.CATEGORIES for flag in FLAGS
-    ]
-    return tables.append_union(parts)
+    return profile.rates_and_counts(trips, schemas.CATEGORIES, FLAGS)
 
 
 @query("rare_strata")
@@ -602,9 +629,7 @@ def _(spark, d):
 @query("corr_matrix")
 def _(spark, d):
     trips = trimmed(spark, d)
-    names = ["pickup_distance", "dropoff_distance", "ATD", "missing_distance",
-             "offered_equals_request"]
-    return profile.correlations(trips, names, absolute=True)
+    return profile.correlations(trips, profile.numeric_columns(trips), absolute=True)
 
 
 @query("corr_logs")
@@ -675,7 +700,7 @@ def _(spark, d):
 
 @query("constraint_report")
 def _(spark, d):
-    return quality.job_constraints(tb.jobs(spark, d))
+    return quality.job_constraints(tb.all_jobs(spark, d))
 
 
 @query("trip_constraints")
@@ -685,7 +710,10 @@ def _(spark, d):
 
 @query("history_constraints")
 def _(spark, d):
-    return quality.history_constraints(batch_rows(snapshot(spark, d, None), tb.DS))
+    rows = history(spark, d).withColumns({
+        "week_start": clock.days_before(F.col("batch_date"), 7), "week_end": F.col("batch_date")
+    })
+    return quality.history_constraints(rows)
 
 
 @query("observed_rows")
@@ -915,7 +943,45 @@ def _(spark, d):
 @query("dummies_drop_first")
 def _(spark, d):
     trips = clean(spark, d).select(*ROW_KEYS, *schemas.CATEGORIES)
-    return feats.drop_first_dummies(trips, schemas.CATEGORIES)
+    return feats.drop_first_dummies(trips, schemas.CATEGORIES, feats.label_lists(trips, schemas.CATEGORIES))
+
+
+@query("dummies_sparse")
+def _(spark, d):
+    trips = clean(spark, d).select(*ROW_KEYS, *schemas.CATEGORIES)
+    sparse = feats.sparse_dummies(trips, schemas.CATEGORIES, scratch_path(spark, "labels"))
+    return sparse.withColumn("indices", F.array_join(F.col("indices").cast("array<string>"), ","))
+
+
+@query("linear_fit")
+def _(spark, d):
+    """Linear regression of the duration on both distances, without regularisation."""
+    rows = clean(spark, d).na.drop(subset=schemas.DISTANCES)
+    assembled = VectorAssembler(inputCols=schemas.DISTANCES, outputCol="features").transform(rows)
+    fitted = LinearRegression(featuresCol="features", labelCol="ATD", regParam=0.0, solver="normal").fit(assembled)
+    values_of = [fitted.intercept, *fitted.coefficients.toArray().tolist()]
+    names = ["intercept", *schemas.DISTANCES]
+    return rows.agg(F.count("*").alias("n"), *[F.lit(float(v)).alias(c) for c, v in zip(names, values_of)])
+
+
+@query("performance_trained")
+def _(spark, d):
+    """Held-out metrics of the published best models, as loaded, next to those of the training run."""
+    parts = []
+    for variant in feats.FEATURE_SETS:
+        trained, folder = published(spark, d, variant)
+        model, rows = load_artifacts(spark, folder, variant)
+        again = errors.regression_metrics(model.transform(rows)).select(
+            F.lit(variant).alias("variant"), "n", F.col("mae").alias("_mae"), F.col("rmse").alias("_rmse")
+        )
+        told = trained.metrics.where(F.col("model") == trained.best).select("variant", "mae", "rmse")
+        least = trained.metrics.groupBy("variant").agg(F.min("rmse").alias("least"))
+        same = (F.abs(F.col("mae") - F.col("_mae")) < 1e-9) & (F.abs(F.col("rmse") - F.col("_rmse")) < 1e-9)
+        parts.append(again.join(told, "variant").join(least, "variant").select(
+            "variant", F.col("n").alias("held_out"), same.alias("metrics_recomputed"),
+            (F.col("rmse") == F.col("least")).alias("least_rmse"),
+        ))
+    return tables.append_union(parts)
 
 
 @query("strat_split")
@@ -943,15 +1009,13 @@ def _(spark, d):
 
 @query("encoded_features")
 def _(spark, d):
-    """Column sums of the encoded training vectors, by feature name."""
+    """Column sums of all encoded vectors, by part of the split and feature name."""
     features = feats.POST_ASSIGN
     model, rows = encoded_split(spark, keyed(spark, d), features, scratch_path(spark, "encoded"))
     names = preprocess.encoded_names(model, features)
     labels = F.array(*[F.lit(n) for n in names])
-    parts = rows.where("split = 'test'").select(
-        F.posexplode(vector_to_array("features")).alias("position", "value")
-    )
-    return parts.groupBy(labels[F.col("position")].alias("feature")).agg(
+    parts = rows.select("split", F.posexplode(vector_to_array("features")).alias("position", "value"))
+    return parts.groupBy("split", labels[F.col("position")].alias("feature")).agg(
         F.count("*").alias("n"), F.sum("value").alias("total")
     )
 
@@ -967,29 +1031,39 @@ def _(spark, d):
 
 @query("train_select_pre")
 def _(spark, d):
-    path = scratch_path(spark, "train")
-    trained = train_variant(spark, keyed(spark, d), "pre_assign", path, QUICK)
+    trained, _ = published(spark, d, "pre_assign")
     return errors.rank_models(trained.metrics)
 
 
 @query("train_select_post")
 def _(spark, d):
-    path = scratch_path(spark, "train")
-    trained = train_variant(spark, keyed(spark, d), "post_assign", path, QUICK)
+    trained, _ = published(spark, d, "post_assign")
     return errors.best_model(trained.metrics)
 
 
 @query("batch_score")
 def _(spark, d):
-    """Every clean trip scored, also those of strata too rare to train on."""
-    path = scratch_path(spark, "train")
-    trained = train_variant(spark, keyed(spark, d), "pre_assign", path, QUICK)
+    """Every clean trip, also those of strata too rare to train on; NULL where a feature is missing."""
+    trained, _ = published(spark, d, "pre_assign")
     rows = frame(spark, d, "pre_assign")
     return score(trained.preprocessing, trained.best_model, rows).select(
         feats.KEY, "ATD", "prediction"
     )
 
 
+@query("batch_score_coverage")
+def _(spark, d):
+    """Which trips the batch scoring gives a prediction; the preprocessing alone decides that."""
+    features = feats.PRE_ASSIGN
+    train = split(spark, d, features.name).where("split = 'train'")
+    fitted = preprocess.fit_preprocessing(train, features)
+    linear = PipelineModel([LinearRegression(featuresCol="features", labelCol="ATD").fit(
+        preprocess.encode(fitted, train).select("features", "ATD")
+    )])
+    scored = score(fitted, linear, frame(spark, d, features.name))
+    return scored.select(feats.KEY, F.col("prediction").isNotNull().alias("scored"))
+
+
 @query("error_metrics")
 def _(spark, d):
     return errors.error_metrics(predicted(spark, d))
@@ -1058,3 +1132,13 @@ def _(spark, d):
 @query("report_performance")
 def _(spark, d):
     return _long(reports.performance(predicted(spark, d), F.col(feats.KEY)))
+
+
+@query("report_trained")
+def _(spark, d):
+    """The performance panels of the published best model over its held-out rows."""
+    _, folder = published(spark, d, "pre_assign")
+    model, rows = load_artifacts(spark, folder, "pre_assign")
+    path = scratch_path(spark, "held-out")
+    model.transform(rows).select(feats.KEY, "ATD", "prediction").write.parquet(path)
+    return _long(reports.performance(spark.read.parquet(path), F.col(feats.KEY)))

@@ -14,8 +14,6 @@ from pyspark.sql import functions as F
 DS = "1996-03-11"
 COUNTRY = "EUROPE"
 UTC_OFFSET = 6
-LAST_BATCH = "2024-02-05"
-FIRST_BATCH = "2024-01-08"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,11 +35,12 @@ def first_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
+def job_columns(lines: DataFrame) -> DataFrame:
+    """Order lines under the names of dispatch jobs."""
     metres = (F.col("l_quantity") * 100).cast("decimal(10,1)")
     pickup = F.when(F.col("l_partkey") % 17 != 0, metres)
     travel = F.col("l_extendedprice").cast("decimal(10,1)")
-    return first_lines(spark, sf_dir).select(
+    return lines.select(
         F.col("l_orderkey").alias("job_uuid"),
         F.col("l_suppkey").alias("city_id"),
         F.col("l_shipdate").cast("timestamp_ntz").alias("date_str"),
@@ -52,6 +51,16 @@ def jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One job per order, so that the job's key is unique."""
+    return job_columns(first_lines(spark, sf_dir))
+
+
+def all_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line as a job, for counts over whole tables."""
+    return job_columns(table(spark, sf_dir, "lineitem"))
+
+
 def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("o_orderkey")
     placed = F.col("o_orderdate").cast("timestamp_ntz")
@@ -131,6 +140,4 @@ def event_history(spark: SparkSession, sf_dir: str, copies: bool = True) -> Data
     day = F.to_date("eater_request_timestamp_local")
     coming = F.date_add(day, (7 - F.weekday(day)) % 7)
     batches = F.when(coming == day, F.array(day, F.date_add(day, 7))).otherwise(F.array(coming))
-    dated = event_trips(spark, sf_dir, copies).select(F.explode(batches).alias("batch_date"), "*")
-    first, last = F.lit(FIRST_BATCH).cast("date"), F.lit(LAST_BATCH).cast("date")
-    return dated.where(F.col("batch_date").between(first, last))
+    return event_trips(spark, sf_dir, copies).select(F.explode(batches).alias("batch_date"), "*")
