@@ -149,8 +149,9 @@ def training_rows(docs: DataFrame, labels: DataFrame, learn: Column, toxic_rows:
         return None
     key = F.pmod(F.xxhash64("doc_id", F.lit(72)), F.lit(1_000_000)) / 1e6
     rate = F.when(F.col("toxic") == 1, min(1.0, toxic_rows / n_toxic)).otherwise(min(1.0, clean_rows / n_clean))
-    chosen = marked.where(key < rate)
-    rows = id_and_text(docs).join(chosen, "doc_id")
+    # The limit only bounds what is broadcast: the shares above give about half of it.
+    chosen = marked.where(key < rate).orderBy(key, "doc_id").limit(2 * (toxic_rows + clean_rows))
+    rows = id_and_text(docs).join(F.broadcast(chosen), "doc_id")
 
     def compute(texts: list[bytes | None]) -> list:
         owners, found, flags = terms(texts)
