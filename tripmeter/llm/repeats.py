@@ -34,7 +34,7 @@ from tripmeter.llm.words import Words, mix, windows
 
 #: Text of a block, and text that a shard answers for (its runs are at most 3.5 times that).
 BLOCK_BYTES = 4 << 20
-SHARD_BYTES = 2 << 20
+SHARD_BYTES = 1 << 20
 #: Text that is hashed at once.
 PART_BYTES = 1 << 19
 #: Different runs of one anchor in one part.

@@ -16,6 +16,9 @@ from pyspark.sql.types import StructType
 #: Bytes of text that one call handles at once; a longer text is a piece of its own.
 PIECE_BYTES = 1 << 20
 
+#: Rows that are sent to a worker at once.
+BATCH_ROWS = 2000
+
 #: Words as Spark's regular expressions see them.
 WORD = "[^\\x20\\x09-\\x0D]+"
 
@@ -28,11 +31,15 @@ LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 
 def reach_workers(spark: SparkSession) -> SparkSession:
-    """Let Python workers import this package from where the driver has it.
+    """Let Python workers import this package from where the driver has it, and send them small batches.
 
-    It does nothing where it is installed; where executors do not see the folder, ship it with
-    ``--py-files`` as usual.
+    The first does nothing where it is installed; where executors do not see the folder, ship it with
+    ``--py-files`` as usual.  Texts are long, so a batch of the default 10,000 rows is tens of
+    megabytes in the executor and again in the worker.
     """
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(rows)) <= BATCH_ROWS:
+        spark.conf.set(rows, str(BATCH_ROWS))
     root, sent = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
     known = [p for p in sent.get("PYTHONPATH", "").split(os.pathsep) if p]
     if root not in known:
