@@ -22,6 +22,16 @@ def drop_exact_duplicates(df: DataFrame, subset: Sequence[str] | None = None) ->
     return df.dropDuplicates(list(subset) if subset else None)
 
 
+def first_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """One row per key: the first by ``order``, then by all other columns, so reruns agree.
+
+    Minima are combined before the shuffle; missing values come first.
+    """
+    rest = [*order, *[c for c in df.columns if c not in {*keys, *order}]]
+    first = df.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_first"))
+    return first.select(*keys, "_first.*").select(*df.columns)
+
+
 def duplicate_sets(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:
     """Each repeated key (default: all columns) with its number of ``copies``."""
     keys = list(subset or df.columns)

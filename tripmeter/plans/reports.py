@@ -7,13 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripmeter.functions.values import display_number
-from tripmeter.operators import errors, summaries
+from tripmeter.functions.values import display_number, log1p_or_null
+from tripmeter.operators import errors, profile, summaries
 from tripmeter.operators.cleaning import slice_rows
 from tripmeter.operators.quantiles import named_quantiles
 from tripmeter.operators.sampling import sample_rows
 from tripmeter.schemas import CATEGORIES
-from tripmeter.sources.tables import enrich
+from tripmeter.sources.tables import append_union, enrich
 
 # Points in a scatter panel and bins of the histograms.
 SCATTER_POINTS = 5000
@@ -68,6 +68,19 @@ def exploration(selected: DataFrame, key: Column) -> dict[str, DataFrame]:
     }
 
 
+def pairwise(trips: DataFrame, columns: Sequence[str], bins: int) -> dict[str, DataFrame]:
+    """The pairwise view: logged columns against each other (correlation, points) and alone (histogram)."""
+    logs = trips.withColumns({c: log1p_or_null(F.col(c)) for c in columns})
+    alone = [
+        summaries.histogram(logs, c, bins).select(F.lit(c).alias("a"), "bin", "count") for c in columns
+    ]
+    return {
+        "correlations": profile.correlations(logs, list(columns)),
+        "histograms": append_union(alone),
+        "points": sample_rows(logs.select(*columns), F.concat_ws("|", *columns), SCATTER_POINTS),
+    }
+
+
 def performance(predictions: DataFrame, key: Column) -> dict[str, DataFrame]:
     """Metrics, error histograms, plot limits and plot points of held-out predictions."""
     scored = errors.with_errors(predictions)

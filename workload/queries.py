@@ -763,6 +763,16 @@ def _(spark, d):
     return summaries.histogram(logs, "log_atd", 50)
 
 
+@query("pairwise_panel")
+def _(spark, d):
+    """Correlations, histograms and trends of all pairs of logged numbers, from one frame."""
+    panel = reports.pairwise(trimmed(spark, d), [*schemas.DISTANCES, "ATD"], 20)
+    return tables.append_union([
+        panel["correlations"].select("a", "b", F.lit(-1).alias("bin"), F.col("corr").alias("value")),
+        panel["histograms"].select("a", F.lit(None).cast("string").alias("b"), "bin", F.col("count").cast("double").alias("value")),
+    ])
+
+
 @query("density_by_category")
 def _(spark, d):
     return summaries.density_by(trimmed(spark, d), "ATD", "courier_flow", 50)
@@ -825,10 +835,10 @@ def _(spark, d):
 
 @query("dedup_by_key")
 def _(spark, d):
-    """Keys left after de-duplication by a business key (which row stays is not fixed)."""
-    line = tb.table(spark, d, "lineitem")
-    keys = ["l_orderkey", "l_linenumber"]
-    return cleaning.drop_exact_duplicates(line, keys).select(*keys)
+    """One whole row per business key, the first by part, supplier and ship date."""
+    columns = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_quantity"]
+    line = tb.table(spark, d, "lineitem").select(*columns)
+    return cleaning.first_by_key(line, columns[:2], columns[2:])
 
 
 # ---------------------------------------------------------------- sorts and samples
