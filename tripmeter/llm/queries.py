@@ -110,6 +110,119 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_token_counts": op10_token_counts,
 }
 ORACLES: dict[str, str] = {
+    # Starts of repeated windows that lie at most a window apart make one span ("island").
+    "op1_substring_dedup": r"""
+        WITH docs AS (
+            SELECT row_number() OVER () AS row, doc_id,
+                coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS words
+            FROM documents
+        ), found AS (
+            SELECT row, s, md5(array_to_string(words[s:s + 34], ' ')) AS phrase
+            FROM (SELECT row, words, unnest(range(1, len(words) - 33)) AS s FROM docs WHERE len(words) >= 35)
+        ), again AS (
+            SELECT row, s FROM (SELECT row, s, count(*) OVER (PARTITION BY phrase) AS n FROM found) WHERE n > 1
+        ), islands AS (
+            SELECT row, min(s) AS first, max(s) + 35 AS past FROM (
+                SELECT row, s, count(*) FILTER (WHERE fresh) OVER (PARTITION BY row ORDER BY s) AS island FROM (
+                    SELECT row, s, coalesce(s > lag(s) OVER (PARTITION BY row ORDER BY s) + 35, true) AS fresh FROM again))
+            GROUP BY row, island
+        ), pieces AS (
+            SELECT row, past - first AS gone, first, past, lag(past, 1, 1) OVER (PARTITION BY row ORDER BY first) AS since
+            FROM islands
+        ), cut AS (
+            SELECT row, sum(gone) AS gone, max(past) AS past, list(struct_pack(since := since, first := first) ORDER BY first) AS parts
+            FROM pieces GROUP BY row
+        )
+        SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(gone, 0)::BIGINT AS n_removed,
+            sha256(array_to_string(
+                flatten(list_transform(coalesce(parts, []), lambda p: words[p.since:p.first - 1])) || words[coalesce(past, 1):], ' ')) AS kept_sha256
+        FROM docs LEFT JOIN cut USING (row)
+    """,
+    "op2_suffix_dedup": r"""
+        WITH docs AS (
+            SELECT row_number() OVER () AS row, doc_id, hex(encode(coalesce(text, ''))) AS digits FROM documents
+        ), found AS (
+            SELECT row, doc_id, s, md5(substr(digits, 2 * s - 1, 200)) AS phrase
+            FROM (SELECT row, doc_id, digits, unnest(range(1, len(digits) // 2 - 98)) AS s FROM docs WHERE len(digits) >= 200)
+        ), again AS (
+            SELECT row, s FROM (SELECT row, s, row_number() OVER (PARTITION BY phrase ORDER BY doc_id, row, s) AS n FROM found) WHERE n > 1
+        ), islands AS (
+            SELECT row, min(s) AS first, max(s) + 100 AS past FROM (
+                SELECT row, s, count(*) FILTER (WHERE fresh) OVER (PARTITION BY row ORDER BY s) AS island FROM (
+                    SELECT row, s, coalesce(s > lag(s) OVER (PARTITION BY row ORDER BY s) + 100, true) AS fresh FROM again))
+            GROUP BY row, island
+        ), pieces AS (
+            SELECT row, first, past, lag(past, 1, 1) OVER (PARTITION BY row ORDER BY first) AS since FROM islands
+        ), cut AS (
+            SELECT row, sum(past - first) AS gone, count(*) AS spans, max(past) AS past,
+                string_agg(substr(digits, 2 * since - 1, 2 * (first - since)), '' ORDER BY first) AS kept
+            FROM pieces JOIN docs USING (row) GROUP BY row
+        )
+        SELECT doc_id, (len(digits) // 2)::BIGINT AS n_bytes, coalesce(gone, 0)::BIGINT AS n_removed,
+            coalesce(spans, 0)::BIGINT AS n_spans,
+            sha256(unhex(coalesce(kept, '') || substr(digits, 2 * coalesce(past, 1) - 1))) AS kept_sha256
+        FROM docs LEFT JOIN cut USING (row)
+    """,
+    # Buckets, limits and floors as in ``quality``: 2 % buckets, the third quartile plus six spreads.
+    "op5_quality_rules": r"""
+        WITH docs AS (
+            SELECT row_number() OVER () AS row, doc_id, lang, source, coalesce(text, '') AS text,
+                coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS words,
+                list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+            FROM documents
+        ), found AS (
+            SELECT row, s, array_to_string(words[s:s + 7], ' ') AS phrase
+            FROM (SELECT row, words, unnest(range(1, len(words) - 6)) AS s FROM docs WHERE len(words) >= 8)
+        ), again AS (
+            SELECT row, s FROM (SELECT row, s, count(*) OVER (PARTITION BY row, phrase) AS n FROM found) WHERE n > 1
+        ), covered AS (
+            SELECT row, count(DISTINCT spot) AS n FROM (SELECT row, unnest(range(s, s + 8)) AS spot FROM again) GROUP BY row
+        ), counted AS (
+            SELECT row, doc_id, lang, source, len(words)::BIGINT AS n_words,
+                length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g'))::BIGINT AS word_chars,
+                len(regexp_extract_all(text, '[#*$%&|<>]'))::BIGINT AS n_symbols,
+                (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, len(lines) AS n_lines,
+                coalesce(n, 0)::BIGINT AS n_repeat_words
+            FROM docs LEFT JOIN covered USING (row)
+        ), measured AS (
+            SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+                coalesce(n_symbols::DOUBLE / nullif(word_chars, 0), 0) AS symbol_share,
+                coalesce(n_dup_lines::DOUBLE / nullif(n_lines, 0), 0) AS dup_line_share,
+                coalesce(word_chars::DOUBLE / nullif(n_words, 0), 0) AS word_length,
+                coalesce(n_repeat_words::DOUBLE / nullif(n_words, 0), 0) AS repeat_share
+            FROM counted
+        ), long AS (
+            SELECT lang, source, unnest(['symbol_share', 'dup_line_share', 'word_length', 'repeat_share']) AS metric,
+                unnest([symbol_share, dup_line_share, word_length, repeat_share]) AS value
+            FROM measured WHERE NOT base_failed
+        ), buckets AS (
+            SELECT lang, source, metric, CASE WHEN value <= 1e-9 THEN -1000 ELSE ceil(ln(value) / ln(1.02::DOUBLE)) END AS bucket, count(*) AS n
+            FROM long GROUP BY ALL
+        ), running AS (
+            SELECT *, CASE WHEN bucket = -1000 THEN 0 ELSE pow(1.02::DOUBLE, bucket) END AS ends,
+                sum(n) OVER (PARTITION BY lang, source, metric ORDER BY bucket) AS up_to,
+                sum(n) OVER (PARTITION BY lang, source, metric) AS total
+            FROM buckets
+        ), quartiles AS (
+            SELECT lang, source, metric, min(ends) FILTER (WHERE up_to >= 0.5::DOUBLE * total) AS q0,
+                min(ends) FILTER (WHERE up_to >= 0.75::DOUBLE * total) AS q1
+            FROM running GROUP BY ALL
+        ), limits AS (
+            SELECT lang, source, metric, greatest(q1 + 6 * greatest(q1 - q0, q1 * (1.02::DOUBLE - 1)),
+                CASE metric WHEN 'symbol_share' THEN 0.1::DOUBLE WHEN 'dup_line_share' THEN 0.5::DOUBLE
+                    WHEN 'word_length' THEN 7.0::DOUBLE ELSE 0.3::DOUBLE END) AS most
+            FROM quartiles
+        ), beyond AS (
+            SELECT DISTINCT row FROM measured m JOIN limits l
+            ON m.lang IS NOT DISTINCT FROM l.lang AND m.source IS NOT DISTINCT FROM l.source
+            WHERE CASE metric WHEN 'symbol_share' THEN symbol_share WHEN 'dup_line_share' THEN dup_line_share
+                WHEN 'word_length' THEN word_length ELSE repeat_share END > most
+        )
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+            NOT base_failed AND row NOT IN (SELECT row FROM beyond) AS kept,
+            symbol_share, dup_line_share, word_length, repeat_share
+        FROM measured
+    """,
     "op3_decontamination": r"""
         WITH doc_words AS (
             SELECT row_number() OVER () AS row, doc_id,
