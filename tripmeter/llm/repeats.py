@@ -9,7 +9,8 @@ grams, so
 2. an anchor that occurs once in the whole corpus belongs to windows that cannot repeat, and most
    text ends here;
 3. runs of the other anchors are sent to a shard chosen by the anchor, so all places at which a
-   window can be repeated meet in one shard; equal runs of a block are sent once;
+   window can be repeated meet in one shard; equal runs of a block are sent once, and if all runs of
+   an anchor are equal everywhere, their hash stands for their text;
 4. the shard compares its runs (by the method of the caller) and returns spans;
 5. each block gathers its documents' spans.
 
@@ -164,7 +165,7 @@ def block_runs(texts: list[bytes | None], scheme: Scheme) -> Iterator[tuple[int,
 
 
 def anchors(scheme: Scheme) -> Callable:
-    """Distinct anchors of a block, with the number of their different runs and whether any run stands twice."""
+    """Distinct anchors of a block: their different runs, the run's hash if it is one, and whether any run stands twice."""
 
     def run(table: pa.Table) -> pa.Table:
         _, texts, _ = in_order(table)
@@ -183,6 +184,7 @@ def anchors(scheme: Scheme) -> Callable:
             "anchor": pa.array(anchor[heads].view(np.int64)),
             "block": pa.array(np.full(len(heads), table.column("block")[0].as_py() if len(table) else 0, np.int32)),
             "runs": pa.array(runs.astype(np.int32)),
+            "hash": pa.array(hashes[heads].view(np.int64), mask=runs > 1),
             "twice": pa.array(counts > 1),
         })
 
@@ -201,11 +203,18 @@ def _sent(**columns) -> pa.Table:
     return pa.table([pa.array(columns[n], t, from_pandas=False) for n, t in zip(names, types, strict=True)], names=names)
 
 
+def names_of(runs: Runs, which: np.ndarray) -> list[bytes | None]:
+    """16 bytes that name the runs marked in ``which``: anchor and hash (never a window's text, which is longer)."""
+    raw = np.stack([runs.anchor, runs.hash], axis=1).tobytes()
+    return [raw[16 * i:16 * i + 16] if w else None for i, w in enumerate(which.tolist())]
+
+
 def send(scheme: Scheme, shards: int) -> Callable:
     """Runs whose anchors occur elsewhere, each with the shard or units that compare it.
 
     Equal runs of the block are sent once, as the first of them; the windows of the others are known
-    to repeat and become spans at once (rows without content).
+    to repeat and become spans at once (rows without content).  ``parts`` is 0 for anchors whose runs
+    are all equal.
     """
 
     def run(docs: pa.Table, wanted: pa.Table) -> pa.Table:
@@ -225,7 +234,11 @@ def send(scheme: Scheme, shards: int) -> Callable:
             runs = runs.pick(hit)
             first = symbols.first[runs.text] + runs.begin
             begin, end = symbols.bytes_of(first, first + runs.count - 1 + scheme.window)
-            content += [symbols.whole[a:b] for a, b in zip(begin.tolist(), end.tolist(), strict=True)]
+            alike = at_parts[-1] == 0
+            content += [
+                symbols.whole[a:b] if n else key
+                for a, b, n, key in zip(begin.tolist(), end.tolist(), at_parts[-1].tolist(), names_of(runs, alike), strict=True)
+            ]
             runs.text = runs.text + base
             kept.append(runs)
         if kept:
@@ -249,10 +262,10 @@ def send(scheme: Scheme, shards: int) -> Callable:
                 count=(spans[2] - spans[1]).astype(np.int32), twice=np.zeros(n, bool), content=[None] * n,
             ))
             # Each run goes to its anchor's shard, or to all units in which its part meets another.
-            split = parts[first]
+            split = np.maximum(parts[first], 1)
             row = np.repeat(first, split)
             other = np.arange(len(row)) - np.repeat(np.cumsum(split) - split, split)
-            own = (runs.hash[row] % parts[row].astype(np.uint64)).astype(np.int64)
+            own = (runs.hash[row] % np.maximum(parts[row], 1).astype(np.uint64)).astype(np.int64)
             low, high = np.minimum(own, other), np.maximum(own, other)
             unit = mix(runs.anchor[row] ^ mix((low * (1 << 20) + high + 1).astype(np.uint64)))
             shard = np.where(parts[row] > 1, (unit >> np.uint64(1)).astype(np.int64) | (1 << 62), (runs.anchor[row] % np.uint64(shards)).astype(np.int64))
@@ -359,11 +372,12 @@ def repeated_spans(
     blocks, shards = max(1, -(-total // BLOCK_BYTES)), max(1, -(-total // SHARD_BYTES))
     dealt = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int"))
     by_block = dealt.groupBy("block")
-    found = by_block.applyInArrow(anchors(scheme), "anchor bigint, block int, runs int, twice boolean")
+    found = by_block.applyInArrow(anchors(scheme), "anchor bigint, block int, runs int, hash bigint, twice boolean")
     everywhere = Window.partitionBy("anchor")
     wanted = (
         found.withColumn("places", F.count("*").over(everywhere))
-        .withColumn("parts", F.ceil(F.sum("runs").over(everywhere) / PART_RUNS).cast("int"))
+        .withColumn("alike", (F.max("runs").over(everywhere) == 1) & (F.min("hash").over(everywhere) == F.max("hash").over(everywhere)))
+        .withColumn("parts", F.when(F.col("alike"), 0).otherwise(F.ceil(F.sum("runs").over(everywhere) / PART_RUNS)).cast("int"))
         .where((F.col("places") > 1) | F.col("twice"))
         .select("anchor", "block", "parts")
     )
