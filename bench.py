@@ -20,6 +20,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from pyspark.sql import SparkSession  # noqa: E402
 
+from tripmeter.session import clear_scratch  # noqa: E402
 from workload import queries  # noqa: E402
 
 HEADLINE = [
@@ -75,6 +76,7 @@ def main() -> None:
         "sf": Path(folder).name.removeprefix("sf"),
         "cpus": int(cpus),
     }))
+    clear_scratch(spark)
     spark.stop()
 
 

@@ -90,7 +90,7 @@ def test_a_crash_in_the_middle_of_an_upsert_loses_nothing(spark, path, monkeypat
     whole = history.write_partitions
 
     def crash(df, where, column="batch_date"):
-        files, partition = history._file_system(spark, f"{where}/batch_date={day}")
+        files, partition = history.file_system(spark, f"{where}/batch_date={day}")
         files.delete(partition, True)
         raise OSError("lost")
 
@@ -134,6 +134,16 @@ def test_labels_without_a_limit(spark, path):
     assert rows == {0: [], 1: [0], 5999: [5998], 6001: [0]}
 
 
+def test_scratch_is_cleared(spark, tmp_path, monkeypatch):
+    from tripmeter import session
+
+    monkeypatch.setattr(session, "_made", {})
+    path = session.scratch_path(spark, "gone")
+    spark.range(3).write.parquet(path)
+    session.clear_scratch(spark)
+    assert not tables.table_exists(spark, path)
+
+
 def test_copies_come_back_in_blocks(spark, monkeypatch):
     monkeypatch.setattr(cleaning, "REPEAT_BLOCK", 3)
     frame = spark.createDataFrame([(1, None)] * 8 + [(2, "x")] + [(3, "y")] * 2, "k int, v string")

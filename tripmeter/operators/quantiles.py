@@ -29,26 +29,32 @@ def _slice(value: Column, low: Column, high: Column) -> Column:
     return F.coalesce(relative, F.lit(0)) + F.coalesce(linear, F.lit(0))
 
 
-def exact_quantiles(
-    df: DataFrame, value: str, probabilities: Sequence[float], by: Sequence[str] = ()
-) -> DataFrame:
-    """One row per group: ``by`` columns, ``n`` non-null values, ``q`` array of quantiles.
-
-    Linear interpolation between neighbours.  NULL and NaN values are skipped, groups
-    with a NULL key or without values have no row.
-    """
+def value_counts(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
+    """``by`` columns, each distinct value as ``_x`` and its rows as ``_c``; NULL and NaN are skipped."""
     by = list(by)
     usable = reduce(
         lambda a, b: a & b,
         [F.col(key).isNotNull() for key in by],
         F.col("_x").isNotNull() & ~F.isnan("_x"),
     )
-    counted = (
+    return (
         df.select(*by, F.col(value).cast("double").alias("_x"))
         .where(usable)
         .groupBy(*by, "_x")
         .agg(F.count("*").alias("_c"))
     )
+
+
+def exact_quantiles(
+    df: DataFrame, value: str, probabilities: Sequence[float], by: Sequence[str] = ()
+) -> DataFrame:
+    """One row per group: ``by`` columns, ``n`` non-null values, ``q`` array of quantiles.
+
+    Linear interpolation between neighbours.  NULL and NaN values are skipped, groups
+    with a NULL key or without values have no row.
+    """
+    by = list(by)
+    counted = value_counts(df, value, by)
     bounds = counted.agg(F.struct(F.min("_x").alias("low"), F.max("_x").alias("high")).alias("b")).scalar()
     counted = counted.withColumn("_b", bounds)  # referenced once, planned once
     counted = counted.withColumn("_slice", _slice(F.col("_x"), F.col("_b.low"), F.col("_b.high"))).drop("_b")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tripmeter.functions.clock import weekday_label, weekday_number
 from tripmeter.functions.values import any_null
-from tripmeter.operators.quantiles import exact_quantiles, quantile_array, quantile_bin
+from tripmeter.operators.quantiles import exact_quantiles, quantile_array, quantile_bin, value_counts
 from tripmeter.operators.reshape import columns_to_rows
 from tripmeter.operators.skew import join_facts
 
@@ -154,22 +154,22 @@ def density_by(df: DataFrame, value: str, category: str, bins: int = 50) -> Data
 
 def box_stats(df: DataFrame, value: str, category: str) -> DataFrame:
     """Quartiles per category and the outermost values within 1.5 interquartile ranges."""
-    present = df.select(category, F.col(value).cast("double").alias("x"))
-    quartiles = exact_quantiles(present, "x", [0.25, 0.5, 0.75], [category]).select(
+    quartiles = exact_quantiles(df, value, [0.25, 0.5, 0.75], [category]).select(
         category, "n", *[F.col("q")[i].alias(c) for i, c in enumerate(["q1", "median", "q3"])]
     )
     reach = 1.5 * (F.col("q3") - F.col("q1"))
-    within = F.col("x").between(F.col("q1") - reach, F.col("q3") + reach)
+    within = F.col("_x").between(F.col("q1") - reach, F.col("q3") + reach)
+    # The whiskers are among the distinct values that the quartiles were counted from: the same shuffle.
     return (
-        join_facts(present, quartiles, [category], "n")
+        join_facts(value_counts(df, value, [category]), quartiles, [category], "n")
         .groupBy(category)
         .agg(
             F.max("n").alias("n"),
             F.max("q1").alias("q1"),
             F.max("median").alias("median"),
             F.max("q3").alias("q3"),
-            F.min(F.when(within, F.col("x"))).alias("whisker_low"),
-            F.max(F.when(within, F.col("x"))).alias("whisker_high"),
+            F.min(F.when(within, F.col("_x"))).alias("whisker_low"),
+            F.max(F.when(within, F.col("_x"))).alias("whisker_high"),
         )
         .orderBy("median", category)
     )

@@ -11,6 +11,7 @@ from tripmeter import schemas
 from tripmeter.functions.clock import days_before
 from tripmeter.operators.quality import require_unique
 from tripmeter.plans.weekly import WINDOW_DAYS
+from tripmeter.session import file_system
 from tripmeter.sources.tables import read_table, table_exists
 
 KEY = "delivery_trip_uuid"
@@ -76,16 +77,10 @@ def write_partitions(df: DataFrame, path: str, column: str = "batch_date") -> No
     writer.partitionBy(column).parquet(path)
 
 
-def _file_system(spark: SparkSession, path: str):
-    """Hadoop file system of a path, and the path in its terms."""
-    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
-
-
 def finish_upsert(spark: SparkSession, path: str) -> None:
     """Put a partition in place that an earlier upsert had written in full but not yet swapped in."""
     staging = f"{path.rstrip('/')}_staging"
-    files, whole = _file_system(spark, f"{staging}/_SUCCESS")
+    files, whole = file_system(spark, f"{staging}/_SUCCESS")
     if files.exists(whole):
         write_partitions(spark.read.schema(schemas.TRIP_HISTORY).parquet(staging), path)
     files.delete(whole.getParent(), True)

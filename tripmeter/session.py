@@ -16,6 +16,7 @@ JOB_SETTINGS = {
 }
 
 _local_scratch: dict[str, str] = {}
+_made: dict[str, list[str]] = {}
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -47,5 +48,20 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path below the shared folder that no other run uses."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A path below the shared folder that no other run uses; :func:`clear_scratch` removes it."""
+    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _made.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def file_system(spark: SparkSession, path: str):
+    """Hadoop file system of a path, and the path in its terms."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove what this application wrote below the shared folder: call it when its results are stored."""
+    for path in _made.pop(spark.sparkContext.applicationId, []):
+        files, where = file_system(spark, path)
+        files.delete(where, True)
