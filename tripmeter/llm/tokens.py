@@ -62,7 +62,7 @@ class PrefixCounter:
         split = told.get("pre_tokenizer") or {}
         if told["model"]["type"] != "BPE" or split.get("type") != "ByteLevel" or split.get("add_prefix_space") or not split.get("use_regex", True) or told.get("normalizer"):
             raise ValueError("only byte-level BPE without a prefix space or a normalizer is supported")
-        self.specials = [t["content"] for t in told["added_tokens"]]
+        self.specials = sorted((t["content"] for t in told["added_tokens"]), key=len, reverse=True)
         plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
         letters = {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in set(plain))}
         vocabulary = told["model"]["vocab"]
@@ -218,7 +218,8 @@ class PrefixCounter:
     def count(self, text: str) -> int:
         """Tokens of a text."""
         total = 0
-        for i, part in enumerate(self.special.split(text) if self.special and "<" in text else [text]):
+        special = any(s in text for s in self.specials)
+        for i, part in enumerate(self.special.split(text) if special else [text]):
             if i % 2:
                 total += 1
             elif part and not _uneven(part):
