@@ -5,12 +5,13 @@ windows of a text fall into runs: each window names its smallest gram by hash (i
 neighbouring windows that name the same gram at the same place are a run.  Equal windows name equal
 grams, so
 
-1. documents are dealt into blocks of a few megabytes, and each block gives its distinct anchors;
+1. documents are dealt into blocks of a few megabytes, and each block gives its distinct runs, as
+   anchor and hash;
 2. an anchor that occurs once in the whole corpus belongs to windows that cannot repeat, and most
    text ends here;
 3. runs of the other anchors are sent to a shard chosen by the anchor, so all places at which a
-   window can be repeated meet in one shard; equal runs of a block are sent once, and if all runs of
-   an anchor are equal everywhere, their hash stands for their text;
+   window can be repeated meet in one shard; equal runs of a block are sent once, and of all blocks
+   with equal runs one sends the text, the others its name;
 4. the shard compares its runs (by the method of the caller) and returns spans;
 5. each block gathers its documents' spans.
 
@@ -26,6 +27,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -165,7 +167,7 @@ def block_runs(texts: list[bytes | None], scheme: Scheme) -> Iterator[tuple[int,
 
 
 def anchors(scheme: Scheme) -> Callable:
-    """Distinct anchors of a block: their different runs, the run's hash if it is one, and whether any run stands twice."""
+    """Distinct runs of a block as anchor and hash, and whether the run stands twice."""
 
     def run(table: pa.Table) -> pa.Table:
         _, texts, _ = in_order(table)
@@ -173,71 +175,71 @@ def anchors(scheme: Scheme) -> Callable:
         anchor, hashes = (np.concatenate([f[i] for f in found] or [np.zeros(0, np.uint64)]) for i in range(2))
         order = np.lexsort((hashes, anchor))
         anchor, hashes = anchor[order], hashes[order]
-        new = np.ones(len(order), bool)
-        new[1:] = anchor[1:] != anchor[:-1]
-        different = new.copy()
-        different[1:] |= hashes[1:] != hashes[:-1]
-        heads = np.flatnonzero(new)
+        heads = np.flatnonzero(pair_heads(anchor, hashes))
         counts = np.diff(np.append(heads, len(order)))
-        runs = np.add.reduceat(different, heads, dtype=np.int64) if len(heads) else heads
         return pa.table({
             "anchor": pa.array(anchor[heads].view(np.int64)),
+            "hash": pa.array(hashes[heads].view(np.int64)),
             "block": pa.array(np.full(len(heads), table.column("block")[0].as_py() if len(table) else 0, np.int32)),
-            "runs": pa.array(runs.astype(np.int32)),
-            "hash": pa.array(hashes[heads].view(np.int64), mask=runs > 1),
             "twice": pa.array(counts > 1),
         })
 
     return run
 
 
+def pair_heads(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Where a new pair begins in two sorted columns."""
+    new = np.ones(len(a), bool)
+    new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+    return new
+
+
 _SENT = (
-    "shard bigint, part int, anchor bigint, doc_id bigint, block int, ordinal int, begin int, count int, "
+    "shard bigint, part int, anchor bigint, hash bigint, doc_id bigint, block int, ordinal int, begin int, count int, "
     "twice boolean, content binary"
 )
 
 
 def _sent(**columns) -> pa.Table:
-    types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.bool_(), pa.binary()]
-    names = ["shard", "part", "anchor", "doc_id", "block", "ordinal", "begin", "count", "twice", "content"]
+    types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.bool_(), pa.binary()]
+    names = ["shard", "part", "anchor", "hash", "doc_id", "block", "ordinal", "begin", "count", "twice", "content"]
     return pa.table([pa.array(columns[n], t, from_pandas=False) for n, t in zip(names, types, strict=True)], names=names)
 
 
-def names_of(runs: Runs, which: np.ndarray) -> list[bytes | None]:
-    """16 bytes that name the runs marked in ``which``: anchor and hash (never a window's text, which is longer)."""
-    raw = np.stack([runs.anchor, runs.hash], axis=1).tobytes()
-    return [raw[16 * i:16 * i + 16] if w else None for i, w in enumerate(which.tolist())]
+def run_key(anchor: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    return anchor ^ mix(hashes)
 
 
 def send(scheme: Scheme, shards: int) -> Callable:
     """Runs whose anchors occur elsewhere, each with the shard or units that compare it.
 
     Equal runs of the block are sent once, as the first of them; the windows of the others are known
-    to repeat and become spans at once (rows without content).  ``parts`` is 0 for anchors whose runs
-    are all equal.
+    to repeat and become spans at once (rows whose content is null).  Content is empty where another
+    block sends it, or where all runs of the anchor are equal (``parts`` is 0) and none is needed.
     """
 
     def run(docs: pa.Table, wanted: pa.Table) -> pa.Table:
         out = []
         ids, texts, _ = in_order(docs)
         block = docs.column("block")[0].as_py() if len(docs) else 0
-        known = wanted.column("anchor").to_numpy().view(np.uint64)
+        known = run_key(*(wanted.column(n).to_numpy().view(np.uint64) for n in ("anchor", "hash")))
         order = np.argsort(known, kind="stable")
         known, parts_of = known[order], wanted.column("parts").to_numpy()[order]
+        sends = wanted.column("sends").to_numpy(zero_copy_only=False)[order]
         kept: list[Runs] = []
         content: list[bytes] = []
         at_parts: list[np.ndarray] = []
         for base, symbols, runs in block_runs(texts, scheme) if len(known) else ():
-            at = np.minimum(np.searchsorted(known, runs.anchor), len(known) - 1)
-            hit = np.flatnonzero(known[at] == runs.anchor)
+            keys = run_key(runs.anchor, runs.hash)
+            at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+            hit = np.flatnonzero(known[at] == keys)
             at_parts.append(parts_of[at[hit]])
             runs = runs.pick(hit)
             first = symbols.first[runs.text] + runs.begin
             begin, end = symbols.bytes_of(first, first + runs.count - 1 + scheme.window)
-            alike = at_parts[-1] == 0
+            own = sends[at[hit]] & (at_parts[-1] > 0)
             content += [
-                symbols.whole[a:b] if n else key
-                for a, b, n, key in zip(begin.tolist(), end.tolist(), at_parts[-1].tolist(), names_of(runs, alike), strict=True)
+                symbols.whole[a:b] if o else b"" for a, b, o in zip(begin.tolist(), end.tolist(), own.tolist(), strict=True)
             ]
             runs.text = runs.text + base
             kept.append(runs)
@@ -245,8 +247,7 @@ def send(scheme: Scheme, shards: int) -> Callable:
             runs = Runs(*(np.concatenate([getattr(k, f) for k in kept]) for f in ("text", "begin", "count", "anchor", "hash")))
             parts = np.concatenate(at_parts)
             order = np.lexsort((np.arange(len(runs.text)), runs.hash, runs.anchor))
-            new = np.ones(len(order), bool)
-            new[1:] = (runs.anchor[order][1:] != runs.anchor[order][:-1]) | (runs.hash[order][1:] != runs.hash[order][:-1])
+            new = pair_heads(runs.anchor[order], runs.hash[order])
             heads = np.flatnonzero(new)
             sizes = np.diff(np.append(heads, len(order)))
             first, twice = order[heads], sizes > 1
@@ -257,7 +258,7 @@ def send(scheme: Scheme, shards: int) -> Callable:
             spans = join_spans(runs.text[copies], runs.begin[copies], runs.begin[copies] + runs.count[copies] - 1 + scheme.window)
             n = len(spans[0])
             out.append(_sent(
-                shard=np.full(n, block % shards), part=np.zeros(n, np.int32), anchor=np.zeros(n, np.int64), doc_id=np.zeros(n, np.int64),
+                shard=np.full(n, block % shards), part=np.zeros(n, np.int32), anchor=np.zeros(n, np.int64), hash=np.zeros(n, np.int64), doc_id=np.zeros(n, np.int64),
                 block=np.full(n, block, np.int32), ordinal=spans[0].astype(np.int32), begin=spans[1].astype(np.int32),
                 count=(spans[2] - spans[1]).astype(np.int32), twice=np.zeros(n, bool), content=[None] * n,
             ))
@@ -271,12 +272,12 @@ def send(scheme: Scheme, shards: int) -> Callable:
             shard = np.where(parts[row] > 1, (unit >> np.uint64(1)).astype(np.int64) | (1 << 62), (runs.anchor[row] % np.uint64(shards)).astype(np.int64))
             at_twice = np.repeat(twice, split)
             out.append(_sent(
-                shard=shard, part=(own != low).astype(np.int32), anchor=runs.anchor[row].view(np.int64),
+                shard=shard, part=(own != low).astype(np.int32), anchor=runs.anchor[row].view(np.int64), hash=runs.hash[row].view(np.int64),
                 doc_id=[ids[i] for i in runs.text[row]], block=np.full(len(row), block, np.int32),
                 ordinal=runs.text[row].astype(np.int32), begin=runs.begin[row].astype(np.int32), count=runs.count[row].astype(np.int32),
                 twice=at_twice, content=[content[i] for i in row.tolist()],
             ))
-        return pa.concat_tables(out) if out else _sent(**{n: [] for n in ("shard", "part", "anchor", "doc_id", "block", "ordinal", "begin", "count", "twice", "content")})
+        return pa.concat_tables(out) if out else _sent(**{n: [] for n in ("shard", "part", "anchor", "hash", "doc_id", "block", "ordinal", "begin", "count", "twice", "content")})
 
     return run
 
@@ -320,31 +321,34 @@ def compare(scheme: Scheme, repeated: Callable[[Shard], list[np.ndarray]]) -> Ca
         if len(rows):
             has_id = columns["doc_id"].is_valid().to_numpy(zero_copy_only=False)[rows]
             doc_id = columns["doc_id"].fill_null(0).to_numpy(zero_copy_only=False)[rows]
-            content = columns["content"].take(pa.array(rows)).to_pylist()
             anchor = columns["anchor"].to_numpy(zero_copy_only=False)[rows]
             twice = columns["twice"].to_numpy(zero_copy_only=False)[rows]
             part = columns["part"].to_numpy(zero_copy_only=False)[rows]
             b, o, s, c = block[rows], ordinal[rows], begin[rows], count[rows]
             place = np.empty(len(rows), np.int64)
             place[np.lexsort((s, o, b, doc_id, has_id))] = np.arange(len(rows))
-            numbers: dict[bytes, int] = {}
-            which = np.array([numbers.setdefault(x, len(numbers)) for x in content], np.int64)
             # The first occurrence of each different run stands for it; copies repeat as a whole.
-            by = np.lexsort((place, which))
-            head = np.ones(len(by), bool)
-            head[1:] = which[by][1:] != which[by][:-1]
+            hashes = columns["hash"].to_numpy(zero_copy_only=False)[rows]
+            by = np.lexsort((place, hashes, anchor))
+            head = pair_heads(anchor[by], hashes[by])
+            which = np.empty(len(rows), np.int64)
+            which[by] = np.cumsum(head) - 1
             copies = by[~head]
-            sizes = np.bincount(which, minlength=len(numbers))
-            again = np.bincount(which, twice, len(numbers)) > 0
+            sizes = np.bincount(which)
             if scheme.first_too:
+                again = np.bincount(which, twice) > 0
                 copies = np.flatnonzero((sizes[which] > 1) | again[which])
             spans.append((b[copies], o[copies], s[copies], s[copies] + c[copies] - 1 + scheme.window))
             first = by[head]
+            told = np.flatnonzero(pa.compute.binary_length(columns["content"].take(pa.array(rows))).to_numpy(zero_copy_only=False) > 0)
+            text_of = np.full(len(sizes), -1)
+            text_of[which[told]] = told
             met = np.unique(anchor[first], return_inverse=True, return_counts=True)
             several = np.flatnonzero(met[2][met[1]] > 1)
             if len(several):
                 own = first[several]
-                shard = Shard([content[i] for i in own], c[own], place[own], part[own])
+                content = columns["content"].take(pa.array(rows[text_of[several]])).to_pylist()
+                shard = Shard(content, c[own], place[own], part[own])
                 flags = repeated(shard)
                 text = np.repeat(np.arange(len(own)), [len(f) for f in flags])
                 at = np.flatnonzero(np.concatenate(flags))
@@ -372,14 +376,16 @@ def repeated_spans(
     blocks, shards = max(1, -(-total // BLOCK_BYTES)), max(1, -(-total // SHARD_BYTES))
     dealt = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int"))
     by_block = dealt.groupBy("block")
-    found = by_block.applyInArrow(anchors(scheme), "anchor bigint, block int, runs int, hash bigint, twice boolean")
-    everywhere = Window.partitionBy("anchor")
+    found = by_block.applyInArrow(anchors(scheme), "anchor bigint, hash bigint, block int, twice boolean")
+    everywhere, equal = Window.partitionBy("anchor"), Window.partitionBy("anchor", "hash")
+    different = F.sum(F.col("sends").cast("int")).over(everywhere)
     wanted = (
-        found.withColumn("places", F.count("*").over(everywhere))
-        .withColumn("alike", (F.max("runs").over(everywhere) == 1) & (F.min("hash").over(everywhere) == F.max("hash").over(everywhere)))
-        .withColumn("parts", F.when(F.col("alike"), 0).otherwise(F.ceil(F.sum("runs").over(everywhere) / PART_RUNS)).cast("int"))
-        .where((F.col("places") > 1) | F.col("twice"))
-        .select("anchor", "block", "parts")
+        found.withColumn("sends", F.col("block") == F.min("block").over(equal))
+        .withColumn("places", F.count("*").over(everywhere))
+        .withColumn("repeats", F.max("twice").over(everywhere))
+        .withColumn("parts", F.when(different == 1, 0).otherwise(F.ceil(different / PART_RUNS)).cast("int"))
+        .where((F.col("places") > 1) | F.col("repeats"))
+        .select("anchor", "hash", "block", "parts", "sends")
     )
     sent = by_block.cogroup(wanted.groupBy("block")).applyInArrow(send(scheme, shards), _SENT)
     spans = sent.groupBy("shard").applyInArrow(compare(scheme, repeated), "block int, ordinal int, begin int, end int")
