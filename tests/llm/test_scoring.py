@@ -264,6 +264,31 @@ def test_stored_prefixes_answer_without_encoding(spark, encoder):
     assert row.n == count("One two,") and count(text[: row.b]) <= 3
 
 
+def test_stored_prefixes_are_exact_at_every_place(spark, encoder):
+    path, count = encoder
+    unspaced = "数据处理的方法很多，我们先看最简单的一种。東京はとても大きいです。สวัสดีครับ"
+    data = [unspaced, "QmFzZTY0L2RhdGE+" * 4, "for(i=0;i<n;i++){s+=a[i]*b[i];}", "one  two\x1cthree \n\n four \x1f  don't", "don't <|endoftext|>we'll  <|endoftext|><|endoftext|> <|end", "", None]
+    docs = spark.createDataFrame(list(enumerate(data)), "doc_id bigint, text string")
+    stored = tokens.prefix_table(docs, path).join(docs, "doc_id").cache()
+    budgets = (1, 2, 5, 9, 20)
+    cuts = {r.doc_id: r for r in tokens.token_counts(docs, path, budgets).collect()}
+    places = F.transform(F.sequence(F.lit(0), F.coalesce(F.octet_length("text"), F.lit(0))), tokens.tokens_within)
+    for r in stored.select("doc_id", "text", places.alias("n"), F.array(*map(tokens.units_within, budgets)).alias("bytes")).collect():
+        text = r.text or ""
+        raw = text.encode()
+        assert r.n == [count(raw[:i].decode("utf-8", "ignore")) for i in range(len(raw) + 1)], text
+        ends = [(len(text[:i].encode()), count(text[:i])) for i in range(len(text) + 1)]
+        assert r.bytes == [max(e for e, n in ends if n <= b) for b in budgets] == [cuts[r.doc_id][f"cut_{b}"] for b in budgets], text
+
+
+def test_the_query_answers_from_the_prefixes(spark):
+    from tripmeter.llm.queries import QUERIES
+
+    got = QUERIES["op10_token_counts"](spark, "/root/testdata/sf0.001").collect()
+    assert all(r.over_limit == (r.n_tokens > 512) == (r.cut_512 < r.n_bytes) for r in got)
+    assert any(0 < r.cut_512 < r.n_bytes for r in got)
+
+
 # Mixing ----------------------------------------------------------------------------------------
 
 

@@ -92,9 +92,9 @@ def op9_license_scan(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
-    """Exact token counts of every document."""
-    counted = tokens.token_counts(documents(spark, folder), public_tokenizers.path(TOKEN_FILE))
-    return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
+    """Exact token counts of every document, and the bytes of it that hold the limit."""
+    counted = tokens.token_counts(documents(spark, folder), public_tokenizers.path(TOKEN_FILE), [TOKEN_LIMIT])
+    return counted.withColumn("over_limit", F.col(f"cut_{TOKEN_LIMIT}") < F.col("n_bytes"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -8,16 +8,16 @@ need no second encoding.
 
 A text falls into units (white space and the run that follows it).  The pattern that splits texts
 before the merges never looks back, so the count of a unit does not depend on its neighbours and
-is remembered.  The counts at the ends of units are a running sum; counts inside a unit come from
-its own pass.
+is remembered: the counts of all its prefixes that end between characters, as runs of equal
+counts.  The table of a text is those of its units, moved by running sums of bytes and tokens.
 """
 
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Sequence
 from functools import lru_cache
-from itertools import accumulate
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -29,6 +29,8 @@ from tripmeter.llm.texts import id_and_text, map_texts
 REMEMBERED = 300_000
 #: Longer units are counted each time they occur.
 SHORT = 64
+#: Bytes of one run of equal counts.
+RUN = 12
 
 _UNIT = re.compile(r"\s*\S+|\s+")
 #: White space other than space and line feed; Python and the pattern differ on the last four of the first line.
@@ -87,10 +89,12 @@ class PrefixCounter:
         self.tokens.make_automaton()
         self.split = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
         self.white = regex.compile(r"\s*")
+        #: Units by the pattern's own white space, for texts in which Python's differs.
+        self.rare_unit = regex.compile(r"\s*\S+|\s+")
         self.special = re.compile("(" + "|".join(map(re.escape, self.specials)) + ")") if self.specials else None
         self.fits: dict[int, bool] = {}
-        self.units: list[dict[str, int]] = [{}, {}]
-        self.spaced: list[dict[str, int]] = [{}, {}]
+        self.units: list[dict[str, bytes]] = [{}, {}]
+        self.spaced: list[dict[str, bytes]] = [{}, {}]
 
     def may_follow(self, left: int, right: int) -> bool:
         """Whether two tokens, encoded together, stay these two."""
@@ -142,10 +146,6 @@ class PrefixCounter:
                     last[end + 1], count[end + 1] = rank, count[begin] + 1
         return count
 
-    def unit(self, text: str) -> int:
-        """Tokens of one unit."""
-        return sum(self.piece(p.encode())[-1] for p in self.split.findall(text))
-
     def unit_prefixes(self, text: str) -> tuple[list[int], list[int]]:
         """Byte lengths and counts of all prefixes of a unit that end between characters."""
         white = self.white.match(text).end()
@@ -173,7 +173,43 @@ class PrefixCounter:
             total += dp[-1]
         return lengths, counts
 
-    def _known(self, stores: list[dict[str, int]], prefix: str, keys: list[str]) -> list[int]:
+    def unit_runs(self, text: str) -> bytes:
+        """Runs of equal counts in a unit: bytes of the first and of the last prefix, and their tokens."""
+        # The usual unit: ASCII, at most one white character and that in front, no "'ll" that a cut could part.
+        if text.isascii() and not text[1:2].isspace() and "\n" not in text[1:]:
+            counts = [0]
+            for p in self.split.findall(text):
+                if p[0] == "'" and len(p) > 2:
+                    break
+                total = counts[-1]
+                counts += [total + n for n in self.piece(p.encode())[1:]]
+            else:
+                return _runs(range(len(counts)), counts)
+        # What is cut at single spaces only may hold line feeds.
+        own = self._split(text)
+        if len(own) == 1:
+            return _runs(*self.unit_prefixes(text))
+        lengths, counts = [0], [0]
+        for unit in own:
+            size, total = lengths[-1], counts[-1]
+            inner = self.unit_prefixes(unit)
+            lengths += [size + n for n in inner[0][1:]]
+            counts += [total + n for n in inner[1][1:]]
+        return _runs(lengths, counts)
+
+    def special_runs(self, before: str, special: str) -> bytes:
+        """Runs in a special string that comes after the unit ``before``.
+
+        It is one token as a whole; a part of it is plain text that goes on from that unit.
+        """
+        lengths, counts = [0], [0]
+        known = self.count(before) if before else 0
+        for cut in range(1, len(special) + 1):
+            lengths.append(len(special[:cut].encode()))
+            counts.append(1 if cut == len(special) else self.count(before + special[:cut]) - known)
+        return _runs(lengths, counts)
+
+    def _known(self, stores: list[dict[str, bytes]], prefix: str, keys: list[str]) -> list[bytes]:
         found = list(map(stores[0].get, keys))
         if None in found:
             for i, n in enumerate(found):
@@ -184,7 +220,7 @@ class PrefixCounter:
                     if n is None:
                         n = old.get(key)
                         if n is None:
-                            n = self.unit(prefix + key)
+                            n = self.unit_runs(prefix + key)
                         if len(key) <= SHORT:
                             if len(new) >= REMEMBERED:
                                 stores[:] = {}, new
@@ -192,72 +228,71 @@ class PrefixCounter:
                     found[i] = n
         return found
 
-    def parts_of(self, text: str) -> tuple[list[str], list[int]]:
-        """Units of a text in their order, and their counts."""
-        units: list[str] = []
-        counts: list[int] = []
-        for i, part in enumerate(self.special.split(text) if self.special else [text]):
+    def parts_of(self, text: str) -> list[bytes]:
+        """The runs of each unit of a text in their order."""
+        found: list[bytes] = []
+        before = ""
+        special = any(s in text for s in self.specials)
+        for i, part in enumerate(self.special.split(text) if special else [text]):
             if i % 2:
-                units.append(part)
-                counts.append(1)
+                found.append(self.special_runs(before, part))
+                before = ""
             elif part and not _uneven(part):
                 first, *rest = part.split(" ")
-                units.append(first)
-                units.extend(" " + x for x in rest)
-                counts += self._known(self.units, "", [first])
-                counts += self._known(self.spaced, " ", rest)
+                found += self._known(self.units, "", [first])
+                found += self._known(self.spaced, " ", rest)
+                before = " " + rest[-1] if rest else first
             elif part:
                 own = self._split(part)
-                units += own
-                counts += self._known(self.units, "", own)
-        return units, counts
+                found += self._known(self.units, "", own)
+                before = own[-1]
+        return found
 
     def _split(self, part: str) -> list[str]:
-        return [part] if _RARE.search(part) else _UNIT.findall(part)
+        return (self.rare_unit if _RARE.search(part) else _UNIT).findall(part)
+
+    def table(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Exact counts of all prefixes that end between characters, as runs: ``firsts, ends, counts``.
+
+        The prefixes of ``firsts[i]`` to ``ends[i]`` bytes have ``counts[i]`` tokens each.
+        """
+        found = self.parts_of(text)
+        runs = np.frombuffer(b"".join(found), np.int32).reshape(-1, 3).astype(np.int64)
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // RUN
+        sizes = sizes[sizes > 0]
+        # The last run of a unit has its bytes and tokens.
+        whole = runs[np.cumsum(sizes) - 1, 1:]
+        moved = np.repeat(np.cumsum(whole, axis=0) - whole, sizes, axis=0)
+        return runs[:, 0] + moved[:, 0], runs[:, 1] + moved[:, 0], runs[:, 2] + moved[:, 1]
 
     def count(self, text: str) -> int:
         """Tokens of a text."""
-        total = 0
-        special = any(s in text for s in self.specials)
-        for i, part in enumerate(self.special.split(text) if special else [text]):
-            if i % 2:
-                total += 1
-            elif part and not _uneven(part):
-                first, *rest = part.split(" ")
-                total += sum(self._known(self.units, "", [first])) + sum(self._known(self.spaced, " ", rest))
-            elif part:
-                total += sum(self._known(self.units, "", self._split(part)))
-        return total
-
-    def table(self, text: str) -> tuple[list[int], list[int]]:
-        """Byte lengths and token counts of the prefixes that end with a unit."""
-        units, counts = self.parts_of(text)
-        return list(accumulate(len(u.encode()) for u in units)), list(accumulate(counts))
+        counts = self.table(text)[2]
+        return int(counts[-1]) if len(counts) else 0
 
     def cut(self, text: str, budget: int) -> int:
         """Bytes of the longest prefix, cut between characters, that has at most ``budget`` tokens."""
-        units, counts = self.parts_of(text)
-        sums = np.concatenate([[0], np.cumsum(np.asarray(counts, np.int64))])
-        if sums[-1] <= budget:
-            return len(text.encode())
-        # A prefix inside a unit may need a token more than the whole unit, so look on from the
-        # last unit whose end fits until a unit begins beyond the budget.
-        at = int(np.searchsorted(sums, budget, side="right")) - 1
-        begin, used = len("".join(units[:at]).encode()), int(sums[at])
-        best = begin
-        for unit in units[at:]:
-            if unit in self.specials:
-                begin, used = begin + len(unit.encode()), used + 1
-                if used <= budget:
-                    best = begin
-                continue
-            for own in [unit] if _RARE.search(unit) else _UNIT.findall(unit):
-                if used > budget:
-                    return best
-                lengths, counts = self.unit_prefixes(own)
-                best = max(best, begin + max(n for n, c in zip(lengths, counts, strict=True) if used + c <= budget))
-                begin, used = begin + lengths[-1], used + counts[-1]
-        return best
+        return within(self.table(text), budget)
+
+
+def _runs(lengths: Sequence[int], counts: list[int]) -> bytes:
+    """Runs of equal counts, without the empty prefix."""
+    out: list[int] = []
+    held = None
+    for n, c in zip(lengths[1:], counts[1:], strict=True):
+        if c == held:
+            out[-2] = n
+        else:
+            out += (n, n, c)
+            held = c
+    return array("i", out).tobytes()
+
+
+def within(table: tuple[np.ndarray, np.ndarray, np.ndarray], budget: int) -> int:
+    """Bytes of the longest prefix of at most ``budget`` tokens; a longer prefix may need fewer tokens."""
+    _, ends, counts = table
+    fits = np.flatnonzero(counts <= budget)
+    return int(ends[fits[-1]]) if len(fits) else 0
 
 
 @lru_cache(maxsize=4)
@@ -277,12 +312,14 @@ def token_counts(docs: DataFrame, path: str, budgets: Sequence[int] = ()) -> Dat
 
     def compute(texts: list[bytes | None]) -> list:
         own = counter(path)
-        whole = [(t or b"").decode("utf-8", "replace") for t in texts]
-        counts = [own.count(t) for t in whole]
         sizes = [len(t or b"") for t in texts]
-        cuts = [
-            [size if n <= b else own.cut(t, b) for t, n, size in zip(whole, counts, sizes, strict=True)] for b in budgets
-        ]
+        counts: list[int] = []
+        cuts: list[list[int]] = [[] for _ in budgets]
+        for t, size in zip(texts, sizes, strict=True):
+            table = own.table((t or b"").decode("utf-8", "replace"))
+            counts.append(int(table[2][-1]) if size else 0)
+            for found, b in zip(cuts, budgets, strict=True):
+                found.append(size if counts[-1] <= b else within(table, b))
         return [sizes, counts, *cuts]
 
     more = "".join(f", cut_{b} bigint" for b in budgets)
@@ -290,27 +327,27 @@ def token_counts(docs: DataFrame, path: str, budgets: Sequence[int] = ()) -> Dat
 
 
 def prefix_table(docs: DataFrame, path: str) -> DataFrame:
-    """``doc_id, ends, counts``: byte lengths of the prefixes that end with a unit, and their exact tokens.
+    """``doc_id, firsts, ends, counts``: the exact tokens of every prefix that ends between characters.
 
-    Stored once, it answers any later question by look-up (:func:`tokens_within`, :func:`units_within`).
-    A null or empty text has empty arrays.
+    Prefixes of ``firsts[i]`` to ``ends[i]`` bytes have ``counts[i]`` tokens.  Stored once, it answers
+    any later question by look-up (:func:`tokens_within`, :func:`units_within`).  A null or empty text
+    has empty arrays.
     """
 
     def compute(texts: list[bytes | None]) -> list:
         own = counter(path)
-        tables = [own.table((t or b"").decode("utf-8", "replace")) for t in texts]
-        return [[t[0] for t in tables], [t[1] for t in tables]]
+        return list(zip(*[own.table((t or b"").decode("utf-8", "replace")) for t in texts], strict=True))
 
-    return map_texts(id_and_text(docs), compute, "ends array<bigint>, counts array<bigint>")
+    return map_texts(id_and_text(docs), compute, "firsts array<bigint>, ends array<bigint>, counts array<bigint>")
 
 
 def tokens_within(n_bytes):
-    """Column: tokens of the longest stored prefix of at most ``n_bytes`` bytes."""
-    at = F.size(F.filter("ends", lambda e: e <= n_bytes))
+    """Column: tokens of the longest prefix of at most ``n_bytes`` bytes that ends between characters."""
+    at = F.size(F.filter("firsts", lambda e: e <= n_bytes))
     return F.when(at == 0, 0).otherwise(F.element_at("counts", F.greatest(at, F.lit(1)))).cast("long")
 
 
 def units_within(budget: int):
-    """Column: bytes of the longest stored prefix of at most ``budget`` tokens."""
-    at = F.size(F.filter("counts", lambda c: c <= budget))
-    return F.when(at == 0, 0).otherwise(F.element_at("ends", F.greatest(at, F.lit(1)))).cast("long")
+    """Column: bytes of the longest prefix of at most ``budget`` tokens that ends between characters."""
+    fits = F.zip_with("ends", "counts", lambda e, c: F.when(c <= budget, e))
+    return F.coalesce(F.array_max(fits), F.lit(0)).cast("long")
