@@ -37,10 +37,10 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     A character of which a byte is cut goes as a whole.
     """
-    found = suffix_dedup.deduplicated(docs, suffix_dedup.WINDOW, suffix_dedup.GRAM, "lang", "source", "n_chars")
-    whole = F.when(F.size("spans") > 0, F.length("kept_text")).otherwise(F.col("n_chars"))
-    return found.withColumn("kept_text", suffix_dedup.readable("kept")).select(
-        "doc_id", F.col("kept_text").alias("text"), "lang", "source", whole.cast("long").alias("n_chars")
+    found = suffix_dedup.deduplicated(docs, suffix_dedup.WINDOW, suffix_dedup.GRAM, "lang", "source", "n_chars", readable=True)
+    whole = F.when(F.size("spans") > 0, F.length("kept")).otherwise(F.col("n_chars"))
+    return found.select(
+        "doc_id", F.col("kept").alias("text"), "lang", "source", whole.cast("long").alias("n_chars")
     )
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 from collections import Counter
 
 import numpy as np
@@ -79,6 +80,20 @@ def test_split_anchors_give_the_same(spark, monkeypatch):
     assert whole[1] == sorted((str(r.doc_id), r.kept) for r in substrings.deduplicated(docs).collect())
 
 
+def test_readable_text_loses_only_what_stands_at_a_cut(spark):
+    import corpus_pipeline
+
+    # The second text shares 149 bytes and the first two of a character's three.
+    shared = "".join(random.Random(6).choices("abcdefghijklmnop", k=149))
+    data = [(1, shared + "\u3042 one", "en", "s", 153), (2, "own \ufffd text " + shared + "\u3044 rest \ufffd", "en", "s", 169)]
+    docs = spark.createDataFrame(data, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    raw = {r.doc_id: bytes(r.kept) for r in suffix_dedup.deduplicated(docs).collect()}
+    assert raw[2] == "own \ufffd text ".encode() + "\u3044".encode()[2:] + " rest \ufffd".encode()
+    got = {r.doc_id: (r.text, r.n_chars) for r in corpus_pipeline.cut_repeats(spark, docs, "").collect()}
+    want = "own \ufffd text  rest \ufffd"
+    assert got == {1: (data[0][1], 153), 2: (want, len(want))}
+
+
 def test_empty_table(spark):
     assert substrings.deduplicated(empty(spark)).count() == 0
     assert suffix_dedup.deduplicated(empty(spark)).count() == 0

@@ -9,8 +9,7 @@ windows are merged by binary search.
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from tripmeter.llm.repeats import Bytes, Scheme, Shard, per_document, repeated_spans
 from tripmeter.llm.suffixes import common_prefixes, merge, suffix_array
@@ -83,13 +82,14 @@ def kept_bytes(text: bytes, spans: tuple[np.ndarray, np.ndarray]) -> bytes:
     return b"".join(text[a:b] for a, b in zip([0, *ends.tolist()], [*begins.tolist(), len(text)], strict=True))
 
 
-def readable(kept: str) -> Column:
-    """Column: bytes as text, without the rest of characters that were cut."""
-    replaced = F.when(F.expr(f"is_valid_utf8(CAST({kept} AS STRING))"), F.col(kept).cast("string"))
-    return F.coalesce(replaced, F.replace(F.expr(f"make_valid_utf8(CAST({kept} AS STRING))"), F.lit("\ufffd"), F.lit("")))
+def kept_text(text: bytes, spans: tuple[np.ndarray, np.ndarray]) -> str:
+    """What is left of a text as text; of a character that was cut nothing stays, and no two rests make another."""
+    begins, ends = spans
+    pieces = zip([0, *ends.tolist()], [*begins.tolist(), len(text)], strict=True)
+    return "".join(text[a:b].decode("utf-8", "ignore") for a, b in pieces)
 
 
-def deduplicated(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, *keep: str) -> DataFrame:
+def deduplicated(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, *keep: str, readable: bool = False) -> DataFrame:
     """``doc_id, n_bytes, spans, kept``: each document's removed byte ranges and the bytes that remain.
 
     A byte goes if it lies in a string of ``window`` bytes that also starts earlier: in a document
@@ -97,16 +97,17 @@ def deduplicated(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, *keep:
     text, and equal ones one after the other), or earlier in the same document.  A null text counts
     as empty; texts shorter than ``window`` are never cut, yet rows that repeat give a row each.
     Of other columns only ``keep`` are
-    read and returned.
+    read and returned.  ``readable`` gives ``kept`` as text, without the rest of characters that were cut.
     """
     dealt, spans = removed_spans(docs, window, gram, *keep)
+    left, kind = (kept_text, "string") if readable else (kept_bytes, "binary")
 
     def make(texts, found):
         texts = [t or b"" for t in texts]
         return [
             [len(t) for t in texts],
             [[{"begin": a, "end": b} for a, b in zip(s[0].tolist(), s[1].tolist(), strict=True)] for s in found],
-            [kept_bytes(t, s) for t, s in zip(texts, found, strict=True)],
+            [left(t, s) for t, s in zip(texts, found, strict=True)],
         ]
 
-    return per_document(dealt, spans, make, "n_bytes bigint, spans array<struct<begin:int,end:int>>, kept binary")
+    return per_document(dealt, spans, make, f"n_bytes bigint, spans array<struct<begin:int,end:int>>, kept {kind}")
