@@ -765,7 +765,7 @@ def _(spark, d):
 
 @query("pairwise_panel")
 def _(spark, d):
-    """Correlations, histograms and trends of all pairs of logged numbers, from one frame."""
+    """Correlations of all pairs of logged numbers and histograms of each, without trends and points."""
     panel = reports.pairwise(trimmed(spark, d), [*schemas.DISTANCES, "ATD"], 20)
     return tables.append_union([
         panel["correlations"].select("a", "b", F.lit(-1).alias("bin"), F.col("corr").alias("value")),
