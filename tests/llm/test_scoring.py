@@ -90,6 +90,17 @@ def test_toxicity_on_held_out_rows(spark):
     assert np.allclose(model.weights, again.weights)
 
 
+def test_training_sample_has_two_thousand_toxic_and_three_thousand_clean_rows(spark, monkeypatch):
+    rows = [(i, f"zorgul w{i % 50}" if i < 2600 else f"w{i % 50} w{i % 70}", int(i < 2600)) for i in range(6600)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id bigint, text string").repartition(4)
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id bigint, toxic int")
+    seen, own = [], toxicity.training_rows
+    monkeypatch.setattr(toxicity, "training_rows", lambda *a: seen.append(own(*a)) or seen[-1])
+    toxicity.train(docs, labels, F.lit(True))
+    marks = seen[0].marks
+    assert abs(marks.sum() - 2000) < 120 and abs((1 - marks).sum() - 3000) < 150
+
+
 def test_label_model_finds_accuracies_and_copies():
     rng = np.random.default_rng(0)
     truth = rng.random(4000) < 0.2
