@@ -43,10 +43,15 @@ def rows(frame: pd.DataFrame) -> list[tuple]:
     return sorted(tuple(text(v) for v in row) for row in frame.astype(object).itertuples(index=False))
 
 
+def whole(table) -> pd.DataFrame:
+    """All values as they are: a column of whole numbers stays one beside NULLs."""
+    return pd.DataFrame({n: pd.Series(table.column(n).to_pylist(), dtype=object) for n in table.column_names})
+
+
 def difference(spark, con, name: str, run, sql: str, folder: str) -> str | None:
     """None when equal, otherwise what differs."""
-    got = run(spark, folder).toPandas()
-    want = con.execute(sql).df()
+    got = whole(run(spark, folder).toArrow())
+    want = whole(con.execute(sql).to_arrow_table())
     if sorted(got.columns) != sorted(want.columns):
         return f"columns {sorted(got.columns)} != {sorted(want.columns)}"
     left, right = rows(got), rows(want)
