@@ -23,6 +23,9 @@ COLUMNS = {
     "op8": {"doc_id": "bigint", "fingerprint": "string", "component_id": "bigint"},
     "op9": {"doc_id": "bigint", "n_words": "bigint", "n_base": "bigint", "first_word": "bigint", "last_word": "bigint", "base_labels": "string", "labels": "string", "score": "double"},
     "op10": {"doc_id": "bigint", "n_bytes": "bigint", "n_tokens": "bigint", "over_limit": "boolean"},
+    "op11": {"anchor_id": "bigint", "positive_id": "bigint", "rank": "int", "negative_id": "bigint", "positive_score": "bigint", "negative_score": "bigint"},
+    "op12": {"doc_id": "bigint", "keep_id": "bigint", "group_size": "bigint", "kept": "boolean", "text_sha256": "string"},
+    "op13": {"conv_id": "bigint", "depth": "bigint", "parent_conv_id": "bigint", "n_convs": "bigint", "n_children": "bigint", "n_leaves": "bigint", "saved_tokens": "bigint", "ends_sha256": "string"},
 }
 
 
@@ -30,6 +33,8 @@ COLUMNS = {
 def test_columns_and_rows(spark, name):
     got = QUERIES[name](spark, FOLDER)
     assert COLUMNS[name.split("_")[0]].items() <= dict(got.dtypes).items()
+    if "doc_id" not in got.columns:
+        return
     ids = [r.doc_id for r in got.select("doc_id").collect()]
     assert sorted(ids) == sorted(r.doc_id for r in spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id").collect())
 

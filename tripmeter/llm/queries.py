@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmeter.llm import contamination, language, licenses, mixing, quality, simhash, substrings, suffix_dedup, tokens, toxicity
+from tripmeter.llm import (
+    contamination,
+    exact,
+    language,
+    licenses,
+    mixing,
+    negatives,
+    quality,
+    simhash,
+    substrings,
+    suffix_dedup,
+    tokens,
+    toxicity,
+    trie,
+)
 from tripmeter.llm.texts import documents
 from tripmeter.session import scratch_path
 
@@ -97,6 +111,29 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return counted.withColumn("over_limit", F.col(f"cut_{TOKEN_LIMIT}") < F.col("n_bytes"))
 
 
+def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    """Hard negatives of every anchor and positive among all embeddings."""
+    rows, scratch = spark.read.parquet(f"{folder}/embeddings.parquet"), scratch_path(spark, "negatives")
+    key, label = F.col("vec_id").cast("long"), F.col("label").cast("long")
+    moved = F.when(key % 7 == 0, (label + 1) % 10).otherwise(label)
+    codes = negatives.prepared(rows, f"{scratch}/codes", "embedding", key, moved, key % 100 == 0)
+    return negatives.hard_negatives(codes, scratch).select(
+        "anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score"
+    )
+
+
+def op12_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Which document stays for every document."""
+    found = exact.exact_duplicates(documents(spark, folder), scratch_path(spark, "exact"))
+    return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+def op13_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    """All nodes of the trie of rebuilt conversations."""
+    paths = trie.with_heads(trie.conversation_paths(spark.read.parquet(f"{folder}/conversations.parquet")))
+    return trie.prefix_trie(paths, scratch_path(spark, "trie"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -108,6 +145,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash": op8_simhash,
     "op9_license_scan": op9_license_scan,
     "op10_token_counts": op10_token_counts,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_exact_dedup": op12_exact_dedup,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 ORACLES: dict[str, str] = {
     # Starts of repeated windows that lie at most a window apart make one span ("island").
@@ -294,4 +334,75 @@ ORACLES: dict[str, str] = {
                 + greatest(0, least(p.size, floor(g.target)::BIGINT % g.source_size - stand_before)) END::BIGINT AS taken
         FROM placed p JOIN goals g ON p.source IS NOT DISTINCT FROM g.source
     """,
+    "op11_hard_negatives": r"""
+        WITH rows AS (
+            SELECT row_number() OVER () AS row, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label::BIGINT + 1) % 10 ELSE label END AS label,
+                list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS vec
+            FROM embeddings
+            WHERE label IS NOT NULL AND embedding IS NOT NULL
+                AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), scored AS (
+            SELECT a.row AS a_row, a.vec_id AS anchor_id, b.row AS b_row, b.vec_id AS other_id, a.label = b.label AS same,
+                list_inner_product(a.vec, b.vec)::BIGINT AS score
+            FROM rows a JOIN rows b ON a.row <> b.row WHERE a.vec_id % 100 = 0
+        ), positives AS (
+            SELECT a_row, anchor_id, b_row, other_id AS positive_id, score AS positive_score FROM (
+                SELECT *, row_number() OVER (PARTITION BY a_row ORDER BY score DESC, other_id NULLS LAST, b_row) AS n FROM scored WHERE same)
+            WHERE n <= 5
+        ), negatives AS (
+            SELECT p.anchor_id, p.positive_id, p.positive_score, s.other_id AS negative_id, s.score AS negative_score,
+                row_number() OVER (PARTITION BY p.a_row, p.b_row ORDER BY s.score DESC, s.other_id NULLS LAST, s.b_row)::INTEGER AS rank
+            FROM positives p JOIN scored s ON p.a_row = s.a_row AND NOT s.same
+                AND 30 * p.positive_score <= 100 * s.score AND 100 * s.score <= 90 * p.positive_score
+        )
+        SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM negatives WHERE rank <= 10
+    """,
+    "op12_exact_dedup": r"""
+        WITH docs AS (
+            SELECT doc_id, length(coalesce(text, '')) AS n_chars, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS plain
+            FROM documents
+        )
+        SELECT doc_id, first_value(doc_id) OVER ranked AS keep_id, count(*) OVER (PARTITION BY plain) AS group_size,
+            row_number() OVER ranked = 1 AS kept, sha256(plain) AS text_sha256
+        FROM docs WINDOW ranked AS (PARTITION BY plain ORDER BY n_chars DESC, doc_id NULLS LAST
+                                    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+    """,
+    # crc32 bit by bit: a byte is mixed in, then eight shifts (-1) follow.
+    "op13_prefix_trie": r"""
+        WITH turns AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL
+        ), own AS (
+            SELECT conv_id, list(struct_pack(k := md5(length(role) || ':' || role || text), w := len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')))
+                ORDER BY turn NULLS FIRST, sha256(length(role) || ':' || role || text)[:32]) AS path
+            FROM turns GROUP BY conv_id
+        ), hashed AS (
+            SELECT conv_id, path, conv_id - conv_id % 20 AS base, (xor(list_reduce(
+                [4294967295::BIGINT] || flatten(list_transform(string_split(conv_id::VARCHAR, ''), lambda c: [ascii(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1])),
+                lambda r, x: CASE WHEN x >= 0 THEN xor(r, x) WHEN r % 2 = 1 THEN xor(r >> 1, 3988292384::BIGINT) ELSE r >> 1 END
+            ), 4294967295::BIGINT) % 4)::INT AS h FROM own
+        ), rebuilt AS (
+            SELECT c.conv_id, coalesce(b.path[1:c.h], []) || c.path[c.h + 1:] AS path
+            FROM hashed c LEFT JOIN own b ON c.base = b.conv_id
+        ), steps AS (
+            SELECT conv_id, len(path) AS n, d, md5(array_to_string(list_transform(path[1:d], lambda t: t.k), ',')) AS node,
+                CASE WHEN d > 0 THEN md5(array_to_string(list_transform(path[1:d - 1], lambda t: t.k), ',')) END AS parent,
+                CASE WHEN d > 0 THEN path[d].w ELSE 0 END AS words
+            FROM (SELECT conv_id, path, unnest(range(len(path) + 1)) AS d FROM rebuilt)
+        ), nodes AS (
+            SELECT node, any_value(parent) AS parent, any_value(d) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+                (count(*) - 1) * any_value(words) AS saved,
+                coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE n = d), '') AS ends
+            FROM steps GROUP BY node
+        ), families AS (
+            SELECT parent AS node, count(*) AS n_children FROM nodes WHERE parent IS NOT NULL GROUP BY parent
+        ), above AS (
+            SELECT DISTINCT s.node, a.node AS ancestor FROM steps s JOIN steps a ON s.conv_id = a.conv_id AND a.d <= s.d
+        ), totals AS (
+            SELECT ancestor AS node, sum(saved)::BIGINT AS saved_tokens, count(*) FILTER (WHERE f.node IS NULL) AS n_leaves
+            FROM above JOIN nodes USING (node) LEFT JOIN families f USING (node) GROUP BY ancestor
+        )
+        SELECT n.conv_id, n.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(f.n_children, 0) AS n_children,
+            t.n_leaves, t.saved_tokens, sha256(n.ends) AS ends_sha256
+        FROM nodes n LEFT JOIN nodes p ON n.parent = p.node LEFT JOIN families f ON n.node = f.node JOIN totals t ON n.node = t.node
+    """,
 }
