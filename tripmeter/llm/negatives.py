@@ -197,50 +197,59 @@ def search(codes: DataFrame, anchors: Anchors, slot_anchor: np.ndarray, low: np.
     one, with a score from ``low`` to ``high``.
     """
 
+    wanted = max(1, int(np.bincount(slot_anchor).max()))
+    # The slots of each anchor, -1 beyond.
+    slots = np.full((len(anchors.rows), wanted), -1)
+    order = np.argsort(slot_anchor, kind="stable")
+    place = np.arange(len(order)) - np.searchsorted(slot_anchor[order], slot_anchor[order])
+    slots[slot_anchor[order], place] = order
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best = Best(keep, len(slot_anchor))
-        slots_of = np.argsort(slot_anchor, kind="stable")
+        best = [Best(keep, len(slot_anchor)) for _ in range(0, len(anchors.rows), ANCHORS_AT_ONCE)]
         at_once = max(1, VALUES_AT_ONCE // anchors.vectors.shape[1])
-        for whole in batches:
-            for begin in range(0, whole.num_rows, ROWS_AT_ONCE):
-                batch = whole.slice(begin, ROWS_AT_ONCE)
-                n = batch.num_rows
-                row, ids, label = (batch.column(i).fill_null(0).to_numpy(zero_copy_only=False) for i in range(3))
-                known = batch.column(1).is_valid().to_numpy(zero_copy_only=False)
-                vectors, alignment, rest = _matrix(batch.column(3), n), _matrix(batch.column(5), n), batch.column(6).to_numpy()
-                bits = _matrix(batch.column(4), n).view(np.uint64).reshape(n, LEVELS, -1)
-                for first in range(0, len(anchors.rows), ANCHORS_AT_ONCE):
-                    which = slice(first, first + ANCHORS_AT_ONCE)
-                    least, most = anchors.intervals(bits, alignment, rest, which)
-                    eligible = (label[:, None] == anchors.labels[which]) == same
-                    if same:
-                        eligible &= row[:, None] != anchors.rows[which]
-                    cut = slots_of[np.searchsorted(slot_anchor[slots_of], first):np.searchsorted(slot_anchor[slots_of], first + ANCHORS_AT_ONCE)]
-                    at, of = _open_pairs(least, most, eligible, slot_anchor[cut] - first, np.maximum(low[cut], best.enough[cut]), high[cut])
-                    for a in range(0, len(at), at_once):
-                        r, slot = at[a:a + at_once], cut[of[a:a + at_once]]
-                        score = scores(vectors[r], anchors.vectors[slot_anchor[slot]])
-                        inside = (score >= low[slot]) & (score <= high[slot]) & (score >= best.enough[slot])
-                        best.add(slot[inside], score[inside], ids[r[inside]], known[r[inside]], row[r[inside]])
-        columns = [pa.array(best.slot), pa.array(best.id, pa.int64(), mask=~best.known), pa.array(best.score), pa.array(best.row)]
-        yield pa.RecordBatch.from_arrays(columns, names=["slot", "id", "score", "row"])
+        for batch in growing(batches):
+            n = batch.num_rows
+            row, ids, label = (batch.column(i).fill_null(0).to_numpy(zero_copy_only=False) for i in range(3))
+            known = batch.column(1).is_valid().to_numpy(zero_copy_only=False)
+            vectors, alignment, rest = _matrix(batch.column(3), n), _matrix(batch.column(5), n), batch.column(6).to_numpy()
+            bits = _matrix(batch.column(4), n).view(np.uint64).reshape(n, LEVELS, -1)
+            for part, own in enumerate(best):
+                first = part * ANCHORS_AT_ONCE
+                which = slice(first, first + ANCHORS_AT_ONCE)
+                least, most = anchors.intervals(bits, alignment, rest, which)
+                open_ = (label[:, None] == anchors.labels[which]) == same
+                if same:
+                    open_ &= row[:, None] != anchors.rows[which]
+                # What any slot of the anchor still takes; a bound that is no number leaves a pair open.
+                there = slots[which] >= 0
+                floor = np.where(there, np.maximum(low, own.enough)[slots[which]], np.inf).min(axis=1)
+                roof = np.where(there, high[slots[which]], -np.inf).max(axis=1)
+                open_ &= ~((most < floor) | (least > roof))
+                at, of = np.nonzero(open_)
+                for a in range(0, len(at), at_once):
+                    r, anchor = at[a:a + at_once], of[a:a + at_once] + first
+                    score = scores(vectors[r], anchors.vectors[anchor])
+                    for j in range(wanted):
+                        slot = slots[anchor, j]
+                        inside = (slot >= 0) & (score >= low[slot]) & (score <= high[slot]) & (score >= own.enough[slot])
+                        if inside.any():
+                            own.add(slot[inside], score[inside], ids[r[inside]], known[r[inside]], row[r[inside]])
+        for own in best:
+            columns = [pa.array(own.slot), pa.array(own.id, pa.int64(), mask=~own.known), pa.array(own.score), pa.array(own.row)]
+            yield pa.RecordBatch.from_arrays(columns, names=["slot", "id", "score", "row"])
 
     return codes.select("row", "id", "label", "vector", "bits", "alignment", "rest").mapInArrow(run, _FOUND)
 
 
-def _open_pairs(
-    least: np.ndarray, most: np.ndarray, eligible: np.ndarray, anchor: np.ndarray, low: np.ndarray, high: np.ndarray
-) -> tuple[np.ndarray, np.ndarray]:
-    """(row, slot) whose interval reaches the slot's range; a bound that is no number leaves a pair open."""
-    rows, slots = [], []
-    for s in range(len(anchor)):
-        a = anchor[s]
-        at = np.flatnonzero(eligible[:, a] & ~((most[:, a] < low[s]) | (least[:, a] > high[s])))
-        rows.append(at)
-        slots.append(np.full(len(at), s))
-    if not rows:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    return np.concatenate(rows), np.concatenate(slots)
+def growing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Small batches first, so that limits are up before most rows come."""
+    size = 64
+    for whole in batches:
+        begin = 0
+        while begin < whole.num_rows:
+            yield whole.slice(begin, size)
+            begin += size
+            size = min(2 * size, ROWS_AT_ONCE)
 
 
 def _ranked(found: DataFrame, keep: int) -> DataFrame:
