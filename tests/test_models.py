@@ -98,8 +98,8 @@ def test_defaults():
     models = catalogue()
     forest, gbt, deep = models["random_forest"], models["gbt"], models["gbt_deep"]
     assert (forest.getNumTrees(), forest.getMaxDepth(), forest.getFeatureSubsetStrategy()) == (100, 10, "all")
-    assert (gbt.getMaxIter(), gbt.getStepSize(), gbt.getMaxDepth()) == (100, 0.1, 3)
-    assert (deep.getMaxIter(), deep.getMaxDepth(), deep.getSubsamplingRate()) == (200, 6, 0.8)
+    assert (gbt.rounds, gbt.learning_rate, gbt.depth, gbt.l2, gbt.row_share) == (100, 0.1, 3, 0, 1)
+    assert (deep.rounds, deep.depth, deep.row_share, deep.feature_share, deep.l2) == (200, 6, 0.8, 0.8, 1)
 
 
 def test_best_model_has_smallest_rmse(trained):

@@ -6,7 +6,9 @@ from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 
-from tripmeter.models.training import Trained
+from tripmeter.models.boosting import Boosted
+from tripmeter.models.training import Model, Trained
+from tripmeter.session import file_system
 from tripmeter.sources.tables import table_exists
 
 
@@ -22,11 +24,27 @@ def _stored(spark: SparkSession, path: str) -> bool:
     return True
 
 
+def store_model(spark: SparkSession, model: Model, path: str) -> None:
+    """Store a model in place of an earlier one, of whichever kind."""
+    files, where = file_system(spark, path)
+    files.delete(where, True)
+    if isinstance(model, Boosted):
+        model.save(spark, path)
+    else:
+        model.write().overwrite().save(path)
+
+
+def load_model(spark: SparkSession, path: str) -> Model | None:
+    if _stored(spark, path):
+        return PipelineModel.load(path)
+    return Boosted.load(spark, path) if table_exists(spark, f"{path}/model") else None
+
+
 def publish(trained: Trained, folder: str) -> None:
     """Store preprocessing, best model and encoded rows, replacing earlier ones."""
     name = trained.features.name
     trained.preprocessing.write().overwrite().save(f"{folder}/preprocessing_{name}")
-    trained.best_model.write().overwrite().save(f"{folder}/best_model_{name}")
+    store_model(trained.encoded.sparkSession, trained.best_model, f"{folder}/best_model_{name}")
     trained.encoded.write.mode("overwrite").parquet(f"{folder}/encoded_{name}")
 
 
@@ -37,9 +55,9 @@ def load_preprocessing(spark: SparkSession, folder: str, variant: str) -> Pipeli
 
 def load_artifacts(
     spark: SparkSession, folder: str, variant: str
-) -> tuple[PipelineModel, DataFrame] | None:
+) -> tuple[Model, DataFrame] | None:
     """Best model and encoded held-out rows, or None if anything is absent."""
-    model, rows = f"{folder}/best_model_{variant}", f"{folder}/encoded_{variant}"
-    if not (_stored(spark, model) and table_exists(spark, rows)):
+    model, rows = load_model(spark, f"{folder}/best_model_{variant}"), f"{folder}/encoded_{variant}"
+    if model is None or not table_exists(spark, rows):
         return None
-    return PipelineModel.load(model), spark.read.parquet(rows).where("split = 'test'")
+    return model, spark.read.parquet(rows).where("split = 'test'")

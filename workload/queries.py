@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
@@ -174,6 +175,14 @@ def published(spark: SparkSession, d: str, variant: str) -> tuple[Trained, str]:
     return _trained[key]
 
 
+def published_all(spark: SparkSession, d: str) -> dict[str, tuple[Trained, str]]:
+    """All variants, trained side by side."""
+    keyed(spark, d)  # stages the trips once, for all of them
+    with ThreadPoolExecutor(len(feats.FEATURE_SETS)) as pool:
+        made = pool.map(lambda variant: published(spark, d, variant), feats.FEATURE_SETS)
+        return dict(zip(feats.FEATURE_SETS, made, strict=True))
+
+
 _scored: dict[tuple, tuple[str, StructType]] = {}
 
 
@@ -978,8 +987,7 @@ def _(spark, d):
 def _(spark, d):
     """Held-out metrics of the published best models, as loaded, next to those of the training run."""
     parts = []
-    for variant in feats.FEATURE_SETS:
-        trained, folder = published(spark, d, variant)
+    for variant, (trained, folder) in published_all(spark, d).items():
         model, rows = load_artifacts(spark, folder, variant)
         again = errors.regression_metrics(model.transform(rows)).select(
             F.lit(variant).alias("variant"), "n", F.col("mae").alias("_mae"), F.col("rmse").alias("_rmse")
