@@ -96,11 +96,12 @@ class Boosting:
         spark = rows.sparkSession
         path = path or scratch_path(spark, "boosting")
         edges = bin_edges(rows, self.features, self.bins)
-        n, base, far = rows.agg(
-            F.count("*"), F.round(F.avg(self.target), 6), F.max(F.abs(F.col(self.target)))
-        ).first()
+        # Millionths are summed as whole numbers: the mean does not depend on the order of the rows either.
+        millionths = F.round(F.col(self.target) * 1_000_000).cast("decimal(38,0)")
+        n, total, far = rows.agg(F.count("*"), F.sum(millionths), F.max(F.abs(F.col(self.target)))).first()
         if not n:
             return Boosted(0.0, [], self.features)
+        base = int(total) / n / 1_000_000
         blocks = self._blocks(rows, edges, path, n)
         # Whole numbers per unit of gradient, so that no sum leaves 62 bits.
         scale = 2.0 ** min(20, 61 - int(n).bit_length() - int(2 * far + 2).bit_length())

@@ -20,6 +20,7 @@ from tripmeter.functions import clock, values
 from tripmeter.models import features as feats
 from tripmeter.models import preprocess
 from tripmeter.models.artifacts import artifact_dir, load_artifacts, load_preprocessing, publish
+from tripmeter.models.boosting import Boosting
 from tripmeter.models.training import Hyperparameters, Trained, encoded_split, score, train_variant
 from tripmeter.operators import anomalies, cleaning, errors, profile, quality, sampling, summaries
 from tripmeter.operators.quantiles import named_quantiles, quantile_bin, quantile_trim
@@ -983,6 +984,15 @@ def _(spark, d):
     return rows.agg(F.count("*").alias("n"), *[F.lit(float(v)).alias(c) for c, v in zip(names, values_of)])
 
 
+@query("boosted_tree")
+def _(spark, d):
+    """One tree of two levels over the distances of all clean trips, missing ones included: splits, gains, leaf weights."""
+    assembled = VectorAssembler(inputCols=schemas.DISTANCES, outputCol="features", handleInvalid="keep").transform(keyed(spark, d))
+    model = Boosting(rounds=1, depth=2, learning_rate=1.0, l2=1.0, bins=16).fit(assembled)
+    threshold = F.when(F.col("feature") >= 0, F.col("threshold"))
+    return model.nodes(spark).select("node", "feature", threshold.alias("threshold"), "missing_left", "gain", "weight")
+
+
 @query("performance_trained")
 def _(spark, d):
     """Held-out metrics of the published best models, as loaded, next to those of the training run."""
