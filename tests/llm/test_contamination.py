@@ -80,3 +80,12 @@ def test_rule_keeps_clean_documents(spark):
     assert kept.count() == verdict.where(~contamination.contaminated()).count()
     assert kept.columns == docs.columns
     assert verdict.where(F.col("n_hit") > 0).count() > 0
+
+
+def test_columns_with_the_names_that_are_used_inside(spark):
+    docs = table(spark).selectExpr("doc_id", "text", *[f"'mine' AS `{c}`" for c in ("_id", "_HASH", "segment", "ordinal", "n_hit", "items", "part")])
+    items = spark.createDataFrame([("i", rows()[5][1])], "item_id string, text string")
+    kept = contamination.without_contaminated(docs, items, scratch_path(spark, "c"))
+    plain = contamination.without_contaminated(table(spark), items, scratch_path(spark, "c"))
+    assert kept.columns == docs.columns
+    assert kept.where("`_id` = 'mine' AND `_HASH` = 'mine'").count() == plain.count() < docs.count()

@@ -11,9 +11,10 @@ from fixtures import empty, rows, table, words_of
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from tripmeter.llm import repeats, substrings, suffix_dedup
+from tripmeter.llm import contamination, quality, repeats, substrings, suffix_dedup
 from tripmeter.llm.repeats import Bytes, Scheme, SingleSpaced, find_runs, join_spans
 from tripmeter.llm.suffixes import common_prefixes, merge, suffix_array
+from tripmeter.llm import words as words_module
 from tripmeter.llm.words import Words, windows
 
 
@@ -157,3 +158,53 @@ def test_hashes_tell_words_and_windows_apart():
     hashes = words.hashes()
     assert len(set(hashes.tolist())) == len(set(raw))
     assert len(windows(hashes, 11)) == 0 and len(windows(hashes, 10)) == 1
+
+
+def exchanged(doublings=10):
+    """Two different words that a polynomial modulo a power of two cannot tell apart."""
+    a, b = "a", "b"
+    for _ in range(doublings):
+        a, b = a + b, b + a
+    return a, b
+
+
+def test_words_by_doubling_and_exchange(spark):
+    one, other = exchanged()
+    rest = " ".join(f"w{i}" for i in range(34))
+    rows = [(1, f"{rest} {one}"), (2, f"{rest} {other}"), (3, f"{one} " * 40)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r.doc_id: sum(s["end"] - s["begin"] for s in r.spans) for r in substrings.deduplicated(docs).collect()}
+    assert got == {1: 0, 2: 0, 3: 40}
+
+
+def test_the_same_words_in_items_and_windows(spark, path):
+    one, other = exchanged()
+    docs = spark.createDataFrame([(1, f"x {one} y"), (2, f"x {other} y")], "doc_id bigint, text string")
+    items = spark.createDataFrame([("i", one)], "item_id string, text string")
+    got = {r.doc_id: (r.n_hit, r.items) for r in contamination.contamination(docs, items, f"{path}/c").collect()}
+    assert got == {1: (1, ["i"]), 2: (0, [])}
+    seven = " ".join("abcdefg")
+    pair = spark.createDataFrame([(1, f"{seven} {one} {seven} {other}", "en", "s")], "doc_id bigint, text string, lang string, source string")
+    assert quality.quality(pair, f"{path}/q").first().n_repeat_words == 0
+
+
+def test_hashes_of_byte_ranges():
+    data = bytes(range(256)) * 50
+    words = Words([data, data[7:900]])
+    starts = np.arange(0, 3000, 7)
+    assert (words.hash_of(starts, starts + 40) == words.hash_of(starts + 256, starts + 296)).all()
+    exact = [sum((c + 1) * pow(words_module._RATIO, i, words_module.PRIME) for i, c in enumerate(data[:k])) % words_module.PRIME for k in (1, 2, 700, 12000)]
+    assert words_module.prefix_sums(np.frombuffer(data, np.uint8))[[1, 2, 700, 12000]].tolist() == exact
+
+
+def test_places_beyond_the_packed_bits(monkeypatch):
+    monkeypatch.setattr(repeats, "_PLACE_BITS", np.uint64(8))
+    text = random.Random(1).randbytes(3000)
+    scheme = Scheme(Bytes, 100, 40, first_too=False)
+    symbols = repeats.Bytes([text])
+    few = repeats.find_runs(symbols, scheme)
+    assert few.count.sum() == len(text) - scheme.window + 1
+    assert (few.begin[1:] == few.begin[:-1] + few.count[:-1]).all()
+    grams = symbols.grams(scheme.gram)
+    reach = scheme.window - scheme.gram + 1
+    assert all(a in grams[b:b + c + reach] for a, b, c in zip(few.anchor, few.begin, few.count, strict=True))

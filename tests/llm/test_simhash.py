@@ -109,3 +109,10 @@ def test_one_of_each(spark):
 def test_empty_table(spark):
     assert simhash.near_duplicates(empty(spark), scratch_path(spark, "s")).count() == 0
     assert simhash.one_of_each(empty(spark), scratch_path(spark, "s")).count() == 0
+
+
+def test_columns_with_the_names_that_are_used_inside(spark):
+    docs = table(spark).selectExpr("doc_id", "text", *[f"'mine' AS `{c}`" for c in ("_key", "_hash", "_N", "_no_id", "_id", "block", "part", "root", "least")])
+    kept = simhash.one_of_each(docs, scratch_path(spark, "s"))
+    assert kept.columns == docs.columns
+    assert kept.where(" AND ".join(f"`{c}` = 'mine'" for c in docs.columns[2:])).count() == kept.count() == simhash.one_of_each(table(spark), scratch_path(spark, "s")).count()

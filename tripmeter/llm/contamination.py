@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripmeter.llm.texts import PLAIN, as_bytes, id_and_text, map_texts, pieces, reach_workers, text_hash
+from tripmeter.llm.texts import PLAIN, as_bytes, free_names, id_and_text, map_texts, pieces, reach_workers, text_hash
 from tripmeter.llm.words import Words
 
 WINDOW = 13
@@ -354,6 +354,8 @@ def contaminated() -> Column:
 
 def without_contaminated(docs: DataFrame, items: DataFrame, scratch: str, window: int = WINDOW) -> DataFrame:
     """``docs`` without the documents that :func:`contaminated` is true for."""
-    found = contamination(docs, items, scratch, window).where(contaminated()).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (text_hash() == F.col("_hash"))
+    own_id, own_hash = free_names(docs, "_id", "_hash")
+    found = contamination(docs, items, scratch, window).where(contaminated())
+    found = found.select(F.col("doc_id").alias(own_id), F.col("text_hash").alias(own_hash))
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col(own_id)) & (text_hash() == F.col(own_hash))
     return docs.join(found, same, "left_anti")

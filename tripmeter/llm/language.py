@@ -8,7 +8,6 @@ filter lies in one; a text's answer is the mean over its windows, weighted by th
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 
 import numpy as np
@@ -23,11 +22,15 @@ FILTERS = 12
 EMBEDDED = 8
 UNKNOWN = "und"
 
-_LETTER = re.compile(r"[^\W\d_]")
 #: A-Z become a-z; digits, signs and controls become spaces: what is written in tells, not how it is adorned.
 _FOLD = np.array([c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256)], np.uint8)
 
 
+def has_letter(text: str) -> bool:
+    """Whether any character is a letter (Unicode category L)."""
+    return any(map(str.isalpha, text))
+
+
 def cut(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Windows (rows of LENGTH bytes, 0 beyond the end), the text of each, and its letters."""
     step = LENGTH - max(WIDTHS) + 1
@@ -221,7 +224,7 @@ def identify(docs: DataFrame, net: ByteNet | None, *keep: str) -> DataFrame:
     """
 
     def compute(texts: list[bytes | None]) -> list:
-        known = [net is not None and t is not None and _LETTER.search(t.decode("utf-8", "replace")) is not None for t in texts]
+        known = [net is not None and t is not None and has_letter(t.decode("utf-8", "replace")) for t in texts]
         if net is None:
             return [[UNKNOWN] * len(texts), [0.0] * len(texts)]
         rows, owner, letters = cut(texts)

@@ -42,6 +42,7 @@ SHARD_BYTES = 1 << 20
 PART_BYTES = 1 << 19
 #: Different runs of one anchor in one part.
 PART_RUNS = 4096
+#: Bits of a place that are packed beside a gram; more than the places of one window.
 _PLACE_BITS = np.uint64(28)
 
 
@@ -128,11 +129,11 @@ def find_runs(symbols: Words, scheme: Scheme) -> Runs:
         return Runs(empty, empty, empty, empty.view(np.uint64), empty.view(np.uint64))
     grams = symbols.grams(scheme.gram)
     place_mask = np.uint64((1 << int(_PLACE_BITS)) - 1)
-    if len(grams) > int(place_mask):
-        raise ValueError(f"a text of more than {int(place_mask)} symbols")
-    keyed = (grams & ~place_mask) | np.arange(len(grams), dtype=np.uint64)
+    # The low bits of a place tell it apart within reach of a window, however long the text is.
+    keyed = (grams & ~place_mask) | (np.arange(len(grams), dtype=np.uint64) & place_mask)
     least = sliding_min(keyed, scheme.window - scheme.gram + 1)
-    place = (least & place_mask).astype(np.int64)
+    start = np.arange(len(least), dtype=np.uint64)
+    place = (start + ((least - start) & place_mask)).astype(np.int64)
     sizes = np.diff(symbols.first)
     full = np.flatnonzero(sizes >= scheme.window)
     inside = np.zeros(len(place) + 1, np.int8)

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripmeter.llm.graphs import components
-from tripmeter.llm.texts import LOWER, id_and_text, map_texts, reach_workers, text_hash
+from tripmeter.llm.texts import LOWER, free_names, id_and_text, map_texts, reach_workers, text_hash
 
 SEED = 42
 #: Rows of a cell that are compared in one unit of work; larger cells are cut into blocks, and every two blocks are a unit.
@@ -217,14 +217,17 @@ def one_of_each(docs: DataFrame, scratch: str, size: int = 3, max_bits: int = 3)
     Rows without an id stay only where their component has no id.
     """
     columns = docs.columns
-    named = docs.withColumns({"_key": F.coalesce(F.col("doc_id").cast("long"), F.lit(0)), "_hash": text_hash()})
-    found = near_duplicates(named, scratch, size, max_bits, "_hash")
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "_hash")).alias("first")
-    chosen = found.groupBy("root").agg(first).select(F.coalesce("first.doc_id", F.lit(0)).alias("_key"), F.col("first._hash").alias("_hash"), F.col("first.no_id").alias("_no_id"))
-    met = named.join(chosen, ["_key", "_hash"]).where(F.col("doc_id").isNull() == F.col("_no_id"))
+    key, own_hash, number, no_id = free_names(docs, "_key", "_hash", "_n", "_no_id")
+    named = docs.withColumns({key: F.coalesce(F.col("doc_id").cast("long"), F.lit(0)), own_hash: text_hash()})
+    found = near_duplicates(named, scratch, size, max_bits, own_hash)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", F.col(own_hash).alias("own"))).alias("first")
+    chosen = found.groupBy("root").agg(first).select(
+        F.coalesce("first.doc_id", F.lit(0)).alias(key), F.col("first.own").alias(own_hash), F.col("first.no_id").alias(no_id)
+    )
+    met = named.join(chosen, [key, own_hash]).where(F.col("doc_id").isNull() == F.col(no_id))
     # Equal rows: any of them.
-    again = Window.partitionBy("_key", "_hash").orderBy(*[F.col(f"`{c}`") for c in columns if c != "text"])
-    return met.withColumn("_n", F.row_number().over(again)).where("_n = 1").select(*[f"`{c}`" for c in columns])
+    again = Window.partitionBy(key, own_hash).orderBy(*[F.col(f"`{c}`") for c in columns if c != "text"])
+    return met.withColumn(number, F.row_number().over(again)).where(F.col(number) == 1).select(*[f"`{c}`" for c in columns])
 
 
 def as_hex(fp: Column) -> Column:

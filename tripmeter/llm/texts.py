@@ -57,6 +57,17 @@ def id_and_text(docs: DataFrame, *more: str) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), *[m for m in more if not (isinstance(m, str) and m == "text")])
 
 
+def free_names(df: DataFrame, *wanted: str) -> list[str]:
+    """Names for further columns that no column of ``df`` has."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in wanted:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def text_hash() -> Column:
     """Tells apart rows that share an id."""
     return F.xxhash64(F.col("text").cast("string"))

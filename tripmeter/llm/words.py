@@ -10,8 +10,12 @@ U64 = np.uint64
 #: Bytes that end a word of ``[^\x20\x09-\x0D]+``.
 SPACES = np.zeros(256, bool)
 SPACES[[32, 9, 10, 11, 12, 13]] = True
-_RATIO = 0x9E3779B97F4A7C13  # odd, so every power has an inverse
-_INVERSE = pow(_RATIO, -1, 1 << 64)
+#: Byte ranges are hashed as polynomials modulo this prime; without a prime, powers of the ratio have a
+#: structure by which different texts (letters by doubling and exchange) get one value whatever the ratio.
+PRIME = (1 << 61) - 1
+_RATIO = 0x1B8735939E3779B9  # below the prime
+_INVERSE = pow(_RATIO, -1, PRIME)
+_P, _HALF = U64(PRIME), U64((1 << 31) - 1)
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -24,16 +28,33 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
-@lru_cache(maxsize=1)
-def _letters() -> np.ndarray:
-    return np.random.default_rng(20_011).integers(0, 1 << 64, 256, dtype=np.uint64) | U64(1)
+def reduced(x: np.ndarray) -> np.ndarray:
+    """Any words modulo the prime."""
+    x = (x & _P) + (x >> U64(61))
+    return np.where(x >= _P, x - _P, x)
+
+
+def times_half(x: np.ndarray) -> np.ndarray:
+    """x * 2**31 modulo the prime, for x below it; not reduced."""
+    return ((x & U64((1 << 30) - 1)) << U64(31)) + (x >> U64(30))
+
+
+def times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Products modulo the prime, of numbers below it."""
+    a_high, a_low, b_high, b_low = a >> U64(31), a & _HALF, b >> U64(31), b & _HALF
+    middle = a_high * b_low + a_low * b_high
+    return reduced(U64(2) * (a_high * b_high) + reduced(a_low * b_low) + times_half(reduced(middle)))
 
 
 @lru_cache(maxsize=4)
 def _powers(n: int, ratio: int) -> np.ndarray:
-    out = np.full(n, ratio, np.uint64)
-    out[0] = 1
-    return np.multiply.accumulate(out)
+    out = np.ones(n, np.uint64)
+    done = 1
+    while done < n:
+        more = min(done, n - done)
+        out[done:done + more] = times(out[:more], np.full(more, pow(ratio, done, PRIME), np.uint64))
+        done += more
+    return out
 
 
 def powers(n: int, ratio: int = _RATIO) -> np.ndarray:
@@ -41,6 +62,19 @@ def powers(n: int, ratio: int = _RATIO) -> np.ndarray:
     return _powers(size, ratio)[:n]
 
 
+def prefix_sums(data: np.ndarray) -> np.ndarray:
+    """Polynomials of all prefixes modulo the prime, one more than there are bytes."""
+    out = np.zeros(len(data) + 1, np.uint64)
+    step = 1 << 22  # sums of so many halves stay in a word
+    for begin in range(0, len(data), step):
+        power = powers(len(data))[begin:begin + step]
+        letter = data[begin:begin + step].astype(np.uint64) + U64(1)
+        high = reduced(np.cumsum(letter * (power >> U64(31)), dtype=np.uint64))
+        low = reduced(np.cumsum(letter * (power & _HALF), dtype=np.uint64))
+        out[begin + 1:begin + 1 + len(power)] = reduced(times_half(high) + low + out[begin])
+    return out
+
+
 class Words:
     """Words of a list of texts.
 
@@ -82,10 +116,10 @@ class Words:
     def hash_of(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """Hashes of any byte ranges; equal bytes have equal hashes."""
         if self._sums is None:
-            self._sums = np.zeros(len(self.data) + 1, np.uint64)
-            np.cumsum(_letters()[self.data] * powers(len(self.data)), out=self._sums[1:])
-        h = (self._sums[ends] - self._sums[starts]) * powers(len(self.data) + 1, _INVERSE)[starts]
-        return mix(h + (ends - starts).astype(np.uint64))
+            self._sums = prefix_sums(self.data)
+        inside = reduced(self._sums[ends] + _P - self._sums[starts])
+        h = times(inside, powers(len(self.data) + 1, _INVERSE)[starts])
+        return mix(h + (ends - starts).astype(np.uint64) * U64(0x9E3779B97F4A7C15))
 
 
 def windows(hashes: np.ndarray, size: int, ratio: int = 0xA0761D6478BD642F) -> np.ndarray:
