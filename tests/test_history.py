@@ -8,6 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tripmeter.plans.history import REFRESHED, history_as_of, upsert_history
+from tripmeter.sources import tables, versions
+from tripmeter.sources.tables import read_table
 
 DS = "2024-01-15"
 FIRST, SECOND = dt.datetime(2024, 1, 15), dt.datetime(2024, 1, 16)
@@ -82,6 +84,60 @@ def test_as_of_reads_only_needed_partitions(spark, path):
     rows = snapshot(spark, [("a", "d1", "n", 1.0)])
     for ds in (DS, "2024-01-22", "2024-01-29"):
         upsert_history(spark, table, rows, ds, FIRST)
-    plan = history_as_of(spark.read.parquet(table), DS).groupBy().agg(F.sum("atd"))
+    plan = history_as_of(read_table(spark, table), DS).groupBy().agg(F.sum("atd"))
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(batch_date" in text
+
+
+class Killed(Exception):
+    pass
+
+
+def die(*_, **__):
+    raise Killed
+
+
+@pytest.mark.parametrize("step", ["write_data", "commit"])
+def test_a_killed_upsert_leaves_the_old_rows(spark, path, monkeypatch, step):
+    table = f"{path}/history"
+    upsert_history(spark, table, snapshot(spark, [("a", "d1", "n", 1.0)]), DS, FIRST)
+    changed = snapshot(spark, [("a", "d1", "n", 5.0), ("b", "d1", "n", 2.0)])
+    with monkeypatch.context() as patch:
+        patch.setattr(versions, step, die)
+        with pytest.raises(Killed):
+            upsert_history(spark, table, changed, DS, SECOND)
+    assert {r["delivery_trip_uuid"]: float(r["atd"]) for r in read_table(spark, table).collect()} == {"a": 1.0}
+    got = by_trip(upsert_history(spark, table, changed, DS, SECOND))
+    assert {k: float(v["atd"]) for k, v in got.items()} == {"a": 5.0, "b": 2.0}
+
+
+def test_a_draft_of_a_manifest_is_no_version(spark, path):
+    """A run that dies between draft and rename: the draft is never read."""
+    rows = spark.range(3)
+    tables.replace_table(rows, path)
+    open(f"{path}/manifests/.left", "w").close()
+    assert versions.version(spark, path) == 1 and read_table(spark, path).count() == 3
+
+
+def test_the_second_of_two_writers_is_refused(spark, path):
+    tables.replace_table(spark.range(3), path)
+    base = versions.version(spark, path)
+    late = versions.write_data(spark.range(9), path)
+    tables.replace_table(spark.range(5), path)
+    with pytest.raises(versions.Conflict):
+        versions.commit(spark, path, base, late)
+    assert read_table(spark, path).count() == 5
+    assert not [n for n in versions._children(spark, f"{path}/manifests") if n.startswith(".") and not n.endswith(".crc")]
+
+
+def test_a_table_can_be_replaced_by_what_it_holds(spark, path):
+    tables.replace_table(spark.range(4), path)
+    tables.replace_table(read_table(spark, path).where("id > 0"), path)
+    tables.append_rows(spark.range(10, 12), path)
+    tables.create_if_absent(spark.range(100), path)
+    assert sorted(r[0] for r in read_table(spark, path).collect()) == [1, 2, 3, 10, 11]
+    assert versions.read(spark, path, number=1).count() == 4
+    assert len(versions.expire(spark, path, 1)) == 3
+    assert read_table(spark, path).count() == 5
+    with pytest.raises(Exception):
+        versions.read(spark, path, number=1).count()

@@ -11,8 +11,8 @@ from tripmeter import schemas
 from tripmeter.functions.clock import days_before
 from tripmeter.operators.quality import require_unique
 from tripmeter.plans.weekly import WINDOW_DAYS
-from tripmeter.session import file_system
-from tripmeter.sources.tables import read_table, table_exists
+from tripmeter.sources import versions
+from tripmeter.sources.tables import read_table
 
 KEY = "delivery_trip_uuid"
 
@@ -67,23 +67,9 @@ def merge_batch(stored: DataFrame, incoming: DataFrame) -> DataFrame:
     return both.select(*[pick(field.name) for field in schemas.TRIP_HISTORY])
 
 
-def write_partitions(df: DataFrame, path: str, column: str = "batch_date") -> None:
-    """Replace exactly the partitions that occur in ``df``.
-
-    Dynamic mode writes next to the old files and swaps on commit, so ``df`` may read
-    from the same table; a static overwrite would delete what it still has to read.
-    """
-    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy(column).parquet(path)
-
-
-def finish_upsert(spark: SparkSession, path: str) -> None:
-    """Put a partition in place that an earlier upsert had written in full but not yet swapped in."""
-    staging = f"{path.rstrip('/')}_staging"
-    files, whole = file_system(spark, f"{staging}/_SUCCESS")
-    if files.exists(whole):
-        write_partitions(spark.read.schema(schemas.TRIP_HISTORY).parquet(staging), path)
-    files.delete(whole.getParent(), True)
+def write_partitions(df: DataFrame, path: str, column: str = "batch_date", base: int | None = None) -> None:
+    """Replace exactly the partitions that occur in ``df``, in one step; ``df`` may read from the same table."""
+    versions.replace_partitions(df, path, column, base)
 
 
 def upsert_history(
@@ -95,22 +81,20 @@ def upsert_history(
 ) -> DataFrame:
     """Merge a snapshot into its batch of the history table and return the table.
 
-    Only the batch's own partition is read and rewritten.  A trip that occurs twice in
-    the snapshot is an error.  Running the same batch again changes nothing but the
+    Only the batch's own partition is read and rewritten, and it changes in one step: a run that
+    dies leaves the table as it was, and a run that another one overtook is refused.  A trip
+    that occurs twice in the snapshot is an error.  Running the same batch again changes nothing but the
     update time.
     """
-    finish_upsert(spark, path)
+    base = versions.version(spark, path)
     stamp = None if now is None else F.lit(now).cast("timestamp")
     incoming = batch_rows(snapshot, ds, stamp)
     require_unique(incoming, [KEY])
-    if table_exists(spark, path):
+    if base:
         batch = F.lit(ds).cast("date")
-        stored = read_table(spark, path, schemas.TRIP_HISTORY).where(F.col("batch_date") == batch)
+        stored = versions.read(spark, path, schemas.TRIP_HISTORY, base).where(F.col("batch_date") == batch)
         incoming = merge_batch(stored, incoming)
-    # The merged partition is complete in a folder of its own before the stored one is touched: a
-    # crash before that leaves the table as it was, a crash after it is made good by the next run.
-    incoming.write.mode("overwrite").parquet(f"{path.rstrip('/')}_staging")
-    finish_upsert(spark, path)
+    write_partitions(incoming, path, base=base)
     return read_table(spark, path, schemas.TRIP_HISTORY)
 
 

@@ -11,6 +11,7 @@ from pyspark.sql.types import StringType, StructField, StructType, TimestampNTZT
 
 from tripmeter import schemas
 from tripmeter.functions.clock import hour_of_day, weekday_label, weekday_number
+from tripmeter.sources import versions
 
 # Table names and the timestamp format of CSV files (microseconds kept).
 CSV_TIMESTAMP = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
@@ -23,12 +24,17 @@ def table_path(base: str, schema: str, name: str) -> str:
 
 
 def read_table(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
+    """A table, versioned (:mod:`tripmeter.sources.versions`) or a plain folder."""
+    if versions.version(spark, path):
+        return versions.read(spark, path, schema)
     reader = spark.read.schema(schema) if schema else spark.read
     return reader.parquet(path)
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    """Whether there is a readable table (with at least one file) at the path."""
+    """Whether there is a readable table (a version, or at least one file) at the path."""
+    if versions.version(spark, path):
+        return True
     try:
         spark.read.parquet(path)
     except AnalysisException:
@@ -121,16 +127,17 @@ def ensure_schema(spark: SparkSession, name: str, location: str) -> None:
 
 
 def replace_table(df: DataFrame, path: str) -> None:
-    """Drop and create.  ``df`` must not read from ``path``: use it for fresh results only."""
-    df.write.mode("overwrite").parquet(path)
+    """Drop and create in one step: readers see the old rows or the new ones; ``df`` may read from the table."""
+    versions.replace(df, path)
 
 
 def create_if_absent(df: DataFrame, path: str) -> None:
-    df.write.mode("ignore").parquet(path)
+    if not table_exists(df.sparkSession, path):
+        versions.replace(df, path)
 
 
 def append_rows(df: DataFrame, path: str) -> None:
-    df.write.mode("append").parquet(path)
+    versions.append(df, path)
 
 
 def append_union(parts: Sequence[DataFrame]) -> DataFrame:
