@@ -53,8 +53,12 @@ def exact_quantiles(
     Linear interpolation between neighbours.  NULL and NaN values are skipped, groups
     with a NULL key or without values have no row.
     """
+    return quantiles_of_counts(value_counts(df, value, by), probabilities, by)
+
+
+def quantiles_of_counts(counted: DataFrame, probabilities: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
+    """:func:`exact_quantiles` of rows that are counted already, as :func:`value_counts` does."""
     by = list(by)
-    counted = value_counts(df, value, by)
     bounds = counted.agg(F.struct(F.min("_x").alias("low"), F.max("_x").alias("high")).alias("b")).scalar()
     counted = counted.withColumn("_b", bounds)  # referenced once, planned once
     counted = counted.withColumn("_slice", _slice(F.col("_x"), F.col("_b.low"), F.col("_b.high"))).drop("_b")

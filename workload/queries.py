@@ -22,11 +22,11 @@ from tripmeter.models import preprocess
 from tripmeter.models.artifacts import artifact_dir, load_artifacts, load_preprocessing, publish
 from tripmeter.models.boosting import Boosting
 from tripmeter.models.training import Hyperparameters, Trained, encoded_split, score, train_variant
-from tripmeter.operators import anomalies, cleaning, errors, profile, quality, sampling, summaries
+from tripmeter.operators import anomalies, cleaning, curves, errors, intervals, profile, quality, sampling, summaries
 from tripmeter.operators.quantiles import named_quantiles, quantile_bin, quantile_trim
 from tripmeter.operators.skew import join_facts, keep_frequent
 from tripmeter.plans import clean as clean_plan
-from tripmeter.plans import reports
+from tripmeter.plans import partials, reports
 from tripmeter.plans.history import batch_rows, history_as_of, upsert_history, write_partitions
 from tripmeter.plans.pipeline import ROW_KEYS, run_weekly
 from tripmeter.plans.weekly import weekly_snapshot
@@ -760,6 +760,59 @@ def _(spark, d):
     return summaries.histogram(selected(spark, d), "ATD", reports.OVERVIEW_BINS)
 
 
+@query("density_curve")
+def _(spark, d):
+    """Smooth density of the durations of all clean trips."""
+    return curves.density_curve(clean(spark, d), "ATD")
+
+
+@query("density_curve_by_flow")
+def _(spark, d):
+    """The same for every courier flow, on a grid of its own that ends at its values."""
+    return curves.density_curve(clean(spark, d), "ATD", ["courier_flow"], points=60, cut=0.0)
+
+
+@query("auto_histogram")
+def _(spark, d):
+    """Histograms with as many bins as the data ask for: a skewed column, one of two values, a constant one."""
+    trips = clean(spark, d).withColumn("constant", F.lit(4.0))
+    return tables.append_union([
+        curves.auto_histogram(trips, c).withColumn("column", F.lit(c)) for c in ("ATD", "pickup_distance", "missing_distance", "constant")
+    ])
+
+
+@query("mean_interval_by_hour")
+def _(spark, d):
+    return intervals.bootstrap_mean(keyed(spark, d).withColumn("hour", clock.hour_of_day(F.col("eater_request_timestamp_local"))), "ATD", feats.KEY, ["hour"])
+
+
+@query("missing_rate_interval")
+def _(spark, d):
+    """Rate of trips whose distance was missing, by territory, with its interval."""
+    return intervals.bootstrap_mean(keyed(spark, d), "missing_distance", feats.KEY, ["territory"])
+
+
+@query("slope_interval")
+def _(spark, d):
+    trips = keyed(spark, d)
+    return tables.append_union([
+        intervals.bootstrap_slope(trips, c, "ATD", feats.KEY).withColumn("column", F.lit(c)) for c in schemas.DISTANCES
+    ])
+
+
+@query("kpi_from_partials")
+def _(spark, d):
+    """KPIs by territory over all batches of the history, read from the counts that upserts keep beside it."""
+    path, week = scratch_path(spark, "partials"), scratch_path(spark, "week")
+    tables.replace_table(snapshot(spark, d, None), week)
+    everything = tables.read_table(spark, week)
+    now = dt.datetime(2024, 1, 1)
+    for ds, rows in ((tb.DS, everything), ("1996-03-18", everything), (tb.DS, everything.withColumn("atd", F.col("atd") + 1))):
+        partials.upsert_with_partials(spark, path, rows, ds, partials.FIGURES, ["territory"], now)
+    counts = partials.read_partials(spark, partials.partials_path(path))
+    return partials.kpis_of_partials(counts, "atd", {"median": 0.5, "p90": 0.9}, ["territory"])
+
+
 @query("histogram_detail")
 def _(spark, d):
     trips = clean(spark, d)
