@@ -13,6 +13,7 @@ from test_scoring import goals
 from test_simhash import components, fingerprint
 
 import corpus_pipeline as pipeline
+from tripmeter.llm import language
 
 COLUMNS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 

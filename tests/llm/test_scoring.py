@@ -40,10 +40,31 @@ def test_limits_adapt_to_each_group(spark):
     rng = random.Random(1)
     data = [("en", "a", rng.gauss(5, 0.2)) for _ in range(400)] + [("de", "a", rng.gauss(9, 0.2)) for _ in range(400)] + [("en", "a", 30.0)] * 20
     frame = spark.createDataFrame(data, "lang string, source string, word_length double")
-    found = {r.lang: r.limit_word_length for r in quality.limits(frame, ["lang", "source"], {"word_length": 0.0}).collect()}
+    found = {r.lang: r.limit_word_length for r in quality.limits(quality.sketch(frame, ["lang", "source"], ["word_length"]), {"word_length": 0.0}).collect()}
     assert 5.3 < found["en"] < 8 < 9.3 < found["de"] < 12
 
 
+def test_small_groups_take_wider_limits(spark):
+    data = [("en", "a", 5.0 + i % 10 / 50) for i in range(300)] + [("en", "b", 40.0)] * 30 + [("xx", "b", 90.0)] * 20 + [(None, None, 0.0)] * 400
+    frame = spark.createDataFrame(data, "lang string, source string, word_length double")
+    sketched = quality.sketch(frame, ["lang", "source"], ["word_length"])
+    found = {(r.lang, r.source): r.limit_word_length for r in quality.limits(sketched, {"word_length": 7.5}).collect()}
+    assert 5.2 < found["en", "a"] < 6.5 and found["en", "b"] == pytest.approx(found["en", "a"], abs=1.5)
+    # Most of all values are 0, and of the group without a language all: no limit from the data.
+    assert found[None, None] == 7.5 and found["xx", "b"] > 5
+
+
+def test_limits_of_the_given_table_differ_and_decide(spark, path):
+    judged = quality.quality(spark.read.parquet("/root/testdata/sf0.1/documents.parquet"), path).where("NOT base_failed").cache()
+    seen = [r[0] for r in judged.select("limit_word_length").distinct().collect()]
+    assert len(seen) > 3 and max(seen) < quality.RARE["word_length"]
+    fixed = " AND ".join(f"{m} <= {most}" for m, most in quality.RARE.items())
+    assert judged.where(f"kept <> ({fixed})").count() > 10
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    good, bad = (judged.join(labels.where(f"quality = {q}"), "doc_id").agg(F.avg(F.col("kept").cast("int"))).first()[0] for q in (1, 0))
+    assert good > 0.995 and bad < 0.1
+
+
 def test_sketch_quantiles_are_close_and_merge(spark):
     rng = np.random.default_rng(4)
     values = rng.lognormal(2, 1, 3000)

@@ -24,11 +24,12 @@ MIN_WORDS = 20
 MAX_REPEATED_PERCENT = 30
 #: Buckets grow by this factor, so quantiles are at most 2 % above the exact ones.
 GROWTH = 1.02
-#: Metrics and the least limit of each, so that groups in which a metric is nearly always 0 keep their clean documents.
-FLOORS = {"symbol_share": 0.1, "dup_line_share": 0.5, "word_length": 7.0, "repeat_share": 0.3}
-#: A limit lies so many times the upper spread (third quartile less median, at least a bucket) above
-#: the third quartile; a quarter of a group may be junk before its limits give way.
-SPREADS = 6.0
+#: Metrics, and the limit of each where three quarters of the values are 0: such values tell what is usual, not how much is too much.
+RARE = {"symbol_share": 0.1, "dup_line_share": 0.5, "word_length": 7.0, "repeat_share": 0.3}
+#: A limit lies so many times the upper spread (third quartile less median, at least a bucket) above the third quartile.
+SPREADS = 8.0
+#: Documents from which on a language and source has limits of its own; below it takes those of the language, then of all.
+LEAST_GROUP = 100
 
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(SYMBOLS)] = True
@@ -98,25 +99,42 @@ def sketch(values: DataFrame, group: list[str], metrics: list[str]) -> DataFrame
 
 
 def quantiles(sketched: DataFrame, group: list[str], shares: list[float]) -> DataFrame:
-    """``group, metric, q0, q1, ...``: the value below which each share of the group lies.
+    """``group, metric, q0, q1, ..., n``: the value below which each share of the group lies, and its size.
 
     A group has at most a few hundred buckets a metric, whatever its size.
     """
     order = Window.partitionBy(*group, "metric").orderBy("bucket")
     ranked = sketched.withColumn("up_to", F.sum("n").over(order)).withColumn("total", F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
     return ranked.groupBy(*group, "metric").agg(
-        *[bucket_end(F.min(F.when(F.col("up_to") >= F.lit(s) * F.col("total"), F.col("bucket")))).alias(f"q{i}") for i, s in enumerate(shares)]
+        *[bucket_end(F.min(F.when(F.col("up_to") >= F.lit(s) * F.col("total"), F.col("bucket")))).alias(f"q{i}") for i, s in enumerate(shares)],
+        F.max("total").alias("n"),
     )
 
 
-def limits(values: DataFrame, group: list[str], floors: dict[str, float] = FLOORS) -> DataFrame:
-    """One row a group with ``limit_<metric>`` for each metric."""
-    metrics = list(floors)
-    found = quantiles(sketch(values, group, metrics), group, [0.5, 0.75])
-    fence = F.col("q1") + SPREADS * F.greatest(F.col("q1") - F.col("q0"), F.col("q1") * (GROWTH - 1))
-    return found.groupBy(*group).agg(
-        *[F.greatest(F.max(F.when(F.col("metric") == i, fence)), F.lit(floors[m])).alias(f"limit_{m}") for i, m in enumerate(metrics)]
-    )
+def fences(sketched: DataFrame, group: list[str], metrics: list[str]) -> DataFrame:
+    """One row a group: for each metric a struct ``f_<metric>`` of its size and the limit its values set (NULL where most are 0)."""
+    merged = sketched.groupBy(*group, "metric", "bucket").agg(F.sum("n").alias("n"))
+    found = quantiles(merged, group, [0.5, 0.75])
+    spread = F.greatest(F.col("q1") - F.col("q0"), F.col("q1") * (GROWTH - 1))
+    fence = F.struct("n", F.when(F.col("q1") > 0, F.col("q1") + SPREADS * spread).alias("most"))
+    return found.groupBy(*group).agg(*[F.max(F.when(F.col("metric") == i, fence)).alias(f"f_{m}") for i, m in enumerate(metrics)])
+
+
+def limits(sketched: DataFrame, rare: dict[str, float] = RARE, least: int = LEAST_GROUP) -> DataFrame:
+    """``lang, source`` and ``limit_<metric>`` for each metric, from the sketch of each language and source.
+
+    A group of fewer than ``least`` documents takes the limits of its language, a language of fewer
+    those of all: their sketches are sums of the groups' sketches.
+    """
+    own, wider = fences(sketched, ["lang", "source"], list(rare)), fences(sketched, ["lang"], list(rare))
+    whole = fences(sketched, [], list(rare)).select(F.struct("*").alias("w")).scalar()
+    joined = own.alias("o").join(wider.alias("l"), F.col("o.lang").eqNullSafe(F.col("l.lang"))).withColumn("_w", whole)
+
+    def limit(m: str) -> Column:
+        chosen = F.when(F.col(f"o.f_{m}.n") >= least, F.col(f"o.f_{m}.most")).when(F.col(f"l.f_{m}.n") >= least, F.col(f"l.f_{m}.most"))
+        return F.coalesce(chosen.otherwise(F.col(f"_w.f_{m}.most")), F.lit(rare[m])).alias(f"limit_{m}")
+
+    return joined.select("o.lang", "o.source", *[limit(m) for m in rare])
 
 
 def quality(docs: DataFrame, scratch: str) -> DataFrame:
@@ -124,25 +142,26 @@ def quality(docs: DataFrame, scratch: str) -> DataFrame:
 
     ``base_failed``: under 20 words, or over 30 % of the words in repeated 8-word windows.  ``kept``:
     not failed, and no metric above the limit of its language and source.  Limits are learned from
-    the documents that did not fail; null languages and sources are groups of their own.  The counts
-    are written to ``scratch``, a folder that all executors share, so texts are read once.
+    the documents that did not fail; null languages and sources are groups of their own.  Texts of any
+    length are read whole; rows that repeat count as often.  Counts and sketches are written to ``scratch``, a folder that all executors share, so texts are read once.
     """
     counted = base_counts(docs.withColumns({"lang": F.col("lang").cast("string"), "source": F.col("source").cast("string")}), "lang", "source")
     share = lambda a, b: F.when(F.col(b) > 0, F.col(a) / F.col(b)).otherwise(0.0)
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED_PERCENT * F.col("n_words"))
-    counted.write.parquet(scratch)
-    counted = docs.sparkSession.read.parquet(scratch).withColumns({
+    counted.write.parquet(f"{scratch}/counts")
+    counted = docs.sparkSession.read.parquet(f"{scratch}/counts").withColumns({
         "base_failed": failed,
         "symbol_share": share("n_symbols", "word_chars"),
         "dup_line_share": share("n_dup_lines", "n_lines"),
         "word_length": share("word_chars", "n_words"),
         "repeat_share": share("n_repeat_words", "n_words"),
     })
-    found = limits(counted.where(~F.col("base_failed")), ["lang", "source"])
+    sketch(counted.where(~F.col("base_failed")), ["lang", "source"], list(RARE)).write.parquet(f"{scratch}/sketch")
+    found = limits(docs.sparkSession.read.parquet(f"{scratch}/sketch"))
     joined = counted.alias("c").join(
         found.alias("l"), F.col("c.lang").eqNullSafe(F.col("l.lang")) & F.col("c.source").eqNullSafe(F.col("l.source")), "left"
     )
     fine = F.lit(True)
-    for m in FLOORS:
-        fine &= F.col(m) <= F.coalesce(F.col(f"limit_{m}"), F.lit(FLOORS[m]))
-    return joined.select("c.*", *[F.col(f"l.limit_{m}") for m in FLOORS], (~F.col("base_failed") & fine).alias("kept"))
+    for m in RARE:
+        fine &= F.col(m) <= F.coalesce(F.col(f"limit_{m}"), F.lit(RARE[m]))
+    return joined.select("c.*", *[F.col(f"l.limit_{m}") for m in RARE], (~F.col("base_failed") & fine).alias("kept"))

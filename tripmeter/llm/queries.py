@@ -73,7 +73,7 @@ def op5_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     judged = quality.quality(documents(spark, folder), scratch_path(spark, "quality"))
     return judged.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
-        *quality.FLOORS,
+        *quality.RARE,
     )
 
 
@@ -203,7 +203,7 @@ ORACLES: dict[str, str] = {
             sha256(unhex(coalesce(kept, '') || substr(digits, 2 * coalesce(past, 1) - 1))) AS kept_sha256
         FROM docs LEFT JOIN cut USING (row)
     """,
-    # Buckets, limits and floors as in ``quality``: 2 % buckets, the third quartile plus six spreads.
+    # Buckets and limits as in ``quality``: 2 % buckets, the third quartile plus eight spreads, wider groups for small ones.
     "op5_quality_rules": r"""
         WITH docs AS (
             SELECT row_number() OVER () AS row, doc_id, lang, source, coalesce(text, '') AS text,
@@ -236,22 +236,27 @@ ORACLES: dict[str, str] = {
                 unnest([symbol_share, dup_line_share, word_length, repeat_share]) AS value
             FROM measured WHERE NOT base_failed
         ), buckets AS (
-            SELECT lang, source, metric, CASE WHEN value <= 1e-9 THEN -1000 ELSE ceil(ln(value) / ln(1.02::DOUBLE)) END AS bucket, count(*) AS n
-            FROM long GROUP BY ALL
+            SELECT grouping(lang) + grouping(source) AS level, lang, source, metric, bucket, count(*) AS n FROM (
+                SELECT *, CASE WHEN value <= 1e-9 THEN -1000 ELSE ceil(ln(value) / ln(1.02::DOUBLE)) END AS bucket FROM long)
+            GROUP BY GROUPING SETS ((lang, source, metric, bucket), (lang, metric, bucket), (metric, bucket))
         ), running AS (
             SELECT *, CASE WHEN bucket = -1000 THEN 0 ELSE pow(1.02::DOUBLE, bucket) END AS ends,
-                sum(n) OVER (PARTITION BY lang, source, metric ORDER BY bucket) AS up_to,
-                sum(n) OVER (PARTITION BY lang, source, metric) AS total
+                sum(n) OVER (PARTITION BY level, lang, source, metric ORDER BY bucket) AS up_to,
+                sum(n) OVER (PARTITION BY level, lang, source, metric) AS total
             FROM buckets
         ), quartiles AS (
-            SELECT lang, source, metric, min(ends) FILTER (WHERE up_to >= 0.5::DOUBLE * total) AS q0,
+            SELECT level, lang, source, metric, any_value(total) AS total, min(ends) FILTER (WHERE up_to >= 0.5::DOUBLE * total) AS q0,
                 min(ends) FILTER (WHERE up_to >= 0.75::DOUBLE * total) AS q1
             FROM running GROUP BY ALL
+        ), fences AS (
+            SELECT *, CASE WHEN q1 > 0 THEN q1 + 8 * greatest(q1 - q0, q1 * (1.02::DOUBLE - 1)) END AS fence FROM quartiles
         ), limits AS (
-            SELECT lang, source, metric, greatest(q1 + 6 * greatest(q1 - q0, q1 * (1.02::DOUBLE - 1)),
-                CASE metric WHEN 'symbol_share' THEN 0.1::DOUBLE WHEN 'dup_line_share' THEN 0.5::DOUBLE
+            SELECT o.lang, o.source, o.metric, coalesce(
+                CASE WHEN o.total >= 100 THEN o.fence WHEN l.total >= 100 THEN l.fence ELSE w.fence END,
+                CASE o.metric WHEN 'symbol_share' THEN 0.1::DOUBLE WHEN 'dup_line_share' THEN 0.5::DOUBLE
                     WHEN 'word_length' THEN 7.0::DOUBLE ELSE 0.3::DOUBLE END) AS most
-            FROM quartiles
+            FROM fences o JOIN fences l ON o.lang IS NOT DISTINCT FROM l.lang AND o.metric = l.metric
+            JOIN fences w ON o.metric = w.metric WHERE o.level = 0 AND l.level = 1 AND w.level = 2
         ), beyond AS (
             SELECT DISTINCT row FROM measured m JOIN limits l
             ON m.lang IS NOT DISTINCT FROM l.lang AND m.source IS NOT DISTINCT FROM l.source
