@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripmeter.operators.quantiles import quantile_array
@@ -71,8 +71,9 @@ def axis_limits(df: DataFrame, actual: str = "ATD", predicted: str = "prediction
 
 
 def rank_models(metrics: DataFrame) -> DataFrame:
-    """Models in ascending order of RMSE."""
-    return metrics.orderBy("rmse", "model")
+    """Models in ascending order of RMSE (ties by name), with their ``place``: one row per model."""
+    order = Window.orderBy("rmse", "model")
+    return metrics.withColumn("place", F.row_number().over(order)).orderBy("place")
 
 
 def best_model(metrics: DataFrame) -> DataFrame:

@@ -13,6 +13,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tripmeter.operators.ranks import ranked
+from tripmeter.session import scratch_path
+
 SEED = 42
 BUCKET_DIGITS = 4
 
@@ -69,20 +72,18 @@ def split_quotas(sizes: DataFrame, stratum: str, size: str, test_fraction: float
     """Test rows per stratum: the floor of its share, then one more by largest remainder.
 
     The quotas add up to the rounded-up share of all rows; equal remainders are taken in
-    the order of the stratum names.
+    the order of the stratum names.  Strata are ranked in sorted ranges, any number of them.
     """
     share = F.col(size) * F.lit(test_fraction)
     shares = sizes.withColumn("_floor", F.floor(F.round(share, 9))).withColumn(
         "_remainder", F.round(share - F.col("_floor"), 9)
     )
-    spare = shares.agg(
+    path = scratch_path(sizes.sparkSession, "strata")
+    places = ranked(shares, ["_remainder", stratum], path, descending=["_remainder"], into="_place")
+    spare = places.agg(
         (F.ceil(F.round(F.sum(size) * F.lit(test_fraction), 9)) - F.sum("_floor")).alias("spare")
     ).scalar()
-    # One row per stratum: category labels, not data rows.
-    line = Window.orderBy(F.desc("_remainder"), F.asc(stratum))
-    return shares.select(
-        stratum, (F.col("_floor") + (F.row_number().over(line) <= spare).cast("int")).alias("_quota")
-    )
+    return places.select(stratum, (F.col("_floor") + (F.col("_place") <= spare).cast("int")).alias("_quota"))
 
 
 def stratified_split(
@@ -96,11 +97,14 @@ def stratified_split(
 ) -> DataFrame:
     """Add ``train``/``test``; strata with at most ``more_than`` rows are left out.
 
-    Every stratum gives its exact quota to the test part.
+    Every stratum gives its exact quota to the test part.  The bucket counts are stored in the
+    shared folder: quotas and ranks read them there, and the rows are passed over twice in all.
     """
     rows = df.withColumn("_order", shuffle_key(key, seed))
-    buckets = _buckets(rows.select(stratum, "_order"), [stratum], "_order")
-    buckets = buckets.where(F.col("_all") > more_than)
+    counted = _buckets(rows.select(stratum, "_order"), [stratum], "_order")
+    path = scratch_path(df.sparkSession, "buckets")
+    counted.where(F.col("_all") > more_than).write.parquet(path)
+    buckets = df.sparkSession.read.schema(counted.schema).parquet(path)
     sizes = buckets.groupBy(stratum).agg(F.max("_all").alias("_all"))
     buckets = buckets.join(split_quotas(sizes, stratum, "_all", test_fraction), stratum)
     part = F.when(F.col("_rank") <= F.col("_quota"), F.lit("test")).otherwise(F.lit("train"))

@@ -186,6 +186,21 @@ def ols_trend(df: DataFrame, x: str, y: str = "ATD") -> DataFrame:
     )
 
 
+def pair_trends(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Least-squares line of each later column ``a`` on each earlier one ``b``, all in one pass.
+
+    Pairs use the rows that have both values; a constant ``b`` gives NULLs.
+    """
+    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[:i]]
+    figures = {"slope": F.regr_slope, "intercept": F.regr_intercept, "r2": F.regr_r2, "n": F.regr_count}
+    row = df.agg(*[f(a, b).alias(f"{name}{i}") for i, (a, b) in enumerate(pairs) for name, f in figures.items()])
+    lines = [
+        F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), *[F.col(f"{name}{i}").alias(name) for name in figures])
+        for i, (a, b) in enumerate(pairs)
+    ]
+    return row.select(F.inline(F.array(*lines)))
+
+
 def mean_by_quantile_bin(df: DataFrame, value: str, target: str, bins: int) -> DataFrame:
     """Mean target per quantile bin of a value."""
     return (

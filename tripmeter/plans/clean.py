@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tripmeter.functions.clock import flag, parse_wall_clock, utc_to_local
@@ -13,6 +13,7 @@ from tripmeter.operators.anomalies import time_flags
 from tripmeter.operators.cleaning import drop_exact_duplicates, impute_group_median
 from tripmeter.operators.quantiles import quantile_trim
 from tripmeter.schemas import DISTANCES, IDENTIFIERS
+from tripmeter.sources.tables import append_rows
 
 # History columns under the names of the analysis.
 RENAMES = {
@@ -80,6 +81,8 @@ def stage_trips(
     path: str,
     missing_word: str = MISSING_WORD,
     keep: Sequence[str] = (),
+    metrics: str | None = None,
+    run: str = "",
 ) -> tuple[DataFrame, DataFrame]:
     """The sequence with its two intermediate tables written below ``path``.
 
@@ -88,38 +91,59 @@ def stage_trips(
     the rows are de-duplicated once, the medians read three columns of the written table,
     only rows with gaps are read for imputation, and all later jobs start from a plain
     scan that any executor can repeat.
+
+    With ``metrics`` the rows at every stage are counted by the write itself and added to the table
+    at that path, one row per ``run``.
     """
-    prepared = prepared_trips(history, utc_offset, keep)
+    prepared, counters = (
+        _counted_trips(history, utc_offset, keep) if metrics else (prepared_trips(history, utc_offset, keep), None)
+    )
     prepared.write.mode("overwrite").parquet(f"{path}/prepared")
+    if counters:
+        figures = counters.get
+        schema = ", ".join(["run string", *[f"{c} bigint" for c in STAGES], "clean_total double"])
+        row = (run, *[figures[c] or 0 for c in STAGES], figures["clean_total"])
+        append_rows(spark.createDataFrame([row], schema), metrics)
     prepared = spark.read.schema(prepared.schema).parquet(f"{path}/prepared")
     flagged = complete_trips(prepared, missing_word)
     flagged.write.mode("overwrite").parquet(f"{path}/flagged")
     return prepared, spark.read.schema(flagged.schema).parquet(f"{path}/flagged")
 
 
-def observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
-    """Count rows at a stage while a later action runs, without another pass."""
-    observation = Observation(name)
-    return df.observe(observation, F.count("*").alias("rows")), observation
+def _counted_trips(history: DataFrame, utc_offset: int, keep: Sequence[str]) -> tuple[DataFrame, Observation]:
+    """:func:`prepared_trips` that counts its stages while it is written.
+
+    The counts are taken behind the last shuffle, where Spark counts each task of a write once even if
+    it has to run it again.
+    """
+    typed = typed_trips(history, utc_offset)
+    distinct = typed.groupBy(*typed.columns).agg(F.count("*").alias("_copies"))
+    counters = Observation("stages")
+    seen = time_flags(distinct).observe(counters, *_stage_figures())
+    return seen.select(*[c for c in typed.columns if c not in IDENTIFIERS or c in keep]), counters
+
 
+#: Rows read and rows left after each dropping step.
+STAGES = ("rows_read", "distinct_rows", "with_offer", "in_order", "clean_rows")
 
-def stage_counts(history: DataFrame, utc_offset: int) -> DataFrame:
-    """Rows read and rows left after each dropping step, as one result row.
 
-    Every step keeps or drops a row on its own, so one pass over the distinct rows (and
-    their copies) is enough.
+def _stage_figures() -> list[Column]:
+    """Rows at every stage, and the sum of clean durations, over distinct flagged trips with ``_copies``.
+
+    Every step keeps or drops a row on its own, so one pass is enough.
     """
-    typed = typed_trips(history, utc_offset)
-    distinct = time_flags(typed.groupBy(*typed.columns).agg(F.count("*").alias("_copies")))
     offered = F.col("restaurant_offered_timestamp_local").isNotNull()
     in_order = offered & (F.col("offered_after_final") == 0)
-    return distinct.agg(
-        F.coalesce(F.sum("_copies"), F.lit(0)).alias("rows_read"),
-        F.count("*").alias("distinct_rows"),
-        F.count_if(offered).alias("with_offer"),
-        F.count_if(in_order).alias("in_order"),
-        F.count_if(flag(in_order & (F.col("ATD") > 0)) == 1).alias("clean_rows"),
-    )
+    valid = flag(in_order & (F.col("ATD") > 0)) == 1
+    counts = (F.coalesce(F.sum("_copies"), F.lit(0)), F.count("*"), F.count_if(offered), F.count_if(in_order), F.count_if(valid))
+    return [*[n.alias(c) for n, c in zip(counts, STAGES)], F.sum(F.when(valid, F.col("ATD"))).alias("clean_total")]
+
+
+def stage_counts(history: DataFrame, utc_offset: int) -> DataFrame:
+    """Rows read and rows left after each dropping step, as one result row, from a pass of its own."""
+    typed = typed_trips(history, utc_offset)
+    distinct = time_flags(typed.groupBy(*typed.columns).agg(F.count("*").alias("_copies")))
+    return distinct.agg(*_stage_figures()).select(*STAGES)
 
 
 def trimmed_trips(clean: DataFrame, low: float = 0.02, high: float = 0.98) -> DataFrame:

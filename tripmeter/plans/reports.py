@@ -68,16 +68,20 @@ def exploration(selected: DataFrame, key: Column) -> dict[str, DataFrame]:
     }
 
 
-def pairwise(trips: DataFrame, columns: Sequence[str], bins: int) -> dict[str, DataFrame]:
-    """The pairwise view: logged columns against each other (correlation, points) and alone (histogram)."""
+def pairwise(trips: DataFrame, columns: Sequence[str], bins: int, key: str) -> dict[str, DataFrame]:
+    """The pairwise view of logged columns: each alone (histogram) and against the others.
+
+    Correlations and trends take all rows; the points are a repeatable sample of ``SCATTER_POINTS`` rows.
+    """
     logs = trips.withColumns({c: log1p_or_null(F.col(c)) for c in columns})
     alone = [
         summaries.histogram(logs, c, bins).select(F.lit(c).alias("a"), "bin", "count") for c in columns
     ]
     return {
         "correlations": profile.correlations(logs, list(columns)),
+        "trends": summaries.pair_trends(logs, list(columns)),
         "histograms": append_union(alone),
-        "points": sample_rows(logs.select(*columns), F.concat_ws("|", *columns), SCATTER_POINTS),
+        "points": sample_rows(logs.select(key, *columns), F.col(key), SCATTER_POINTS),
     }
 
 
@@ -96,3 +100,26 @@ def performance(predictions: DataFrame, key: Column) -> dict[str, DataFrame]:
         "residuals": residuals.select("prediction", "error"),
         "error_by_range": errors.error_by_range(predictions),
     }
+
+
+#: Panels whose rows are told apart by other columns than text ones.
+PANEL_KEYS = {"distribution": ["bin"], "error_distribution": ["bin"], "abs_error_distribution": ["bin"],
+              "error_by_range": ["bin"], "by_hour": ["hour"], "by_weekday": ["day_of_week", "day_label"],
+              "box_by_territory": ["territory"], "trips_by_territory": ["territory"],
+              "percentiles": ["quantile"], "abs_error_percentiles": ["quantile"]}
+
+
+def figures(panels: dict[str, DataFrame]) -> DataFrame:
+    """All panels as one typed table: ``panel, key, figure, value``.
+
+    A panel's key columns name its rows (``PANEL_KEYS``; other panels need no key) and every other column
+    is a figure.
+    """
+    parts = []
+    for name, df in panels.items():
+        keys = PANEL_KEYS.get(name, [])
+        rest = [c for c in df.columns if c not in keys]
+        key = F.concat_ws("|", *[F.col(c).cast("string") for c in keys]).alias("key")
+        rows = df.select(key, *[F.col(c).cast("double").alias(c) for c in rest])
+        parts.append(rows.unpivot(["key"], rest, "figure", "value").select(F.lit(name).alias("panel"), "key", "figure", "value"))
+    return append_union(parts)

@@ -21,7 +21,7 @@ from tripmeter.models import features as feats
 from tripmeter.models import preprocess
 from tripmeter.models.artifacts import artifact_dir, load_artifacts, load_preprocessing, publish
 from tripmeter.models.boosting import Boosting
-from tripmeter.models.training import Hyperparameters, Trained, encoded_split, score, train_variant
+from tripmeter.models.training import Hyperparameters, Trained, catalogue, encoded_split, fit_model, score, train_variant
 from tripmeter.operators import anomalies, cleaning, curves, errors, intervals, profile, quality, sampling, summaries
 from tripmeter.operators.quantiles import named_quantiles, quantile_bin, quantile_trim
 from tripmeter.operators.skew import join_facts, keep_frequent
@@ -222,6 +222,17 @@ def _(spark, d):
     return tables.read_country(spark, base, "eu", "stage")
 
 
+@query("schema_created")
+def _(spark, d):
+    """The weekly table in a schema of its own; creating the schema again leaves it as it is."""
+    location = scratch_path(spark, "stage")
+    name = location.rsplit("/", 1)[1].replace("-", "_")
+    tables.ensure_schema(spark, name, location)
+    snapshot(spark, d).write.saveAsTable(f"{name}.weekly")
+    tables.ensure_schema(spark, name, location)
+    return spark.table(f"{name}.weekly")
+
+
 @query("history_asof")
 def _(spark, d):
     path = scratch_path(spark, "history")
@@ -728,14 +739,25 @@ def _(spark, d):
     return quality.history_constraints(rows)
 
 
+def counted_run(spark: SparkSession, d: str) -> DataFrame:
+    """The table of stage counts after one cleaning run that counts while it writes."""
+    metrics = scratch_path(spark, "metrics")
+    clean_plan.stage_trips(
+        spark, history(spark, d), tb.UTC_OFFSET, scratch_path(spark, "counted"), keep=ROW_KEYS, metrics=metrics, run=tb.DS
+    )
+    return tables.read_table(spark, metrics)
+
+
 @query("observed_rows")
 def _(spark, d):
-    """Rows counted while another query runs, next to that query's own result."""
-    rows, counter = clean_plan.observed(clean(spark, d), "clean")
-    total = rows.agg(F.sum("ATD")).first()[0]
-    return spark.createDataFrame(
-        [(counter.get["rows"], total)], "rows_seen bigint, total_atd double"
-    )
+    """Clean rows and their total duration, counted while the cleaning job wrote its tables."""
+    return counted_run(spark, d).select(F.col("clean_rows").alias("rows_seen"), F.col("clean_total").alias("total_atd"))
+
+
+@query("stage_metrics")
+def _(spark, d):
+    """Rows at every stage of a run, from the table of counts."""
+    return counted_run(spark, d).unpivot(["run"], list(clean_plan.STAGES), "stage", "rows")
 
 
 @query("text_lengths")
@@ -830,11 +852,19 @@ def _(spark, d):
 
 @query("pairwise_panel")
 def _(spark, d):
-    """Correlations of all pairs of logged numbers and histograms of each, without trends and points."""
-    panel = reports.pairwise(trimmed(spark, d), [*schemas.DISTANCES, "ATD"], 20)
+    """Correlations and trends of all pairs of logged numbers, a histogram of each, and the sampled points."""
+    columns = [*schemas.DISTANCES, "ATD"]
+    trips = feats.with_trip_key(trimmed(spark, d), ROW_KEYS)
+    panel = reports.pairwise(trips, columns, 20, feats.KEY)
+    no_bin, nobody = F.lit(-1).alias("bin"), F.lit(None).cast("string").alias("b")
+    trends = panel["trends"].withColumn("n", F.col("n").cast("double"))
     return tables.append_union([
-        panel["correlations"].select("a", "b", F.lit(-1).alias("bin"), F.col("corr").alias("value")),
-        panel["histograms"].select("a", F.lit(None).cast("string").alias("b"), "bin", F.col("count").cast("double").alias("value")),
+        panel["correlations"].select(F.lit("correlation").alias("part"), "a", "b", no_bin, F.col("corr").alias("value")),
+        trends.unpivot(["a", "b"], ["slope", "intercept", "r2", "n"], "part", "value").select("part", "a", "b", no_bin, "value"),
+        panel["histograms"].select(F.lit("histogram").alias("part"), "a", nobody, "bin", F.col("count").cast("double").alias("value")),
+        panel["points"].unpivot([feats.KEY], columns, "a", "value").select(
+            F.lit("point").alias("part"), "a", F.col(feats.KEY).alias("b"), no_bin, "value"
+        ),
     ])
 
 
@@ -1105,11 +1135,22 @@ def _(spark, d):
 
 @query("encoded_feature_names")
 def _(spark, d):
-    features = feats.PRE_ASSIGN
+    """Names of the vector places, read from the stored table of labels."""
     train = split(spark, d, "pre_assign").where("split = 'train'")
-    names = preprocess.encoded_names(preprocess.fit_preprocessing(train, features), features)
-    labels = F.array(*[F.lit(n) for n in names])
-    return spark.range(1).select(F.posexplode(labels).alias("position", "feature"))
+    return preprocess.LabelTable.fit(train, feats.PRE_ASSIGN, scratch_path(spark, "labels")).names(spark)
+
+
+@query("encoded_by_joins")
+def _(spark, d):
+    """Column sums of the vectors that the stored labels give, by part of the split and feature name."""
+    path = scratch_path(spark, "split")
+    split(spark, d, "post_assign").write.parquet(path)
+    rows = spark.read.parquet(path)
+    table = preprocess.LabelTable.fit(rows.where("split = 'train'"), feats.POST_ASSIGN, scratch_path(spark, "labels"))
+    vectors = table.encode(rows, "split")
+    parts = vectors.select("split", F.posexplode(vector_to_array("features")).alias("position", "value"))
+    sums = parts.groupBy("split", "position").agg(F.count("*").alias("n"), F.sum("value").alias("total"))
+    return sums.join(table.names(spark), "position").select("split", "feature", "n", "total")
 
 
 @query("train_select_pre")
@@ -1147,6 +1188,30 @@ def _(spark, d):
     return scored.select(feats.KEY, F.col("prediction").isNotNull().alias("scored"))
 
 
+@query("batch_score_linear")
+def _(spark, d):
+    """Predictions of the linear model on the distances for every clean trip, also of strata it never saw."""
+    features = feats.FeatureSet("distances", tuple(schemas.DISTANCES), (), (), ())
+    path = scratch_path(spark, "split")
+    split(spark, d, "pre_assign").write.parquet(path)
+    train = spark.read.parquet(path).where("split = 'train'")
+    fitted = preprocess.fit_preprocessing(train, features)
+    model = fit_model(catalogue(SETTINGS)["linear"], preprocess.encode(fitted, train).select("features", "ATD"))
+    scored = score(fitted, model, frame(spark, d, "pre_assign"))
+    return scored.select(feats.KEY, F.round(F.col("prediction") + NUDGE, 4).alias("prediction"))
+
+
+@query("models_ranked")
+def _(spark, d):
+    """Three simple predictors in order of their error."""
+    rows = predicted(spark, d)
+    mean = rows.agg(F.avg("ATD").alias("m")).scalar()
+    candidates = {"flow_mean": rows, "overall_mean": rows.withColumn("prediction", mean), "zero": rows.withColumn("prediction", F.lit(0.0))}
+    return errors.rank_models(tables.append_union([
+        errors.regression_metrics(df).withColumn("model", F.lit(name)) for name, df in candidates.items()
+    ])).select("place", "model", "mae", "rmse", "n")
+
+
 @query("error_metrics")
 def _(spark, d):
     return errors.error_metrics(predicted(spark, d))
@@ -1191,30 +1256,20 @@ def _(spark, d):
 # ------------------------------------------------------------------------- reports
 
 
-def _long(panels: dict[str, DataFrame]) -> DataFrame:
-    """All panels below each other: panel name and row as JSON."""
-    return tables.append_union([
-        tidy(df).select(
-            F.lit(name).alias("panel"), F.to_json(F.struct(*df.columns)).alias("row")
-        )
-        for name, df in panels.items()
-    ])
-
-
 @query("report_overview")
 def _(spark, d):
-    return _long(reports.overview(selected(spark, d)))
+    return reports.figures(reports.overview(selected(spark, d)))
 
 
 @query("report_exploration")
 def _(spark, d):
     trips = reports.selected_trips(keyed(spark, d))
-    return _long(reports.exploration(trips, F.col(feats.KEY)))
+    return reports.figures(reports.exploration(trips, F.col(feats.KEY)))
 
 
 @query("report_performance")
 def _(spark, d):
-    return _long(reports.performance(predicted(spark, d), F.col(feats.KEY)))
+    return reports.figures(reports.performance(predicted(spark, d), F.col(feats.KEY)))
 
 
 @query("report_trained")
@@ -1224,4 +1279,4 @@ def _(spark, d):
     model, rows = load_artifacts(spark, folder, "pre_assign")
     path = scratch_path(spark, "held-out")
     model.transform(rows).select(feats.KEY, "ATD", "prediction").write.parquet(path)
-    return _long(reports.performance(spark.read.parquet(path), F.col(feats.KEY)))
+    return reports.figures(reports.performance(spark.read.parquet(path), F.col(feats.KEY)))
