@@ -104,7 +104,9 @@ def column_types(df: DataFrame) -> DataFrame:
 def _pearson(a: str, b: str) -> Column:
     x, y = F.col(a).cast("double"), F.col(b).cast("double")
     x, y = F.when(y.isNotNull(), x), F.when(x.isNotNull(), y)
-    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
+    # Rounding leaves a constant a small spread, so constancy is seen at its ends.
+    varied = (F.min(x) < F.max(x)) & (F.min(y) < F.max(y))
+    return F.when(varied, F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y)))
 
 
 def correlations(df: DataFrame, columns: Sequence[str], absolute: bool = False) -> DataFrame:

@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 
 from tripmeter.functions.values import display_number, log1p_or_null
 from tripmeter.operators import errors, profile, summaries
+from tripmeter.operators.anomalies import missing_flags
 from tripmeter.operators.cleaning import slice_rows
-from tripmeter.operators.quantiles import named_quantiles
+from tripmeter.operators.quantiles import named_quantiles, quantile_trim
 from tripmeter.operators.sampling import sample_rows
-from tripmeter.schemas import CATEGORIES
+from tripmeter.schemas import CATEGORIES, DISTANCES
 from tripmeter.sources.tables import append_union, enrich
 
 # Points in a scatter panel and bins of the histograms.
@@ -85,6 +86,23 @@ def pairwise(trips: DataFrame, columns: Sequence[str], bins: int, key: str) -> d
     }
 
 
+def exploration_profile(prepared: DataFrame, flagged: DataFrame, clean: DataFrame) -> dict[str, DataFrame]:
+    """The first look at the trips: profiles, gaps and how they go together, time relations, what trimming leaves.
+
+    ``prepared`` are the distinct trips with their gaps, ``flagged`` the imputed ones, ``clean`` the valid ones.
+    """
+    gaps = missing_flags(prepared)
+    names = [c for c in gaps.columns if c not in prepared.columns]
+    return {
+        "numeric": profile.profile_numeric(prepared, [*DISTANCES, "ATD"]),
+        "categorical": profile.profile_categorical(prepared, [*CATEGORIES]),
+        "gaps": profile.null_rates(prepared),
+        "gaps_together": profile.correlations(gaps, names),
+        "by_relation": profile.profile_numeric(flagged, ["ATD"], ["offered_equals_request"]),
+        "trimmed": summaries.kpis(quantile_trim(clean, "ATD")),
+    }
+
+
 def performance(predictions: DataFrame, key: Column) -> dict[str, DataFrame]:
     """Metrics, error histograms, plot limits and plot points of held-out predictions."""
     scored = errors.with_errors(predictions)
@@ -106,6 +124,8 @@ def performance(predictions: DataFrame, key: Column) -> dict[str, DataFrame]:
 PANEL_KEYS = {"distribution": ["bin"], "error_distribution": ["bin"], "abs_error_distribution": ["bin"],
               "error_by_range": ["bin"], "by_hour": ["hour"], "by_weekday": ["day_of_week", "day_label"],
               "box_by_territory": ["territory"], "trips_by_territory": ["territory"],
+              "numeric": ["column"], "categorical": ["column", "top"], "gaps": ["column"], "gaps_together": ["a", "b"],
+              "by_relation": ["offered_equals_request", "column"],
               "percentiles": ["quantile"], "abs_error_percentiles": ["quantile"]}
 
 

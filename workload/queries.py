@@ -25,6 +25,7 @@ from tripmeter.models.training import Hyperparameters, Trained, catalogue, encod
 from tripmeter.operators import anomalies, cleaning, curves, errors, intervals, profile, quality, sampling, summaries
 from tripmeter.operators.quantiles import named_quantiles, quantile_bin, quantile_trim
 from tripmeter.operators.skew import join_facts, keep_frequent
+from tripmeter.operators.wide import correlations_wide
 from tripmeter.plans import clean as clean_plan
 from tripmeter.plans import partials, reports
 from tripmeter.plans.history import batch_rows, history_as_of, upsert_history, write_partitions
@@ -149,8 +150,23 @@ def selected(spark: SparkSession, d: str) -> DataFrame:
     return reports.selected_trips(clean(spark, d))
 
 
+_kept: dict[tuple, tuple[str, StructType]] = {}
+
+
+def stored(spark: SparkSession, d: str, name: str, make: Callable[[SparkSession, str], DataFrame]) -> DataFrame:
+    """A derived table that several panels read, written once per application and state of the events table."""
+    key = (spark.sparkContext.applicationId, name, input_state(spark, f"{d}/events.parquet"))
+    if key in _kept and tables.table_exists(spark, _kept[key][0]):
+        path, schema = _kept[key]
+        return spark.read.schema(schema).parquet(path)
+    rows, path = make(spark, d), scratch_path(spark, name)
+    rows.write.parquet(path)
+    _kept[key] = path, rows.schema
+    return spark.read.schema(rows.schema).parquet(path)
+
+
 def trimmed(spark: SparkSession, d: str) -> DataFrame:
-    return clean_plan.trimmed_trips(clean(spark, d))
+    return stored(spark, d, "trimmed", lambda spark, d: clean_plan.trimmed_trips(clean(spark, d)))
 
 
 def keyed(spark: SparkSession, d: str) -> DataFrame:
@@ -187,20 +203,9 @@ def published_all(spark: SparkSession, d: str) -> dict[str, tuple[Trained, str]]
         return dict(zip(feats.FEATURE_SETS, made, strict=True))
 
 
-_scored: dict[tuple, tuple[str, StructType]] = {}
-
-
 def predicted(spark: SparkSession, d: str) -> DataFrame:
-    """Clean trips with the mean of their courier flow as prediction, stored like :func:`staged`."""
-    key = (spark.sparkContext.applicationId, input_state(spark, f"{d}/events.parquet"))
-    if key in _scored:
-        path, schema = _scored[key]
-        if tables.table_exists(spark, path):
-            return spark.read.schema(schema).parquet(path)
-    rows, path = flow_means(spark, d), scratch_path(spark, "predicted")
-    rows.write.parquet(path)
-    _scored[key] = path, rows.schema
-    return spark.read.schema(rows.schema).parquet(path)
+    """Clean trips with the mean of their courier flow as prediction."""
+    return stored(spark, d, "predicted", flow_means)
 
 
 def flow_means(spark: SparkSession, d: str) -> DataFrame:
@@ -413,7 +418,7 @@ def _(spark, d):
 
 @query("exploration_clean")
 def _(spark, d):
-    return trimmed(spark, d)
+    return clean_plan.trimmed_trips(clean(spark, d))
 
 
 @query("stage_counts")
@@ -577,8 +582,10 @@ def _(spark, d):
 
 @query("snapshot_kpi_by_territory")
 def _(spark, d):
-    week = snapshot(spark, d, None).withColumn("ATD", F.col("atd").cast("double"))
-    return summaries.kpis_by(week, ["country_name", "territory"])
+    """KPIs over the stored weekly table, as the weekly job leaves it."""
+    path = scratch_path(spark, "week")
+    snapshot(spark, d, None).select("country_name", "territory", F.col("atd").cast("double").alias("ATD")).write.parquet(path)
+    return summaries.kpis_by(spark.read.parquet(path), ["country_name", "territory"])
 
 
 @query("trips_by_territory")
@@ -649,6 +656,15 @@ def _(spark, d):
     return profile.correlations(anomalies.missing_flags(prepared(spark, d)), MISSING)
 
 
+@query("corr_wide")
+def _(spark, d):
+    """Correlations of all pairs of the components of the vectors, as many as the longest one has."""
+    vectors = tb.table(spark, d, "embeddings")
+    width = vectors.agg(F.max(F.size("embedding")).alias("n")).first()["n"]
+    parts = vectors.select(*[F.get("embedding", F.lit(i)).alias(f"e{i}") for i in range(width)])
+    return correlations_wide(parts, parts.columns)
+
+
 @query("corr_matrix")
 def _(spark, d):
     trips = trimmed(spark, d)
@@ -1263,8 +1279,17 @@ def _(spark, d):
 
 @query("report_exploration")
 def _(spark, d):
-    trips = reports.selected_trips(keyed(spark, d))
-    return reports.figures(reports.exploration(trips, F.col(feats.KEY)))
+    path = scratch_path(spark, "selected")
+    shown = ["hour", "eater_request_timestamp_local", "territory", *schemas.DISTANCES, "ATD"]
+    reports.selected_trips(keyed(spark, d)).select(feats.KEY, *shown).write.parquet(path)
+    return reports.figures(reports.exploration(spark.read.parquet(path), F.col(feats.KEY)))
+
+
+@query("exploration_profile")
+def _(spark, d):
+    """The exploration in one result: profiles, gaps, time relations and what trimming leaves."""
+    first, marked = staged(spark, d)
+    return reports.figures(reports.exploration_profile(first, marked, clean(spark, d)))
 
 
 @query("report_performance")
