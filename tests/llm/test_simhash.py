@@ -89,6 +89,43 @@ def test_manhattan_is_a_lower_bound():
     assert (simhash.manhattan(a, b) <= np.bitwise_count(a ^ b)).all()
 
 
+def test_few_meet_by_chance():
+    """Pairs to compare among random fingerprints, cells as they are and cells that are coarser."""
+    fps = np.random.default_rng(5).integers(0, 1 << 64, 20_000, dtype=np.uint64)
+    even = np.uint64(simhash._EVERY_SECOND)
+    moved = fps >> np.uint64(1)
+    coordinates = ((moved & fps & even) << np.uint64(1)) | ((moved ^ fps) & even)
+
+    def pairs(key_groups):
+        masks = [np.uint64(m & ((1 << 64) - 1)) for m in simhash.grids(3, key_groups)]
+        sizes = [np.unique(coordinates & m, return_counts=True)[1] for m in masks]
+        return sum(int((n * (n - 1) // 2).sum()) for n in sizes)
+
+    assert len(simhash.grids(3)) == 56
+    assert pairs(simhash.KEY_GROUPS) < 100 < pairs(3)
+
+
+def test_range_probe_in_a_unit():
+    rng = np.random.default_rng(6)
+    seeds = rng.integers(0, 1 << 64, 30, dtype=np.uint64)
+    fps = np.unique(np.concatenate([seeds] + [seeds ^ (np.uint64(1) << rng.integers(0, 64, 30, dtype=np.uint64)) for _ in range(9)]))
+    fps = fps[np.lexsort((fps, np.bitwise_count(fps)))]
+    a, b = simhash.links_in(np.zeros(len(fps), np.int64), fps, 3)
+    assert (np.bitwise_count(a ^ b) <= 3).all()
+    want = component_ids([(int(v), int(v)) for v in fps])
+    up = {int(v): int(v) for v in fps}
+
+    def find(v):
+        while up[v] != v:
+            v = up[v]
+        return v
+
+    for x, y in zip(a.tolist(), b.tolist(), strict=True):
+        p, q = find(x), find(y)
+        up[max(p, q)] = min(p, q)
+    assert [find(int(v)) for v in fps] == want
+
+
 def test_long_chains(spark):
     links = [(i, i + 1) for i in range(200)] + [(500, 501), (501, 500), (7, 7), (None, 3)]
     got = graphs.components(spark.createDataFrame(links, "a bigint, b bigint"), scratch_path(spark, "g")).collect()

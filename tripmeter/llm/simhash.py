@@ -2,11 +2,13 @@
 
 Fingerprints are embedded by the number of set bits in each of 32 segments of two bits.  The
 Manhattan distance of two embeddings is at most the number of differing bits, so links are looked
-for in a grid over the embedding: its coordinates form six groups, and as at most three groups can
-differ within three bits, linked fingerprints agree exactly in three groups at least and meet in
-one of the 20 grids over three groups.  In a cell the Manhattan bound drops most of the rest, and
-what is left is verified bit by bit.  Equal fingerprints are one node, and of each cell only a
-spanning forest of its links is kept, so copies never become pairs.
+for in a grid over the embedding: its coordinates form eight groups, and as at most three groups can
+differ within three bits, linked fingerprints agree exactly in five groups at least and meet in
+one of the 56 grids over five groups.  Where the coordinates of a cell are equal, the sums of the
+others differ by three at most: rows of a cell are sorted by their sum and each probes that range
+only.  The Manhattan bound drops most of the rest, and what is left is verified bit by bit.  Equal
+fingerprints are one node, and of each cell only a spanning forest of its links is kept, so copies
+never become pairs.
 """
 
 from __future__ import annotations
@@ -25,6 +27,8 @@ from tripmeter.llm.texts import LOWER, free_names, id_and_text, map_texts, reach
 SEED = 42
 #: Rows of a cell that are compared in one unit of work; larger cells are cut into blocks, and every two blocks are a unit.
 BLOCK = 2048
+#: Groups of coordinates beyond those that may differ. One more means finer cells, so fewer chance meetings, and more grids.
+KEY_GROUPS = 5
 _EVERY_SECOND = 0x5555555555555555
 
 
@@ -87,12 +91,12 @@ def embedding(fp: Column) -> Column:
     return F.shiftleft(two, 1).bitwiseOR(one)
 
 
-def grids(max_bits: int) -> list[int]:
-    """Masks of the coordinates that each grid looks at: all but ``max_bits`` of twice as many groups."""
-    groups = 2 * max_bits
+def grids(max_bits: int, key_groups: int = KEY_GROUPS) -> list[int]:
+    """Masks of the coordinates that each grid looks at: ``key_groups`` of ``key_groups + max_bits`` groups."""
+    groups = key_groups + max_bits
     edges = [round(i * 32 / groups) for i in range(groups + 1)]
     masks = [sum(3 << 2 * s for s in range(a, b)) for a, b in zip(edges[:-1], edges[1:], strict=True)]
-    return [_signed(sum(chosen)) for chosen in combinations(masks, groups - max_bits)]
+    return [_signed(sum(chosen)) for chosen in combinations(masks, key_groups)]
 
 
 def manhattan(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -128,15 +132,17 @@ class Forest:
 
 
 def links_in(units: np.ndarray, fps: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Spanning forests of the links within each unit; rows are sorted by unit."""
+    """Spanning forests of the links within each unit; rows are sorted by unit and set bits."""
     forest = Forest(len(fps))
+    sums = np.bitwise_count(fps).astype(np.int64)
     left, right = [], []
     at = np.arange(len(fps))
     step = 0
     while True:
         step += 1
         at = at[at < len(fps) - step]
-        at = at[units[at] == units[at + step]]
+        # The range probe: sums only grow within a unit, so a row that is out of reach stays so.
+        at = at[(units[at] == units[at + step]) & (sums[at + step] - sums[at] <= max_bits)]
         if not len(at):
             break
         a, b = fps[at], fps[at + step]
@@ -169,7 +175,7 @@ def near_links(fps: DataFrame, max_bits: int, scratch: str, block: int = BLOCK)
         .select("fp", F.xxhash64("grid", "cell", F.least("own", "other"), F.greatest("own", "other")).alias("unit"))
     )
     # A unit is a hash; should two of them be equal, more rows are compared and nothing is lost.
-    sorted_units = met.repartition("unit").sortWithinPartitions("unit", "fp")
+    sorted_units = met.repartition("unit").sortWithinPartitions("unit", F.bit_count("fp"), "fp")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest_units, rest_fps = np.zeros(0, np.int64), np.zeros(0, np.uint64)
