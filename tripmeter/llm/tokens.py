@@ -27,7 +27,9 @@ from tripmeter.llm.texts import id_and_text, map_texts
 
 #: Units that one worker remembers in each of two generations. It bounds memory only: a forgotten unit is counted again.
 REMEMBERED = 300_000
-#: Longer units are counted each time they occur.
+#: Pieces that one worker remembers in each of two generations, likewise.
+PIECES = 200_000
+#: Longer units and pieces are counted each time they occur.
 SHORT = 64
 #: Bytes of one run of equal counts.
 RUN = 12
@@ -95,6 +97,7 @@ class PrefixCounter:
         self.fits: dict[int, bool] = {}
         self.units: list[dict[str, bytes]] = [{}, {}]
         self.spaced: list[dict[str, bytes]] = [{}, {}]
+        self.pieces: tuple[dict[str, bytes], dict[str, bytes]] = ({}, {})
 
     def may_follow(self, left: int, right: int) -> bool:
         """Whether two tokens, encoded together, stay these two."""
@@ -134,16 +137,18 @@ class PrefixCounter:
         last, count = [-1] * (n + 1), [0] * (n + 1)
         sizes, known = self.sizes, self.fits.get
         for end, rank in self.tokens.iter(raw.decode("latin-1")):
-            if last[end + 1] < 0:
-                begin = end + 1 - sizes[rank]
-                if begin == 0:
-                    last[end + 1], count[end + 1] = rank, 1
+            end += 1
+            if last[end] < 0:
+                begin = end - sizes[rank]
+                if not begin:
+                    last[end], count[end] = rank, 1
                     continue
-                fits = known(last[begin] << 20 | rank)
+                before = last[begin]
+                fits = known(before << 20 | rank)
                 if fits is None:
-                    fits = self.may_follow(last[begin], rank)
+                    fits = self.may_follow(before, rank)
                 if fits:
-                    last[end + 1], count[end + 1] = rank, count[begin] + 1
+                    last[end], count[end] = rank, count[begin] + 1
         return count
 
     def unit_prefixes(self, text: str) -> tuple[list[int], list[int]]:
@@ -173,29 +178,40 @@ class PrefixCounter:
             total += dp[-1]
         return lengths, counts
 
+    def piece_runs(self, text: str) -> bytes:
+        """Runs of equal counts in one piece."""
+        new, old = self.pieces
+        found = new.get(text) or old.get(text)
+        if found is None:
+            raw = text.encode()
+            counts = self.piece(raw)
+            if len(raw) == len(text):
+                found = _runs(range(len(counts)), counts)
+            else:
+                lengths = [i for i, byte in enumerate(raw) if byte & 0xC0 != 0x80]
+                lengths.append(len(raw))
+                found = _runs(lengths, [counts[n] for n in lengths])
+        elif text in new:
+            return found
+        if len(text) <= SHORT:
+            if len(new) >= PIECES:
+                self.pieces = {}, new
+            self.pieces[0][text] = found
+        return found
+
     def unit_runs(self, text: str) -> bytes:
         """Runs of equal counts in a unit: bytes of the first and of the last prefix, and their tokens."""
-        # The usual unit: ASCII, at most one white character and that in front, no "'ll" that a cut could part.
-        if text.isascii() and not text[1:2].isspace() and "\n" not in text[1:]:
-            counts = [0]
-            for p in self.split.findall(text):
-                if p[0] == "'" and len(p) > 2:
-                    break
-                total = counts[-1]
-                counts += [total + n for n in self.piece(p.encode())[1:]]
-            else:
-                return _runs(range(len(counts)), counts)
+        # The usual unit: at most one white character and that in front, no "'ll" that a cut could part.
+        # A prefix of such a unit falls into the same pieces, the last one cut short.
+        if not text[1:2].isspace() and text.find("\n", 1) < 0:
+            pieces = self.split.findall(text)
+            if "'" not in text or not any(p[0] == "'" and len(p) > 2 for p in pieces):
+                return _chained([self.piece_runs(p) for p in pieces])
         # What is cut at single spaces only may hold line feeds.
         own = self._split(text)
         if len(own) == 1:
             return _runs(*self.unit_prefixes(text))
-        lengths, counts = [0], [0]
-        for unit in own:
-            size, total = lengths[-1], counts[-1]
-            inner = self.unit_prefixes(unit)
-            lengths += [size + n for n in inner[0][1:]]
-            counts += [total + n for n in inner[1][1:]]
-        return _runs(lengths, counts)
+        return _chained([self.unit_runs(unit) for unit in own])
 
     def special_runs(self, before: str, special: str) -> bytes:
         """Runs in a special string that comes after the unit ``before``.
@@ -211,21 +227,19 @@ class PrefixCounter:
 
     def _known(self, stores: list[dict[str, bytes]], prefix: str, keys: list[str]) -> list[bytes]:
         found = list(map(stores[0].get, keys))
-        if None in found:
-            for i, n in enumerate(found):
+        for i in [i for i, n in enumerate(found) if n is None]:
+            new, old = stores
+            key = keys[i]
+            n = new.get(key)
+            if n is None:
+                n = old.get(key)
                 if n is None:
-                    new, old = stores
-                    key = keys[i]
-                    n = new.get(key)
-                    if n is None:
-                        n = old.get(key)
-                        if n is None:
-                            n = self.unit_runs(prefix + key)
-                        if len(key) <= SHORT:
-                            if len(new) >= REMEMBERED:
-                                stores[:] = {}, new
-                            stores[0][key] = n
-                    found[i] = n
+                    n = self.unit_runs(prefix + key)
+                if len(key) <= SHORT:
+                    if len(new) >= REMEMBERED:
+                        stores[:] = {}, new
+                    stores[0][key] = n
+            found[i] = n
         return found
 
     def parts_of(self, text: str) -> list[bytes]:
@@ -288,6 +302,26 @@ def _runs(lengths: Sequence[int], counts: list[int]) -> bytes:
     return array("i", out).tobytes()
 
 
+def _chained(parts: list[bytes]) -> bytes:
+    """Runs of parts that follow one another; a further part has a token more, so no run goes on in it."""
+    if len(parts) < 2:
+        return parts[0] if parts else b""
+    out = array("i", parts[0])
+    for part in parts[1:]:
+        size, total = out[-2], out[-1]
+        if len(part) == RUN:
+            first, end, count = array("i", part)
+            out.extend((first + size, end + size, count + total))
+            continue
+        own = array("i", part)
+        for i in range(0, len(own), 3):
+            own[i] += size
+            own[i + 1] += size
+            own[i + 2] += total
+        out += own
+    return out.tobytes()
+
+
 def within(table: tuple[np.ndarray, np.ndarray, np.ndarray], budget: int) -> int:
     """Bytes of the longest prefix of at most ``budget`` tokens; a longer prefix may need fewer tokens."""
     _, ends, counts = table
