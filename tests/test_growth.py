@@ -9,7 +9,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from tripmeter.operators import intervals
+from workload import queries
 
+FOLDER = "/root/testdata/sf0.001"
 POISSON = [int(t, 16) for t in intervals.POISSON]
 
 
@@ -55,3 +57,9 @@ def test_bootstrap_slope_hashes_a_row_once_per_digest(spark):
     w = np.array([drawn(str(i), 11) for i in range(60)], dtype=float)
     slopes = [np.polyfit(x, y, 1, w=np.sqrt(w[:, b]))[0] for b in range(11)]
     assert tuple(found.first()) == pytest.approx((60, np.polyfit(x, y, 1)[0], *np.quantile(slopes, [0.025, 0.975])))
+
+
+@pytest.mark.parametrize("name", ["mean_interval_by_hour", "missing_rate_interval", "slope_interval"])
+def test_registered_intervals_hash_a_row_once_per_digest(spark, name):
+    found = queries.QUERIES[name](spark, FOLDER)
+    assert optimized(found).count("md5(") == (2 if name == "slope_interval" else 1)
