@@ -1,14 +1,17 @@
-"""Work per row that must not grow: hashes a row in the bootstrap, passes over a split, columns in a shuffle."""
+"""Work per row that must not grow: hashes a row in the bootstrap, sorted rows and passes of a split."""
 
 from __future__ import annotations
 
 import hashlib
+import math
+import re
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tripmeter.operators import intervals
+from tripmeter.models import preprocess
+from tripmeter.operators import intervals, sampling
 from workload import queries
 
 FOLDER = "/root/testdata/sf0.001"
@@ -63,3 +66,44 @@ def test_bootstrap_slope_hashes_a_row_once_per_digest(spark):
 def test_registered_intervals_hash_a_row_once_per_digest(spark, name):
     found = queries.QUERIES[name](spark, FOLDER)
     assert optimized(found).count("md5(") == (2 if name == "slope_interval" else 1)
+
+
+def digest(key) -> str:
+    return hashlib.md5(f"42:{key}".encode()).hexdigest()
+
+
+def test_split_sorts_edge_buckets_only(spark, monkeypatch):
+    # With one digit the buckets of 16 hold many rows; keys repeat, also where a quota ends.
+    monkeypatch.setattr(sampling, "BUCKET_DIGITS", 1)
+    rows = [(s, f"{s}{i // 3}", i) for s, n in {"a": 1000, "b": 11, "c": 10, "d": 47}.items() for i in range(n)]
+    df = spark.createDataFrame([*rows, ("a", None, -1)], "s string, id string, i int").repartition(5)
+    found = sampling.stratified_split(df, "s", F.col("id"))
+    plan = optimized(found)
+    assert plan.count("Window") == 1 and re.search(r"_bucket#\d+ = _edge#\d+", plan)
+    got = found.collect()
+    assert sorted((r.s, r.id, r.i) for r in got) == sorted(r for r in rows if r[0] != "c")
+    # The row without a key counts in the size of its stratum, ahead of all others.
+    sizes = {"a": 1001, "b": 11, "d": 47}
+    strata = spark.createDataFrame(list(sizes.items()), "s string, n bigint")
+    quotas = {r["s"]: r["_quota"] for r in sampling.split_quotas(strata, "s", "n", 0.2).collect()}
+    assert sum(quotas.values()) == math.ceil(sum(sizes.values()) * 0.2)
+    for s, quota in quotas.items():
+        before = int(s == "a")
+        own = sorted((digest(r.id), r.id) for r in got if r.s == s)
+        chosen = sorted((digest(r.id), r.id) for r in got if r.s == s and r.split == "test")
+        assert chosen == own[: quota - before]
+
+
+def test_split_of_small_strata_may_give_no_test_row(spark):
+    df = spark.createDataFrame([("a", str(i)) for i in range(12)], "s string, id string")
+    got = sampling.stratified_split(df, "s", F.col("id"), test_fraction=0.0)
+    assert [r.split for r in got.collect()] == ["train"] * 12
+
+
+@pytest.mark.parametrize("name", ["batch_score_coverage", "encoded_feature_names"])
+def test_fits_read_a_stored_split(spark, monkeypatch, name):
+    seen = []
+    scaling = preprocess.scaling
+    monkeypatch.setattr(preprocess, "scaling", lambda train, features: seen.append(optimized(train)) or scaling(train, features))
+    queries.QUERIES[name](spark, FOLDER)
+    assert seen and not any("Window" in plan or "Join" in plan for plan in seen)

@@ -2,8 +2,9 @@
 
 Rows are ordered by ``md5(seed:key)``.  The first four hex digits cut every group into
 65,536 equal buckets; bucket sizes are counted, and a row's rank is the number of rows in
-earlier buckets plus its place within its own bucket.  So no task ever sorts more than
-one bucket of one group, however large the group is.
+earlier buckets plus its place within its own bucket.  A split needs the ranks of one bucket
+of each group only: all rows of earlier buckets lie before the cut, all later ones behind it.
+So no task ever sorts more than one bucket of one group, however large the group is.
 """
 
 from __future__ import annotations
@@ -41,16 +42,6 @@ def _buckets(rows: DataFrame, by: Sequence[str], order: str) -> DataFrame:
     )
 
 
-def _place(rows: DataFrame, buckets: DataFrame, by: Sequence[str], order: str) -> DataFrame:
-    """Join every row with its bucket and add its 1-based rank inside its group."""
-    in_bucket = Window.partitionBy(*by, "_bucket").orderBy(order)
-    return (
-        rows.withColumn("_bucket", F.substring(order, 1, BUCKET_DIGITS))
-        .join(buckets, [*by, "_bucket"])
-        .withColumn("_rank", F.col("_before") + F.row_number().over(in_bucket))
-    )
-
-
 def sample_rows(df: DataFrame, key: Column, n: int, seed: int = SEED) -> DataFrame:
     """Exactly ``n`` rows (all rows if there are fewer), the same ones on every run.
 
@@ -97,15 +88,35 @@ def stratified_split(
 ) -> DataFrame:
     """Add ``train``/``test``; strata with at most ``more_than`` rows are left out.
 
-    Every stratum gives its exact quota to the test part.  The bucket counts are stored in the
-    shared folder: quotas and ranks read them there, and the rows are passed over twice in all.
+    Every stratum gives its exact quota to the test part.  The bucket counts are stored in the shared
+    folder, and beside them the edge of each stratum: the bucket in which its quota ends, and how many
+    test rows that bucket gives.  Rows meet the edges, one row per stratum, and are sorted in edge
+    buckets only.  Rows without a key are left out.
     """
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, "buckets")
     rows = df.withColumn("_order", shuffle_key(key, seed))
     counted = _buckets(rows.select(stratum, "_order"), [stratum], "_order")
-    path = scratch_path(df.sparkSession, "buckets")
-    counted.where(F.col("_all") > more_than).write.parquet(path)
-    buckets = df.sparkSession.read.schema(counted.schema).parquet(path)
+    counted.where(F.col("_all") > more_than).write.parquet(f"{path}/counts")
+    buckets = spark.read.schema(counted.schema).parquet(f"{path}/counts")
     sizes = buckets.groupBy(stratum).agg(F.max("_all").alias("_all"))
-    buckets = buckets.join(split_quotas(sizes, stratum, "_all", test_fraction), stratum)
-    part = F.when(F.col("_rank") <= F.col("_quota"), F.lit("test")).otherwise(F.lit("train"))
-    return _place(rows, buckets, [stratum], "_order").select(*df.columns, part.alias(into))
+    quotas = split_quotas(sizes, stratum, "_all", test_fraction)
+    reached = F.when(F.col("_before") < F.col("_quota"), F.struct("_before", "_bucket"))
+    edges = (
+        buckets.join(quotas, stratum)
+        .groupBy(stratum)
+        .agg(F.max("_quota").alias("_quota"), F.max(reached).alias("_last"))
+        .select(stratum, F.col("_last._bucket").alias("_edge"), (F.col("_quota") - F.col("_last._before")).alias("_left"))
+    )
+    edges.write.parquet(f"{path}/edges")
+    edges = spark.read.schema(edges.schema).parquet(f"{path}/edges")
+
+    def parted(found: DataFrame, test: Column) -> DataFrame:
+        return found.select(*df.columns, F.when(test, F.lit("test")).otherwise(F.lit("train")).alias(into))
+
+    bucket, edge = F.col("_bucket"), F.col("_edge")
+    met = rows.where(key.isNotNull()).withColumn("_bucket", F.substring("_order", 1, BUCKET_DIGITS)).join(edges, stratum)
+    inside = Window.partitionBy(stratum).orderBy("_order")
+    # A stratum without test rows has no edge.
+    return parted(met.where(~bucket.eqNullSafe(edge)), bucket < edge).unionByName(
+        parted(met.where(bucket == edge), F.row_number().over(inside) <= F.col("_left"))
+    )

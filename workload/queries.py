@@ -1152,7 +1152,9 @@ def _(spark, d):
 @query("encoded_feature_names")
 def _(spark, d):
     """Names of the vector places, read from the stored table of labels."""
-    train = split(spark, d, "pre_assign").where("split = 'train'")
+    path = scratch_path(spark, "split")
+    split(spark, d, "pre_assign").write.parquet(path)
+    train = spark.read.parquet(path).where("split = 'train'")
     return preprocess.LabelTable.fit(train, feats.PRE_ASSIGN, scratch_path(spark, "labels")).names(spark)
 
 
@@ -1195,7 +1197,9 @@ def _(spark, d):
 def _(spark, d):
     """Which trips the batch scoring gives a prediction; the preprocessing alone decides that."""
     features = feats.PRE_ASSIGN
-    train = split(spark, d, features.name).where("split = 'train'")
+    path = scratch_path(spark, "split")
+    split(spark, d, features.name).write.parquet(path)
+    train = spark.read.parquet(path).where("split = 'train'")
     fitted = preprocess.fit_preprocessing(train, features)
     linear = PipelineModel([LinearRegression(featuresCol="features", labelCol="ATD").fit(
         preprocess.encode(fitted, train).select("features", "ATD")
