@@ -68,6 +68,17 @@ def test_registered_intervals_hash_a_row_once_per_digest(spark, name):
     assert optimized(found).count("md5(") == (2 if name == "slope_interval" else 1)
 
 
+def test_bootstrap_cuts_numbers_from_bytes(spark):
+    df = spark.createDataFrame([(f"k{i}",) for i in range(500)], "id string")
+    rows, names = intervals._drawn(df, "id", 13)
+    assert re.search(r"cast\(md5\(.*\) as binary\) AS _digest", optimized(rows))
+    got = df.select("id", F.array(*intervals.weights(F.col("id"), 13)).alias("w")).collect()
+    assert {r.id: r.w for r in got} == {f"k{i}": drawn(f"k{i}", 13) for i in range(500)}
+    kept = rows.select("_i", F.array(*names).alias("w")).collect()
+    want = [(i, tuple((drawn(f"k{k}", 13) + [None] * 3)[8 * i:8 * i + 8])) for k in range(500) for i in range(2)]
+    assert sorted(map(str, ((r._i, tuple(r.w)) for r in kept))) == sorted(map(str, want))
+
+
 def digest(key) -> str:
     return hashlib.md5(f"42:{key}".encode()).hexdigest()
 

@@ -3,7 +3,8 @@
 All replicates are weighted sums, so one pass over the rows gives all of them, combined before the
 shuffle; the result depends on keys only, and SQL can repeat it.  A row is taken once per digest, which
 holds the numbers of eight replicates: digest and numbers are worked out once, and the sums of eight
-replicates are few enough for compiled code, whatever the number of replicates.
+replicates are few enough for compiled code, whatever the number of replicates.  A digest is taken as
+bytes: a number is a copy of four of them, where text would be walked from its start for each.
 """
 
 from __future__ import annotations
@@ -19,10 +20,12 @@ PER_HASH = 8  # a digest holds eight numbers of 16 bits
 
 
 def _digest(key: Column, i: Column) -> Column:
-    return F.md5(F.concat(key.cast("string"), F.lit(":"), i.cast("string")).cast("binary"))
+    """The digits of a digest, as bytes."""
+    return F.md5(F.concat(key.cast("string"), F.lit(":"), i.cast("string")).cast("binary")).cast("binary")
 
 
 def _number(digest: Column, place: int) -> Column:
+    """Four digits; bytes of digits have the order of their numbers."""
     return F.substring(digest, 1 + 4 * place, 4)
 
 
@@ -30,7 +33,7 @@ def _weight(number: Column) -> Column:
     """A Poisson number of mean 1; the small and usual ones are tried first."""
     chosen = F
     for w, least in enumerate(POISSON):
-        chosen = chosen.when(number < least, w)
+        chosen = chosen.when(number < F.lit(least.encode()), w)
     return chosen.otherwise(len(POISSON))
 
 
