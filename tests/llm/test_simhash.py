@@ -153,3 +153,19 @@ def test_columns_with_the_names_that_are_used_inside(spark):
     kept = simhash.one_of_each(docs, scratch_path(spark, "s"))
     assert kept.columns == docs.columns
     assert kept.where(" AND ".join(f"`{c}` = 'mine'" for c in docs.columns[2:])).count() == kept.count() == simhash.one_of_each(table(spark), scratch_path(spark, "s")).count()
+
+
+def test_cells_are_not_broadcast(spark, path, monkeypatch):
+    """A table of fingerprints under the broadcast threshold has 56 times as many cells, which may be far above it."""
+    frame, plans = type(spark.range(0)), []
+    run = frame.mapInArrow
+
+    def seen(self, *args, **more):
+        plans.append(self._jdf.queryExecution().executedPlan().toString())
+        return run(self, *args, **more)
+
+    monkeypatch.setattr(frame, "mapInArrow", seen)
+    spark.createDataFrame([(0,), (7,), (8,), (1 << 40,), (-1,)], "fp bigint").write.parquet(path + "/fps")
+    links = simhash.near_links(spark.read.parquet(path + "/fps"), 3, path + "/links")
+    assert {x for r in links.collect() for x in (r.a, r.b)} == {0, 7, 8, 1 << 40}
+    assert "Join" in plans[0] and "Broadcast" not in plans[0]

@@ -167,8 +167,9 @@ def near_links(fps: DataFrame, max_bits: int, scratch: str, block: int = BLOCK)
     shared = cells.groupBy("grid", "cell").agg(F.count("*").alias("n")).where("n > 1")
     parts = F.ceil(F.col("n") / block).cast("int")
     own = F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int")
+    # Spark sizes the cells as if there were one a fingerprint, not one a grid, and would broadcast them: they are merged.
     met = (
-        cells.join(shared, ["grid", "cell"])
+        cells.join(shared.hint("merge"), ["grid", "cell"])
         .withColumn("parts", parts)
         .withColumn("own", own)
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
