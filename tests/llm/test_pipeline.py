@@ -93,3 +93,20 @@ def test_run_and_an_empty_table(spark, folder, tmp_path):
 def test_letters():
     assert language.has_letter("1 é") and language.has_letter("中")
     assert not any(map(language.has_letter, ["", "½ ² ①", "12_3 !", "́"]))
+
+
+def test_near_duplicates_broadcast_no_cells(spark, folder, tmp_path, monkeypatch):
+    """Documents below the broadcast threshold have many more grid cells, which are not broadcast."""
+    path, data, _ = folder
+    table(spark, data).write.parquet(f"{tmp_path}/documents.parquet")
+    frame, plans = type(spark.range(0)), []
+    run = frame.mapInArrow
+
+    def seen(self, *args, **more):
+        plans.append(self._jdf.queryExecution().executedPlan().toString())
+        return run(self, *args, **more)
+
+    monkeypatch.setattr(frame, "mapInArrow", seen)
+    pipeline.drop_near_duplicates(spark, spark.read.parquet(f"{tmp_path}/documents.parquet"), path)
+    joined = [p for p in plans if "Join" in p]
+    assert joined and not any("Broadcast" in p for p in joined)
