@@ -21,15 +21,15 @@ from dataclasses import dataclass, field
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark import RDD, Broadcast
+from pyspark import RDD, Broadcast, StorageLevel, TaskContext
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
+from tripmeter.models.coding import MISSING, Codes, Coding, combinations, completed, halves, propose, united
 from tripmeter.operators.quantiles import exact_quantiles
 from tripmeter.session import scratch_path
 
-MISSING = 255  # the bin of missing values; there may be 254 others
 BLOCK_ROWS = 1 << 17
 #: Tasks whose histograms are added at the driver at once; more are added up in tasks first.
 DIRECT_TASKS = 8
@@ -38,6 +38,8 @@ RESEND = 10
 #: Blocks whose predictions a worker remembers.
 REMEMBERED = 64
 _remembered: OrderedDict[tuple, tuple[int, np.ndarray]] = OrderedDict()
+#: Where the rows of these blocks are: number of the tree, level, place in the level.
+_places: OrderedDict[tuple, tuple[int, int, np.ndarray]] = OrderedDict()
 
 
 @dataclass
@@ -56,8 +58,10 @@ class Tree:
         n = (1 << (depth + 1)) - 1
         return cls(np.full(n, -1), np.zeros(n, int), np.zeros(n, bool), np.zeros(n), np.zeros(n), np.full(n, np.nan))
 
-    def nodes_of(self, rows: np.ndarray, levels: int, bins: bool = True) -> np.ndarray:
-        """The node of each row after ``levels`` splits; rows hold bins or plain values."""
+    def nodes_of(self, rows: np.ndarray | Codes, levels: int, bins: bool = True) -> np.ndarray:
+        """The node of each row after ``levels`` splits; rows hold codes, bins or plain values."""
+        if isinstance(rows, Codes):
+            return rows.nodes_of(self, levels)
         at = np.zeros(len(rows), np.int64)
         every = np.arange(len(rows))
         for _ in range(levels):
@@ -69,6 +73,11 @@ class Tree:
             at = np.where(inner, 2 * at + 2 - left, at)
         return at
 
+    def above(self, level: int) -> Tree:
+        """The nodes above a level: what a task needs to lead rows to it."""
+        n = (1 << level) - 1
+        return Tree(self.feature[:n], self.cut[:n], self.missing_left[:n], self.weight[:n], self.gain[:n], self.threshold[:n])
+
     @property
     def depth(self) -> int:
         return (len(self.feature) + 1).bit_length() - 2
@@ -91,27 +100,20 @@ class Boosting:
     target: str = "ATD"
     key: str = "trip_key"
 
-    def fit(self, rows: DataFrame, path: str | None = None) -> Boosted:
-        """A model of all ``rows`` (feature vector, target, key); ``path`` is a new folder that all executors share."""
-        spark = rows.sparkSession
-        path = path or scratch_path(spark, "boosting")
-        edges = bin_edges(rows, self.features, self.bins)
-        # Millionths are summed as whole numbers: the mean does not depend on the order of the rows either.
-        millionths = F.round(F.col(self.target) * 1_000_000).cast("decimal(38,0)")
-        n, total, far = rows.agg(F.count("*"), F.sum(millionths), F.max(F.abs(F.col(self.target)))).first()
-        if not n:
+    def fit(self, rows: DataFrame, path: str | None = None, made: Binned | None = None) -> Boosted:
+        """A model of all ``rows`` (feature vector, target, key), or of ``made`` from them; ``path`` is a new folder that all executors share."""
+        own = made or binned_rows(rows, self.features, self.target, self.key, self.bins, path)
+        if not own.n:
             return Boosted(0.0, [], self.features)
-        base = int(total) / n / 1_000_000
-        blocks = self._blocks(rows, edges, path, n)
-        # Whole numbers per unit of gradient, so that no sum leaves 62 bits.
-        scale = 2.0 ** min(20, 61 - int(n).bit_length() - int(2 * far + 2).bit_length())
-        if blocks.getNumPartitions() == 1 and n <= BLOCK_ROWS:
+        if own.alone:
             # All rows are one block, so every level would be a job of one task: one task does all rounds.
-            trees = blocks.mapPartitions(lambda found: [self._rounds_of(list(found), base, scale, edges)]).first()
+            base, scale, edges = own.base, own.scale, own.edges
+            trees = own.blocks.mapPartitions(lambda found: [self._rounds_of(list(found), base, scale, edges)]).first()
         else:
-            trees = self._rounds(blocks, base, scale, edges)
-        blocks.unpersist()
-        return Boosted(base, trees, self.features)
+            trees = self._rounds(own)
+        if not made:
+            own.release()
+        return Boosted(own.base, trees, self.features)
 
     def _columns(self, number: int, width: int) -> np.ndarray:
         """The features that a tree draws."""
@@ -120,99 +122,76 @@ class Boosting:
 
     def _rounds_of(self, blocks: list[tuple], base: float, scale: float, edges: list[np.ndarray]) -> list[Tree]:
         """All rounds over the blocks of one task."""
+        coding = Coding.of_blocks([rows for rows, _, _ in blocks], edges)
+        codes = [Codes(coding, coding.encode(rows)) for rows, _, _ in blocks]
         trees: list[Tree] = []
         sums = [np.full(len(rows), base) for rows, _, _ in blocks]
         for number in range(self.rounds):
-            columns = self._columns(number, len(edges))
-
-            def table(tree: Tree, level: int, number=number, columns=columns) -> np.ndarray:
-                return sum(self._histogram(b, s, tree, level, number, columns, scale) for b, s in zip(blocks, sums, strict=True))
-
-            tree = self._tree(table, columns, scale, edges)
-            for (rows, _, _), value in zip(blocks, sums, strict=True):
-                value += tree.weight[tree.nodes_of(rows, tree.depth)]
+            wholes = [np.rint((s - y) * scale) for s, (_, y, _) in zip(sums, blocks, strict=True)]
+            places: list[np.ndarray] = []
+
+            def table(tree: Tree, level: int, wanted: np.ndarray, number=number, wholes=wholes, places=places) -> np.ndarray:
+                rank, out = ranks(wanted, level), 0
+                for i, (c, (_, _, keys)) in enumerate(zip(codes, blocks, strict=True)):
+                    if not level:
+                        places.append(c.begin(drawn_rows(keys, number, self.seed, self.row_share)))
+                    else:
+                        places[i] = c.step(places[i], coding.moves(tree, level - 1))
+                    out = out + c.histogram(places[i], rank, len(wanted), wholes[i])
+                return out
+
+            tree = self._tree(table, self._columns(number, len(edges)), scale, edges, coding)
+            for c, value in zip(codes, sums, strict=True):
+                value += tree.weight[c.nodes_of(tree, tree.depth)]
             trees.append(tree)
         return trees
 
-    def _rounds(self, blocks: RDD, base: float, scale: float, edges: list[np.ndarray]) -> list[Tree]:
+    def _rounds(self, made: Binned) -> list[Tree]:
         """All rounds, every level a job over all blocks."""
         run, trees = uuid.uuid4().hex, []
+        blocks, coding, base, scale = made.blocks, made.coding, made.base, made.scale
         earlier = blocks.context.broadcast([])
         for number in range(self.rounds):
             if number and number % RESEND == 0:
                 earlier.unpersist()
                 earlier = blocks.context.broadcast(list(trees))
-            columns, later = self._columns(number, len(edges)), trees[number - number % RESEND:]
-
-            def table(tree: Tree, level: int, number=number, columns=columns, earlier=earlier, later=later) -> np.ndarray:
-                def histogram(part: int, found: Iterator) -> Iterator[np.ndarray]:
-                    out = 0
-                    for i, block in enumerate(found):
-                        value = predictions((run, part, i), block[0], base, number, earlier, later)
-                        out = out + self._histogram(block, value, tree, level, number, columns, scale)
+            later = trees[number - number % RESEND:]
+
+            def table(tree: Tree, level: int, wanted: np.ndarray, number=number, earlier=earlier, later=later) -> np.ndarray:
+                def histogram(found: Iterator) -> Iterator[np.ndarray]:
+                    out, rank = np.zeros((len(wanted), coding.starts[-1], 2), np.int64), ranks(wanted, level)
+                    moves = [coding.moves(tree, i) for i in range(level)]
+                    for name, values, target, keys in found:
+                        codes = Codes(coding, values)
+                        value = predictions((run, name), codes, base, number, earlier, later)
+                        known = _places.pop((run, name), None)
+                        if known is None or known[0] != number or known[1] > level:
+                            known = number, 0, codes.begin(drawn_rows(keys, number, self.seed, self.row_share))
+                        at = known[2]
+                        for move in moves[known[1]:]:
+                            at = codes.step(at, move)
+                        remember(_places, (run, name), (number, level, at))
+                        out += codes.histogram(at, rank, len(wanted), np.rint((value - target) * scale))
                     yield out
 
-                tables = blocks.mapPartitionsWithIndex(histogram)
-                return tables.reduce(np.add) if blocks.getNumPartitions() <= DIRECT_TASKS else tables.treeReduce(np.add, 2)
+                return added(blocks.mapPartitions(histogram))
 
-            trees.append(self._tree(table, columns, scale, edges))
+            trees.append(self._tree(table, self._columns(number, len(made.edges)), scale, made.edges, coding))
         earlier.unpersist()
         return trees
 
-    def _histogram(
-        self, block: tuple, prediction: np.ndarray, tree: Tree, level: int, number: int, columns: np.ndarray, scale: float
-    ) -> np.ndarray:
-        """Gradients (whole numbers) and rows by node of the level, column and bin; the last bin holds missing values."""
-        rows, target, keys = block
-        count, width = 1 << level, self.bins + 2
-        out = np.zeros((count, len(columns), width, 2), np.int64)
-        at = tree.nodes_of(rows, level) - (count - 1)
-        use = (at >= 0) & drawn_rows(keys, number, self.seed, self.row_share)
-        whole = np.rint((prediction[use] - target[use]) * scale)
-        at, rows = at[use] * width, rows[use]
-        for j, c in enumerate(columns):
-            slot = at + np.minimum(rows[:, c], width - 1)
-            out[:, j, :, 0] = np.bincount(slot, whole, count * width).astype(np.int64).reshape(count, -1)
-            out[:, j, :, 1] = np.bincount(slot, minlength=count * width).reshape(count, -1)
-        return out
-
-    def _blocks(self, rows: DataFrame, edges: list[np.ndarray], path: str, n: int) -> RDD:
-        """The binned rows, stored and kept: (rows by features) bytes, targets and key hashes of up to BLOCK_ROWS rows."""
-        tasks = max(1, min(-(-n // BLOCK_ROWS), rows.rdd.getNumPartitions()))
-        frame = rows.select(
-            vector_to_array(self.features).alias("x"), F.col(self.target).cast("double").alias("y"), F.xxhash64(self.key).alias("k")
-        ).coalesce(tasks)
-        width = len(edges)
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-
-            def block() -> pa.RecordBatch:
-                parts = [np.concatenate(p).tobytes() for p in zip(*held, strict=True)]
-                return pa.RecordBatch.from_arrays([pa.array([p], pa.binary()) for p in parts], names=["bins", "y", "k"])
-
-            for batch in batches:
-                x = batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, width)
-                held.append((binned(x, edges), batch.column(1).to_numpy(), batch.column(2).to_numpy()))
-                if sum(len(h[0]) for h in held) >= BLOCK_ROWS:
-                    yield block()
-                    held = []
-            if held:
-                yield block()
-
-        frame.mapInArrow(run, "bins binary, y binary, k binary").write.mode("overwrite").parquet(path)
-        stored = rows.sparkSession.read.parquet(path).coalesce(tasks)
-        return stored.rdd.map(
-            lambda r: (np.frombuffer(r[0], np.uint8).reshape(-1, width), np.frombuffer(r[1], np.float64), np.frombuffer(r[2], np.uint64))
-        ).persist()
-
-    def _tree(self, table_of: Callable[[Tree, int], np.ndarray], columns: np.ndarray, scale: float, edges: list[np.ndarray]) -> Tree:
-        """One tree, level by level; ``table_of`` sums a level over all rows."""
+    def _tree(
+        self, table_of: Callable[[Tree, int, np.ndarray], np.ndarray], columns: np.ndarray, scale: float, edges: list[np.ndarray], coding: Coding
+    ) -> Tree:
+        """One tree, level by level; ``table_of`` sums some places of a level over all rows."""
         tree = Tree.empty(self.depth)
         sums = np.zeros((len(tree.feature), 2))
+        codes = None
         for level in range(self.depth):
             first, count = (1 << level) - 1, 1 << level
-            table = table_of(tree, level)
+            wanted, parents = halves(tree, level, sums[:, 1])
+            codes = completed(level, table_of(tree, level, wanted), wanted, parents, codes)
+            table = np.stack([coding.feature(codes, c, self.bins + 2) for c in columns], axis=1)
             total = table[:, 0].sum(axis=1) / np.array([scale, 1.0])
             if not level:
                 sums[0] = total[0]
@@ -234,6 +213,101 @@ class Boosting:
         return tree
 
 
+def ranks(wanted: np.ndarray, level: int) -> np.ndarray:
+    """The number of each place of a level among the wanted ones, or -1; the last is no place."""
+    out = np.full((1 << level) + 1, -1, np.int64)
+    out[wanted] = np.arange(len(wanted))
+    return out
+
+
+def added(tables: RDD) -> np.ndarray:
+    """The sum of all tables, at the driver."""
+    return tables.reduce(np.add) if tables.getNumPartitions() <= DIRECT_TASKS else tables.treeReduce(np.add, 2)
+
+
+def remember(memory: OrderedDict, name: tuple, value: object, most: int = 0) -> None:
+    memory[name] = value
+    while len(memory) > (most or REMEMBERED):
+        memory.popitem(last=False)
+
+
+@dataclass
+class Binned:
+    """Binned rows, kept: coded blocks ``(name, codes, targets, key hashes)``, or one block of bins where all rows are ``alone`` in it."""
+
+    blocks: RDD | None
+    edges: list[np.ndarray]
+    coding: Coding | None
+    n: int
+    base: float
+    scale: float
+    alone: bool
+
+    def release(self) -> None:
+        """Keep the rows no longer."""
+        if self.blocks is not None:
+            self.blocks.unpersist()
+
+
+def binned_rows(rows: DataFrame, features: str, target: str, key: str, bins: int, path: str | None = None) -> Binned:
+    """All ``rows`` cut at exact quantiles, stored at ``path`` and kept for the models of the same settings."""
+    spark = rows.sparkSession
+    path = path or scratch_path(spark, "boosting")
+    edges = bin_edges(rows, features, bins)
+    # Millionths are summed as whole numbers: the mean does not depend on the order of the rows either.
+    millionths = F.round(F.col(target) * 1_000_000).cast("decimal(38,0)")
+    n, total, far = rows.agg(F.count("*"), F.sum(millionths), F.max(F.abs(F.col(target)))).first()
+    if not n:
+        return Binned(None, edges, None, 0, 0.0, 1.0, True)
+    # Whole numbers per unit of gradient, so that no sum leaves 62 bits.
+    scale = 2.0 ** min(20, 61 - int(n).bit_length() - int(2 * far + 2).bit_length())
+    base, width = int(total) / n / 1_000_000, len(edges)
+    # A wave of tasks with several blocks each: a level adds up one table a task.
+    tasks = max(1, min(-(-n // BLOCK_ROWS), rows.rdd.getNumPartitions(), spark.sparkContext.defaultParallelism))
+    most = BLOCK_ROWS
+    frame = rows.select(
+        vector_to_array(features).alias("x"), F.col(target).cast("double").alias("y"), F.xxhash64(key).alias("k")
+    ).coalesce(tasks)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, held, made = TaskContext.get().partitionId(), [], 0
+
+        def block() -> pa.RecordBatch:
+            parts = [np.concatenate(p).tobytes() for p in zip(*held, strict=True)]
+            return pa.RecordBatch.from_arrays([pa.array([f"{part}-{made}"]), *[pa.array([p], pa.binary()) for p in parts]], names=["name", "bins", "y", "k"])
+
+        for batch in batches:
+            x = batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, width)
+            held.append((binned(x, edges), batch.column(1).to_numpy(), batch.column(2).to_numpy()))
+            if sum(len(h[0]) for h in held) >= most:
+                yield block()
+                held, made = [], made + 1
+        if held:
+            yield block()
+
+    frame.mapInArrow(run, "name string, bins binary, y binary, k binary").write.mode("overwrite").parquet(path)
+    stored = spark.read.parquet(path)
+
+    def parts_of(r: Row) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        return np.frombuffer(r[1], np.uint8).reshape(-1, width), np.frombuffer(r[2], np.float64), np.frombuffer(r[3], np.uint64)
+
+    if tasks == 1 and n <= BLOCK_ROWS:
+        return Binned(stored.coalesce(1).rdd.map(parts_of).persist(), edges, None, n, base, scale, True)
+    groups = propose(parts_of(stored.first())[0])
+    found = stored.rdd.map(lambda r: [combinations(parts_of(r)[0], g) for g in groups]).reduce(
+        lambda a, b: [united(x, y) for x, y in zip(a, b, strict=True)]
+    )
+    coding = Coding.of(groups, found, edges)
+
+    def coded(r: Row) -> tuple[str, np.ndarray, np.ndarray, np.ndarray]:
+        rows, target, keys = parts_of(r)
+        return r[0], coding.encode(rows), target, keys
+
+    # Names go with the blocks, so what workers remember of one holds wherever it is dealt.
+    blocks = stored.repartition(tasks).rdd.map(coded).persist(StorageLevel.MEMORY_AND_DISK)
+    return Binned(blocks, edges, coding, n, base, scale, False)
+
+
 def bin_edges(rows: DataFrame, features: str, bins: int) -> list[np.ndarray]:
     """Upper ends of each feature's bins: its distinct quantiles; none where all values are missing."""
     width = rows.select(F.size(vector_to_array(features)).alias("n")).agg(F.max("n")).first()[0] or 0
@@ -250,25 +324,28 @@ def binned(values: np.ndarray, edges: list[np.ndarray]) -> np.ndarray:
     return out
 
 
+def row_hashes(keys: np.ndarray, number: int, seed: int) -> np.ndarray:
+    """A hash of each row's key for one tree."""
+    h = keys ^ np.uint64((seed * 0x9E3779B97F4A7C15 + number * 0xD1B54A32D192ED03) & 0xFFFFFFFFFFFFFFFF)
+    h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    h = (h ^ (h >> np.uint64(29))) * np.uint64(0xC2B2AE3D27D4EB4F)
+    return h ^ (h >> np.uint64(32))
+
+
 def drawn_rows(keys: np.ndarray, number: int, seed: int, share: float) -> np.ndarray:
     """Which rows a tree draws, by a hash of the row's key."""
     if share >= 1:
         return np.ones(len(keys), bool)
-    h = keys ^ np.uint64((seed * 0x9E3779B97F4A7C15 + number * 0xD1B54A32D192ED03) & 0xFFFFFFFFFFFFFFFF)
-    h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-    h = (h ^ (h >> np.uint64(29))) * np.uint64(0xC2B2AE3D27D4EB4F)
-    return (h ^ (h >> np.uint64(32))) < np.uint64(int(share * 2**63) * 2)
+    return row_hashes(keys, number, seed) < np.uint64(int(share * 2**63) * 2)
 
 
-def predictions(block: tuple, rows: np.ndarray, base: float, rounds: int, earlier: Broadcast, later: list[Tree]) -> np.ndarray:
+def predictions(block: tuple, rows: np.ndarray | Codes, base: float, rounds: int, earlier: Broadcast, later: list[Tree]) -> np.ndarray:
     """Sum of all trees for the rows of a block, from what this worker remembers of it."""
     done, value = _remembered.pop(block, (0, np.full(len(rows), base)))
     sent = rounds - len(later)
     for tree in (earlier.value[done:] if done < sent else []) + later[max(0, done - sent):]:
         value = value + tree.weight[tree.nodes_of(rows, tree.depth)]
-    _remembered[block] = (rounds, value)
-    while len(_remembered) > REMEMBERED:
-        _remembered.popitem(last=False)
+    remember(_remembered, block, (rounds, value))
     return value
 
 

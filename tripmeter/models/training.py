@@ -7,12 +7,13 @@ from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.base import Estimator
-from pyspark.ml.regression import LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmeter.models.boosting import Boosted, Boosting
+from tripmeter.models.boosting import Binned, Boosted, Boosting, binned_rows
 from tripmeter.models.features import FEATURE_SETS, FeatureSet, feature_frame, split_frame
+from tripmeter.models.forest import Forest
 from tripmeter.models.preprocess import COMPLETE, FEATURES, encode, encode_all, fit_preprocessing
 from tripmeter.operators.errors import regression_metrics
 from tripmeter.schemas import TARGET
@@ -37,19 +38,14 @@ class Hyperparameters:
     seed: int = 42
 
 
-def catalogue(settings: Hyperparameters = Hyperparameters()) -> dict[str, Estimator | Boosting]:
+def catalogue(settings: Hyperparameters = Hyperparameters()) -> dict[str, Estimator | Forest | Boosting]:
     """The four models by name; ``gbt_deep`` is the boosting with a penalty on leaf weights."""
     common = {"featuresCol": FEATURES, "labelCol": TARGET, "predictionCol": "prediction"}
-    boosted = {"learning_rate": settings.learning_rate, "seed": settings.seed, "features": FEATURES, "target": TARGET}
+    trees = {"seed": settings.seed, "features": FEATURES, "target": TARGET}
+    boosted = {"learning_rate": settings.learning_rate, **trees}
     return {
         "linear": LinearRegression(regParam=0.0, **common),
-        "random_forest": RandomForestRegressor(
-            numTrees=settings.forest_trees,
-            maxDepth=settings.forest_depth,
-            featureSubsetStrategy="all",
-            seed=settings.seed,
-            **common,
-        ),
+        "random_forest": Forest(settings.forest_trees, settings.forest_depth, **trees),
         "gbt": Boosting(settings.boosted_rounds, settings.boosted_depth, **boosted),
         "gbt_deep": Boosting(
             settings.deep_rounds,
@@ -65,8 +61,9 @@ def catalogue(settings: Hyperparameters = Hyperparameters()) -> dict[str, Estima
 Model = PipelineModel | Boosted
 
 
-def fit_model(estimator: Estimator | Boosting, rows: DataFrame) -> Model:
-    return estimator.fit(rows) if isinstance(estimator, Boosting) else PipelineModel([estimator.fit(rows)])
+def fit_model(estimator: Estimator | Forest | Boosting, rows: DataFrame, made: Binned | None = None) -> Model:
+    """``made`` are the same rows, binned for all models of trees."""
+    return estimator.fit(rows, made=made) if isinstance(estimator, Forest | Boosting) else PipelineModel([estimator.fit(rows)])
 
 
 @dataclass
@@ -120,17 +117,22 @@ def train_variant(
     train = encoded.where(F.col("split") == "train").persist()
     test = encoded.where(F.col("split") == "test").persist()
 
-    def fitted(named: tuple[str, Estimator | Boosting]) -> tuple[Model, tuple]:
+    estimators = catalogue(settings)
+    # All models of trees read the same binned rows.
+    trees = estimators["gbt"]
+    blocks = binned_rows(train, trees.features, trees.target, trees.key, trees.bins)
+
+    def fitted(named: tuple[str, Estimator | Forest | Boosting]) -> tuple[Model, tuple]:
         name, estimator = named
-        model = fit_model(estimator, train)
+        model = fit_model(estimator, train, blocks)
         score = regression_metrics(model.transform(test)).first()
         return model, (variant, name, score["mae"], score["rmse"], score["r2"], score["n"])
 
-    estimators = catalogue(settings)
     # Each fit is a row of short jobs; together they keep the cluster busy.
     with ThreadPoolExecutor(len(estimators)) as pool:
         made = list(pool.map(fitted, estimators.items()))
     models, rows = {name: model for name, (model, _) in zip(estimators, made, strict=True)}, [row for _, row in made]
+    blocks.release()
     train.unpersist()
     test.unpersist()
     schema = "variant string, model string, mae double, rmse double, r2 double, n bigint"
