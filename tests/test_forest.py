@@ -4,12 +4,16 @@ from __future__ import annotations
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from test_boosting import data, table
 
-from tripmeter.models import boosting, coding, forest
-from tripmeter.models.boosting import Boosting, binned_rows
+from tripmeter.models import boosting, coding, forest, preprocess
+from tripmeter.models import features as feats
+from tripmeter.models.boosting import Boosted, Boosting, binned_rows
 from tripmeter.models.forest import Forest, copies
-from tripmeter.models.training import catalogue
+from tripmeter.models.training import Hyperparameters, catalogue, encoded_split, score, train_variant
+from tripmeter.session import scratch_path
+from workload import queries
 
 
 def by_hand(x, y, times, depth):
@@ -115,3 +119,13 @@ def test_nothing_to_learn(spark):
     assert np.allclose(Forest(trees=4).fit(table(spark, x, np.full(30, 5.0))).predict(x), 5.0)
     assert Forest(trees=2).fit(table(spark, x, y).limit(0)).predict(x[:2]).tolist() == [0.0, 0.0]
     assert forest.Forest(trees=2).fit(table(spark, x[:1], y[:1])).predict(x[:1]) == pytest.approx(y[:1])
+
+
+def test_features_of_a_trip_share_a_few_codes(spark, monkeypatch):
+    """A histogram counts a few columns, not one for each label of the encoded rows."""
+    monkeypatch.setattr(boosting, "BLOCK_ROWS", 3000)
+    _, rows = encoded_split(spark, queries.keyed(spark, "/root/testdata/sf0.01"), feats.POST_ASSIGN, scratch_path(spark, "codes"))
+    made = binned_rows(rows.repartition(3), "features", "ATD", "trip_key", 64)
+    assert len(made.edges) > 20 and len(made.coding.members) <= 8 and not made.alone
+    assert sorted(f for group in made.coding.members for f in group) == list(range(len(made.edges)))
+    made.release()

@@ -164,7 +164,7 @@ class Coding:
         bins = self.bin_of[np.maximum(feature, 0)]
         left = np.where(bins == MISSING, tree.missing_left[nodes][:, None], bins <= tree.cut[nodes][:, None])
         following = np.where(feature[:, None] >= 0, 2 * np.arange(count)[:, None] + 1 - left, 2 * count)
-        after = np.vstack([following, np.full((1, 256), 2 * count)]).astype(np.uint16)
+        after = np.vstack([following, np.full((1, 256), 2 * count)]).astype(np.uint16 if level < 14 else np.uint32)
         return np.append(self.column[np.maximum(feature, 0)], 0), after.reshape(-1)
 
 
