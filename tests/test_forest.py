@@ -129,3 +129,10 @@ def test_features_of_a_trip_share_a_few_codes(spark, monkeypatch):
     assert len(made.edges) > 20 and len(made.coding.members) <= 8 and not made.alone
     assert sorted(f for group in made.coding.members for f in group) == list(range(len(made.edges)))
     made.release()
+
+
+def test_a_forest_loads_again(spark, path):
+    x, y = data(200)
+    model = Forest(trees=5, depth=4).fit(table(spark, x, y))
+    model.save(spark, path)
+    assert Boosted.load(spark, path).predict(x).tolist() == model.predict(x).tolist()
