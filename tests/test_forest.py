@@ -136,3 +136,13 @@ def test_a_forest_loads_again(spark, path):
     model = Forest(trees=5, depth=4).fit(table(spark, x, y))
     model.save(spark, path)
     assert Boosted.load(spark, path).predict(x).tolist() == model.predict(x).tolist()
+
+
+def test_a_forest_scores_every_trip(spark):
+    """Trips of strata too rare to train on as well; none where a feature is missing."""
+    trips = feats.feature_frame(queries.keyed(spark, "/root/testdata/sf0.01"), feats.PRE_ASSIGN)
+    fitted = preprocess.fit_preprocessing(trips, feats.PRE_ASSIGN)
+    model = Forest(trees=2, depth=3).fit(preprocess.encode(fitted, trips))
+    got = score(fitted, model, trips)
+    n, scored = got.agg(F.count("*"), F.count("prediction")).first()
+    assert n == trips.count() and scored == preprocess.encode(fitted, trips).count() < n
