@@ -146,3 +146,12 @@ def test_a_forest_scores_every_trip(spark):
     got = score(fitted, model, trips)
     n, scored = got.agg(F.count("*"), F.count("prediction")).first()
     assert n == trips.count() and scored == preprocess.encode(fitted, trips).count() < n
+
+
+def test_rows_are_binned_once_a_variant(spark, path, monkeypatch):
+    """Both boostings and the forest of a variant read the same binned rows."""
+    calls, find = [], boosting.bin_edges
+    monkeypatch.setattr(boosting, "bin_edges", lambda *args: calls.append(args) or find(*args))
+    quick = Hyperparameters(forest_trees=2, forest_depth=2, boosted_rounds=2, deep_rounds=2, deep_depth=2)
+    trained = train_variant(spark, queries.keyed(spark, "/root/testdata/sf0.01"), "pre_assign", path, quick)
+    assert len(calls) == 1 and len(trained.models) == 4
