@@ -155,3 +155,13 @@ def test_rows_are_binned_once_a_variant(spark, path, monkeypatch):
     quick = Hyperparameters(forest_trees=2, forest_depth=2, boosted_rounds=2, deep_rounds=2, deep_depth=2)
     trained = train_variant(spark, queries.keyed(spark, "/root/testdata/sf0.01"), "pre_assign", path, quick)
     assert len(calls) == 1 and len(trained.models) == 4
+
+
+def test_a_level_is_one_wave_of_tasks(spark, monkeypatch):
+    """A task adds up several blocks, so that a level sends no more tables than there are cores."""
+    monkeypatch.setattr(boosting, "BLOCK_ROWS", 10)
+    x, y = data()
+    made = binned_rows(table(spark, x, y, 20), "features", "ATD", "trip_key", 64)
+    assert made.blocks.getNumPartitions() <= spark.sparkContext.defaultParallelism < 20
+    assert made.blocks.map(lambda block: len(block[2])).sum() == 400
+    made.release()
